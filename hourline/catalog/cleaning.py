@@ -305,7 +305,7 @@ def date_floor_and_shift(spark, sf_dir):
 @query(
     "j11_eastern",
     """SELECT l_orderkey, l_linenumber,
-      (l_shipdate + to_hours(CAST(l_linenumber AS INTEGER)) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS date_eastern FROM lineitem""",
+      ((l_shipdate + to_hours(CAST(l_linenumber AS INTEGER))) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS date_eastern FROM lineitem""",
 )
 def eastern(spark, sf_dir):
     t = F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))

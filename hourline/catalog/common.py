@@ -21,13 +21,14 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 
 def query(name: str, sql: str | None = None):
-    """Register a query under ``name`` with its SQL twin; timestamps leave it as UTC wall clock."""
+    """Register a query under ``name`` with its SQL twin; timestamps and days leave it as UTC wall clock."""
 
     def register(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(use_utc(spark), sf_dir)
-            return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+            times = {c for c, t in df.dtypes if t in ("timestamp", "date")}
+            return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in times else F.col(c) for c in df.columns])
 
         REGISTRY[name] = (run, sql)
         return run
@@ -56,7 +57,7 @@ def mean_of(column: str) -> Column:
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy(F.date_trunc("day", "o_orderdate").alias("date")).agg(
-        F.round(mean_of("o_totalprice"), 2).alias("temperature_2m")
+        mean_of("o_totalprice").alias("temperature_2m")
     )
 
 
@@ -76,7 +77,7 @@ DAILY = """daily AS (
 
 WEATHER = """weather AS (
   SELECT CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS date,
-         round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice), 2) AS temperature_2m
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS temperature_2m
   FROM orders GROUP BY 1)"""
 
 # Federal holidays as a list per year, moved off the weekend where the rule says so.

@@ -8,6 +8,7 @@ from hourline.catalog.common import FEATURES, features, query, table
 from hourline.operators import drift
 from hourline.operators.ordered import quantiles
 from hourline.plans import detect_drift
+from hourline.session import stage
 
 COLUMNS = ["demand", "temperature_2m", "hour", "day_of_week", "month", "is_weekend", "is_holiday"]
 
@@ -39,6 +40,10 @@ def labelled(spark, sf_dir):
     return drift.label_periods(features(spark, sf_dir))
 
 
+def staged_counts(spark, sf_dir):
+    return stage(drift.value_counts(labelled(spark, sf_dir), COLUMNS), "value-counts")
+
+
 @query("l1_periods", f"WITH {PERIODS} SELECT period, sub_region_code, date, demand FROM labelled")
 def periods(spark, sf_dir):
     return labelled(spark, sf_dir).select("period", "sub_region_code", "date", "demand")
@@ -54,7 +59,7 @@ def value_counts(spark, sf_dir):
     f'WITH {COUNTS} SELECT "column", round(w, 5) AS wasserstein, round(w / greatest(s, 0.001), 6) AS wasserstein_normed FROM numeric JOIN dev USING ("column")',
 )
 def wasserstein(spark, sf_dir):
-    out = drift.numeric_distances(drift.value_counts(labelled(spark, sf_dir), COLUMNS))
+    out = drift.numeric_distances(staged_counts(spark, sf_dir))
     return out.select("column", F.round("wasserstein", 5).alias("wasserstein"), F.round("wasserstein_normed", 6).alias("wasserstein_normed"))
 
 
@@ -73,13 +78,14 @@ def wasserstein_sliced(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linestatus") == "O", "ref").otherwise("cur").alias("period"), "l_extendedprice"
     )
-    out = drift.numeric_distances(drift.value_counts(items, ["l_extendedprice"]), splits=32)
+    counts = stage(drift.value_counts(items, ["l_extendedprice"]), "value-counts")
+    out = drift.numeric_distances(counts, splits=32)
     return out.select("column", F.round("wasserstein", 4).alias("wasserstein"), F.round("ks", 6).alias("ks"))
 
 
 @query("l4_js", f'WITH {COUNTS} SELECT "column", round(js, 6) AS js_distance FROM js')
 def js(spark, sf_dir):
-    out = drift.category_distances(drift.value_counts(labelled(spark, sf_dir), COLUMNS))
+    out = drift.category_distances(staged_counts(spark, sf_dir))
     return out.select("column", F.round("js_distance", 6).alias("js_distance"))
 
 
@@ -106,7 +112,7 @@ def js_text(spark, sf_dir):
       2 * list_sum(list_transform(range(1, 101), lambda j: (-1.0) ** (j - 1) * exp(-2 * (j * lam) ** 2))))) END, 6) AS p_value FROM l""",
 )
 def ks(spark, sf_dir):
-    counts = drift.value_counts(labelled(spark, sf_dir), COLUMNS)
+    counts = staged_counts(spark, sf_dir)
     sizes = drift.category_distances(counts).select("column", "total_ref", "total_cur", "categories")
     out = drift.numeric_distances(counts).join(sizes, "column")
     p = drift._p_value(F.lit("ks"), F.col("ks"), F.col("total_ref"), F.col("total_cur"), F.col("categories"))
@@ -115,7 +121,7 @@ def ks(spark, sf_dir):
 
 @query("l5_chi_square", f'WITH {COUNTS} SELECT "column", round(chi2, 4) AS chi2, t_ref AS total_ref, t_cur AS total_cur FROM js')
 def chi_square(spark, sf_dir):
-    out = drift.category_distances(drift.value_counts(labelled(spark, sf_dir), COLUMNS))
+    out = drift.category_distances(staged_counts(spark, sf_dir))
     return out.select("column", F.round("chi2", 4).alias("chi2"), "total_ref", "total_cur")
 
 
@@ -177,6 +183,7 @@ def summary(spark, sf_dir):
 def quantiles_sliced(spark, sf_dir):
     """Exact quantiles over whole prices from running counts."""
     counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_extendedprice").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counts, "price-counts")
     return quantiles(counts, "x", "n", [0.25, 0.5, 0.75]).withColumn("quantile", F.round("quantile", 6))
 
 
@@ -190,7 +197,7 @@ def drift_document(spark, sf_dir):
 
     path = scratch_path(spark, "drift")
     labelled_rows = labelled(spark, sf_dir)
-    full = drift.drift_report(labelled_rows.drop("sub_region_code", "date"), small_reference=0)
+    full = stage(drift.drift_report(labelled_rows.drop("sub_region_code", "date"), small_reference=0), "drift-report")
     sinks.write_document(drift.drift_document(full, drift.column_summary(labelled_rows, "demand")), path)
     doc = sources.read_document(spark, path)
     return doc.select("number_of_columns", "number_of_drifted_columns")

@@ -16,7 +16,7 @@ from hourline.session import scratch_path
 
 RECORDS = f"""{HOURLY},
 records AS (
-  SELECT CAST(date AS DATE) AS day, strftime(date, '%Y-%m-%dT%H') AS period, sub_region_code AS subba, demand AS value
+  SELECT CAST(CAST(date AS DATE) AS TIMESTAMP) AS day, strftime(date, '%Y-%m-%dT%H') AS period, sub_region_code AS subba, demand AS value
   FROM hourly)"""
 
 
@@ -59,7 +59,7 @@ def bad_documents(spark, sf_dir):
     """WITH spine AS (
       SELECT CAST(unnest(generate_series((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS DATE) AS day),
     placed AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
-    SELECT day, coalesce(n, 0) AS n FROM spine LEFT JOIN placed USING (day)""",
+    SELECT CAST(day AS TIMESTAMP) AS day, coalesce(n, 0) AS n FROM spine LEFT JOIN placed USING (day)""",
 )
 def day_spine(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -75,7 +75,7 @@ def day_spine(spark, sf_dir):
     d AS (SELECT CAST(period AS DATE) AS day, * FROM r
           UNION ALL SELECT CAST(period AS DATE) - 1, * FROM r WHERE hour(period) = 0),
     k AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY period DESC, event_id) AS rn FROM d)
-    SELECT CAST(day AS DATE) AS day, period, event_id FROM k WHERE rn <= 40""",
+    SELECT CAST(day AS TIMESTAMP) AS day, period, event_id FROM k WHERE rn <= 40""",
 )
 def topk_per_day(spark, sf_dir):
     readings = table(spark, sf_dir, "events").select(
@@ -89,7 +89,7 @@ def topk_per_day(spark, sf_dir):
     """WITH r AS (SELECT l_shipdate AS period, l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag = 'R'),
     y AS (SELECT CAST(date_trunc('year', period) AS DATE) AS day, * FROM r),
     k AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY period DESC, l_orderkey, l_linenumber, l_partkey) AS rn FROM y)
-    SELECT day, period, l_orderkey, l_linenumber, l_partkey FROM k WHERE rn <= 1500""",
+    SELECT CAST(day AS TIMESTAMP) AS day, period, l_orderkey, l_linenumber, l_partkey FROM k WHERE rn <= 1500""",
 )
 def topk_large_page(spark, sf_dir):
     """Pages beyond Spark's own group limit: trimmed in shares of a year first."""
@@ -107,7 +107,7 @@ def topk_large_page(spark, sf_dir):
     "a5_refresh_days",
     """WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem),
     m AS (SELECT max(l_shipdate) + INTERVAL 12 HOUR AS as_of FROM lineitem)
-    SELECT day, CAST(floor((epoch(as_of) - epoch(CAST(day AS TIMESTAMP))) / 86400) AS BIGINT) AS days_old,
+    SELECT CAST(day AS TIMESTAMP) AS day, CAST(floor((epoch(as_of) - epoch(CAST(day AS TIMESTAMP))) / 86400) AS BIGINT) AS days_old,
            floor((epoch(as_of) - epoch(CAST(day AS TIMESTAMP))) / 86400) >= 2 AS use_landed FROM d, m""",
 )
 def refresh_days(spark, sf_dir):
@@ -118,7 +118,7 @@ def refresh_days(spark, sf_dir):
 
 SLOTS = """means AS (
   SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date,
-         round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value), 4) AS v FROM events GROUP BY 1)"""
+         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS v FROM events GROUP BY 1)"""
 
 
 @query(
@@ -131,7 +131,7 @@ SLOTS = """means AS (
 def array_block(spark, sf_dir):
     """One block of 24 slots per day; hours without events are empty slots."""
     means = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("date")).agg(
-        F.round(mean_of("value"), 4).alias("v")
+        mean_of("value").alias("v")
     )
     day = F.date_trunc("day", "date")
     # At most 24 rows per day.
@@ -162,7 +162,7 @@ def weather_csv(spark, sf_dir):
     "a8_source_precedence",
     f"""WITH {WEATHER}, other AS (
       SELECT CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS date,
-             round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice), 2) AS temperature_2m
+             CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice) AS temperature_2m
       FROM lineitem GROUP BY 1),
     cut AS (SELECT CAST(max(date) - INTERVAL 85 DAY AS DATE) AS c FROM weather),
     both_sides AS (SELECT *, 0 AS r FROM weather, cut WHERE CAST(date AS DATE) <= c
@@ -172,7 +172,7 @@ def weather_csv(spark, sf_dir):
 def source_precedence(spark, sf_dir):
     archive = weather(spark, sf_dir)
     forecast = table(spark, sf_dir, "lineitem").groupBy(F.date_trunc("day", "l_shipdate").alias("date")).agg(
-        F.round(mean_of("l_extendedprice"), 2).alias("temperature_2m")
+        mean_of("l_extendedprice").alias("temperature_2m")
     )
     return sources.combine_sources(archive, forecast, newest(archive))
 
@@ -276,12 +276,14 @@ def metrics_document(spark, sf_dir):
 
 @query(
     "b7_prediction_history",
-    f"WITH {NAIVE} SELECT sub_region_code, date, predicted_demand, CAST(date AS DATE) AS day FROM pairs",
+    f"""WITH {HOURLY}, n AS (SELECT sub_region_code, date,
+      lag(demand, 24) OVER (PARTITION BY sub_region_code ORDER BY date) AS predicted_demand FROM hourly)
+    SELECT sub_region_code, date, predicted_demand, date_trunc('day', date)::TIMESTAMP AS day FROM n WHERE predicted_demand IS NOT NULL""",
 )
 def prediction_history(spark, sf_dir):
-    """Two runs append to the history: all but the newest day, then the newest day."""
+    """Two runs append to the history: all but the newest hour, then the newest hour."""
     path = scratch_path(spark, "predictions")
-    forecast = seasonal_naive(daily(spark, sf_dir), 7)
+    forecast = seasonal_naive(hourly(spark, sf_dir), 24)
     last = newest(forecast)
     sinks.append_predictions(forecast.where(F.col("date") < last), path)
     sinks.append_predictions(forecast.where(F.col("date") >= last), path)
@@ -315,7 +317,7 @@ def run_log(spark, sf_dir):
     f"""WITH {HOURLY}, fresh AS (
       SELECT sub_region_code, date, demand * 2 AS demand FROM hourly WHERE date >= (SELECT max(date) FROM hourly) - INTERVAL 5 DAY)
     SELECT coalesce(f.sub_region_code, h.sub_region_code) AS sub_region_code, coalesce(f.date, h.date) AS date,
-           coalesce(f.demand, h.demand) AS demand, CAST(coalesce(f.date, h.date) AS DATE) AS day
+           coalesce(f.demand, h.demand) AS demand, date_trunc('day', coalesce(f.date, h.date))::TIMESTAMP AS day
     FROM hourly h FULL JOIN fresh f ON h.sub_region_code = f.sub_region_code AND h.date = f.date""",
 )
 def keyed_upsert(spark, sf_dir):
@@ -355,7 +357,7 @@ def stream_dedupe(spark, sf_dir):
 )
 def stream_static(spark, sf_dir):
     static = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("date")).agg(
-        F.round(mean_of("value"), 4).alias("temperature_2m")
+        mean_of("value").alias("temperature_2m")
     )
     readings = event_stream(spark, sf_dir).select(
         "event_id", F.date_trunc("hour", "ts").alias("date"), F.col("value").alias("demand")

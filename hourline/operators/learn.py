@@ -9,7 +9,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
@@ -75,18 +74,17 @@ class LagVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        scalars = self.getOrDefault(self.scalars)
         known = F.filter(LAGS, lambda x: x.isNotNull())
         mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(known), F.lit(0))
         has_gap = F.exists(LAGS, lambda x: x.isNull())
-        filled = F.when(
-            has_gap, F.transform(LAGS, lambda x: F.coalesce(x, F.col("_mean"), F.lit(0.0)))
-        ).otherwise(F.col(LAGS))
-        prepared = dataset.withColumn("_mean", F.when(has_gap, mean)).withColumn("_lags", array_to_vector(filled))
-        assembler = VectorAssembler(
-            inputCols=["_lags", *scalars], outputCol=self.getOrDefault(self.outputCol), handleInvalid="keep"
+        filled = F.when(has_gap, F.transform(LAGS, lambda x: F.coalesce(x, F.col("_mean"), F.lit(0.0))))
+        scalars = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.getOrDefault(self.scalars)]
+        values = F.concat(F.coalesce(filled, F.col(LAGS)), F.array(*scalars))
+        return (
+            dataset.withColumn("_mean", F.when(has_gap, mean))
+            .withColumn(self.getOrDefault(self.outputCol), array_to_vector(values))
+            .drop("_mean")
         )
-        return assembler.transform(prepared).drop("_mean", "_lags")
 
 
 def regressor(model_type: str, **params) -> GBTRegressor:
