@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline.functions import calendar_columns
+from hourline.functions import calendar_columns, exact_sum
 from hourline.operators.clean import demand_series
 from hourline.operators.joins import enrich_with_weather
 from hourline.session import use_utc
@@ -42,16 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demand_series(table(spark, sf_dir, "events"), F.col("event_type"), F.col("ts"), F.col("value"))
+    return demand_series(table(spark, sf_dir, "events"), F.col("event_type"), F.col("ts"), F.col("value"), scale=2)
 
 
 def daily(spark: SparkSession, sf_dir: str, key: Column | None = None) -> DataFrame:
     key = F.col("l_returnflag") if key is None else key
-    return demand_series(table(spark, sf_dir, "lineitem"), key, F.col("l_shipdate"), F.col("l_quantity"), "day")
+    return demand_series(table(spark, sf_dir, "lineitem"), key, F.col("l_shipdate"), F.col("l_quantity"), "day", scale=2)
 
 
 def mean_of(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double") / F.count(column)
+    return exact_sum(F.col(column), 2) / F.count(column)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ js AS (SELECT "column", sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p
 
 
 def labelled(spark, sf_dir):
-    return drift.label_periods(features(spark, sf_dir))
+    return drift.label_periods(stage(features(spark, sf_dir), "features"))
 
 
 def staged_counts(spark, sf_dir):

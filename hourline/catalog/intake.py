@@ -398,4 +398,4 @@ def stream_hourly(spark, sf_dir):
     readings = event_stream(spark, sf_dir).select(
         F.col("event_type").alias("sub_region_code"), F.col("ts").alias("date"), F.col("value").alias("demand")
     )
-    return streaming.drain(streaming.hourly_totals(readings), "s4")
+    return streaming.drain(streaming.hourly_totals(readings, scale=2), "s4")

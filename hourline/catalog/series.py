@@ -95,6 +95,37 @@ def seasonal_mean(spark, sf_dir):
     return out.select("sub_region_code", "date", "average_demand_last_4_weeks")
 
 
+@query(
+    "g4_narrow_lags",
+    f"""WITH {DAILY}, x AS (SELECT *, row_number() OVER ({Z}) AS rn, lag(demand, 672) OVER ({Z}) AS demand_previous_672_hour,
+      lag(demand, 168) OVER ({Z}) AS demand_previous_168_hour, lag(demand, 1) OVER ({Z}) AS demand_previous_1_hour FROM daily)
+    SELECT sub_region_code, date, demand_previous_672_hour, demand_previous_168_hour, demand_previous_1_hour,
+      demand AS target_demand_next_hour FROM x WHERE rn > 672""",
+)
+def narrow_lags(spark, sf_dir):
+    return windows.lag_columns(daily(spark, sf_dir), [1, 168, 672], covariates=[])
+
+
+MATRIX = DAILY.replace("l_returnflag AS sub_region_code", "concat(l_returnflag, l_linestatus, l_linenumber) AS sub_region_code")
+
+
+@query(
+    "g1_lag_matrix",
+    f"""WITH {MATRIX}, x AS (SELECT *, row_number() OVER ({Z}) AS rn, lag(demand, 672) OVER ({Z}) AS lag_oldest,
+      lag(demand, 336) OVER ({Z}) AS lag_middle, lag(demand, 1) OVER ({Z}) AS lag_newest FROM daily)
+    SELECT sub_region_code, date, demand AS target_demand_next_hour, 672 AS n_lags, lag_oldest, lag_middle, lag_newest
+    FROM x WHERE rn > 672""",
+)
+def lag_matrix(spark, sf_dir):
+    """One series per return flag, line status and line number: about a hundred thousand rows at sf0.1."""
+    key = F.concat("l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string"))
+    out = windows.lag_windows(daily(spark, sf_dir, key), 672, covariates=[])
+    return out.select(
+        "sub_region_code", "date", schema.TARGET, F.size("demand_lags").alias("n_lags"),
+        windows.lag(672).alias("lag_oldest"), windows.lag(336).alias("lag_middle"), windows.lag(1).alias("lag_newest"),
+    )
+
+
 @query(
     "g5_index_ranges",
     f"""WITH {DAILY}, n AS (SELECT sub_region_code, count(*) AS n FROM daily GROUP BY 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourline.catalog.common import DAILY, daily, query, table
 from hourline.catalog.cleaning import ZONE_LIST
-from hourline.functions import color_scale
+from hourline.functions import color_scale, exact_sum
 from hourline.operators import present
 from hourline.operators.clean import newest
 from hourline.operators.joins import predictions_vs_actuals
@@ -77,21 +77,32 @@ def distinct_zones(spark, sf_dir):
 
 @query(
     "f9_table_profile",
-    """SELECT count(*) AS n_rows, CAST(6 AS INTEGER) AS n_columns, min(ts) AS first, max(ts) AS last, count(DISTINCT event_type) AS n_zones,
-      array_to_string(list_sort(list(DISTINCT event_type)), ',') AS codes FROM events""",
+    """SELECT count(*) AS n_rows, CAST(6 AS INTEGER) AS n_columns, min(ts) AS first, max(ts) AS last,
+      count(DISTINCT event_type) AS n_zones FROM events""",
 )
 def table_profile(spark, sf_dir):
-    """H6 included: the sorted distinct codes, of which there are few."""
     events = table(spark, sf_dir, "events")
-    codes = events.select("event_type").distinct().agg(
-        F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("event_type")), ",").alias("codes")
-    )
-    both = events.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(events.columns)).alias("n_columns"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    return both.withColumn("_c", codes.select(F.struct("n", "codes")).scalar()).select(
-        "n_rows", "n_columns", "first", "last", F.col("_c.n").alias("n_zones"), F.col("_c.codes").alias("codes")
+    return events.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(len(events.columns)).alias("n_columns"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+        F.count_distinct("event_type").alias("n_zones"),
     )
 
 
+@query(
+    "h6_sorted_codes",
+    """SELECT CAST(c_nationkey AS BIGINT) AS sub_region_code FROM customer
+    INTERSECT SELECT CAST(s_nationkey AS BIGINT) FROM supplier ORDER BY 1""",
+)
+def sorted_codes(spark, sf_dir):
+    from hourline.operators.clean import common_codes
+
+    code = lambda name, column: table(spark, sf_dir, name).select(F.col(column).cast("bigint").alias("sub_region_code"))
+    return common_codes(code("customer", "c_nationkey"), code("supplier", "s_nationkey")).orderBy("sub_region_code")
+
+
 PREDICTED = """predicted AS (SELECT CAST(c_nationkey AS BIGINT) AS sub_region_code,
   CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS predicted_demand FROM customer GROUP BY 1)"""
 
@@ -99,7 +110,7 @@ PREDICTED = """predicted AS (SELECT CAST(c_nationkey AS BIGINT) AS sub_region_co
 def predicted(spark, sf_dir):
     """One value per code, some of which have no zone."""
     return table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("bigint").alias("sub_region_code")).agg(
-        F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("predicted_demand")
+        exact_sum(F.col("c_acctbal"), 2).alias("predicted_demand")
     )
 
 
@@ -192,7 +203,7 @@ def best_candidate(spark, sf_dir):
         F.col("o_orderpriority").alias("family"),
         (F.dayofweek("o_orderdate") - 1).alias("candidate"),
         F.month("o_orderdate").alias("fold"),
-    ).agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("rmse"))
+    ).agg((exact_sum(F.col("o_totalprice"), 2) / F.count(F.lit(1))).alias("rmse"))
     won = best(scores.withColumn("params", F.lit("{}")))
     return won.select("candidate", "family", F.round("mean_rmse", 4).alias("mean_rmse"))
 

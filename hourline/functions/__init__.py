@@ -11,6 +11,7 @@ from hourline.functions.scalars import (
     color_scale,
     days_between,
     eastern,
+    exact_sum,
     from_epoch,
     iso_string,
     json_number,
@@ -26,6 +27,7 @@ __all__ = [
     "color_scale",
     "days_between",
     "eastern",
+    "exact_sum",
     "federal_holidays",
     "from_epoch",
     "is_federal_holiday",

@@ -57,3 +57,12 @@ def color_scale(x: Column, lowest: Column, highest: Column) -> Column:
     """An RGBA array from green-blue (lowest) to red (highest); the middle colour when all values are equal."""
     share = F.when(highest != lowest, (x - lowest) / (highest - lowest)).otherwise(F.lit(0.5))
     return F.array((share * 255).cast("int"), ((1 - share) * 200).cast("int"), F.lit(50), F.lit(200))
+
+
+def exact_sum(x: Column, scale: int) -> Column:
+    """Sum of numbers with at most ``scale`` decimals, free of rounding error and so of the order of the rows.
+
+    Whole multiples of the last decimal are added as bigint, which stays a primitive in generated code.
+    """
+    unit = float(10**scale)
+    return F.sum(F.rint(x.cast("double") * unit).cast("bigint")).cast("double") / F.lit(unit)

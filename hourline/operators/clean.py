@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourline import schema
-from hourline.functions import iso_string, normalized_name, parse_utc, to_number
+from hourline.functions import exact_sum, iso_string, normalized_name, parse_utc, to_number
 from hourline.operators.joins import lookup_join, zone_code
 from hourline.operators.ordered import running_totals, top_n
 from hourline.session import stage
@@ -138,10 +138,11 @@ def common_codes(a: DataFrame, b: DataFrame, key: str = schema.KEY) -> DataFrame
 
 
 def demand_series(
-    df: DataFrame, key: Column, time: Column, value: Column, grain: str = "hour", scale: int = 2
+    df: DataFrame, key: Column, time: Column, value: Column, grain: str = "hour", scale: int | None = None
 ) -> DataFrame:
-    """Sum readings per series and hour (or day): one row per (key, time), exact for values with ``scale`` decimals."""
-    return (
-        df.groupBy(key.alias(schema.KEY), F.date_trunc(grain, time).alias(schema.TIME))
-        .agg(F.sum(value.cast(f"decimal(18,{scale})")).cast("double").alias(schema.VALUE))
-    )
+    """Sum readings per series and hour (or day): one row per (key, time).
+
+    With ``scale`` the values have at most that many decimals and the sums are exact.
+    """
+    total = F.sum(value.cast("double")) if scale is None else exact_sum(value, scale)
+    return df.groupBy(key.alias(schema.KEY), F.date_trunc(grain, time).alias(schema.TIME)).agg(total.alias(schema.VALUE))

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 
 from hourline import schema
 from hourline.operators.clean import require_columns, require_rows
-from hourline.operators.ordered import BUCKET_SECONDS, last_per_series, number_rows, top_n
+from hourline.operators.ordered import BUCKET_SECONDS, last_per_series, number_rows, running_totals, top_n
 from hourline.session import shuffle_partitions
 
 CHUNK_FACTOR = 4
@@ -32,53 +32,46 @@ def check_parameters(seq_len: int, cv_folds: int) -> None:
         raise ValueError(f"cv_folds must be >= 2, got {cv_folds}")
 
 
-def lag_windows(
+def _targets(
     df: DataFrame,
-    seq_len: int = schema.SEQ_LEN,
-    step: int = schema.STEP_SIZE,
-    key: str = schema.KEY,
-    time: str = schema.TIME,
-    value: str = schema.VALUE,
-    covariates: list[str] | None = None,
-    lag_mode: str = "rows",
-    grain_seconds: int = 3600,
-    chunk_rows: int | None = None,
-    bucket_seconds: int = BUCKET_SECONDS,
-) -> DataFrame:
-    """One row per window: key, time, ``demand_lags`` (oldest first), the covariates and the target.
-
-    Covariates and target are those of the row right after the window. Every ``step``-th window of a series is kept,
-    counted from its first. A null reading keeps its place in the array. Series with fewer than ``seq_len + 1`` rows
-    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps, so a missing hour is a null lag
-    instead of a shift.
-    """
-    covariates = list(schema.COVARIATES if covariates is None else covariates)
+    reach: int,
+    step: int,
+    key: str,
+    time: str,
+    value: str,
+    covariates: list[str],
+    lag_mode: str,
+    grain_seconds: int,
+    chunk_rows: int | None,
+    bucket_seconds: int,
+) -> tuple[DataFrame, Column]:
+    """Every row with ``reach`` rows (or clock steps) before it, next to its chunk's values and its slot in them."""
     require_columns(df, [key, time, value, *covariates])
-    chunk_rows = max(chunk_rows or CHUNK_FACTOR * seq_len, seq_len)
-    base = df.select(key, time, F.col(value).cast("double").alias(value), *[c for c in covariates])
+    chunk_rows = max(chunk_rows or CHUNK_FACTOR * reach, reach)
+    base = df.select(key, time, F.col(value).cast("double").alias(value), *covariates)
     if lag_mode == "rows":
         placed = number_rows(base, key, time, bucket_seconds, rn="_rn").withColumn("_at", F.col("_rn") - 1)
     elif lag_mode == "time":
         base = base.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        placed = base.withColumn("_at", F.floor(F.unix_timestamp(time) / grain_seconds))
-        start = placed.groupBy(key).agg(F.min("_at").alias("_start"))
-        placed = placed.join(start, key).withColumn("_at", F.col("_at") - F.col("_start")).drop("_start")
+        base = base.withColumn("_step", F.floor(F.unix_timestamp(time) / grain_seconds))
+        start = base.groupBy(key).agg(F.min("_step").alias("_start"))
+        placed = base.join(start, key).withColumn("_at", F.col("_step") - F.col("_start"))
     else:
         raise ValueError("lag_mode must be 'rows' or 'time'")
 
-    payload = F.struct("_at", time, value, *covariates)
     home = F.floor(F.col("_at") / chunk_rows)
-    in_halo = F.pmod(F.col("_at"), F.lit(chunk_rows)) >= chunk_rows - seq_len
+    in_halo = F.pmod(F.col("_at"), F.lit(chunk_rows)) >= chunk_rows - reach
     chunked = placed.withColumn("_chunk", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
-    # A fixed number of tasks: what comes out is seq_len times what goes in, which size-based coalescing cannot know.
+    # A fixed number of tasks: what comes out is many times what goes in, which size-based coalescing cannot know.
     chunked = chunked.repartition(shuffle_partitions(df.sparkSession), key, "_chunk")
+    payload = F.struct("_at", time, value, *covariates)
     groups = chunked.groupBy(key, "_chunk").agg(F.sort_array(F.collect_list(payload)).alias("_rows"))
     if lag_mode == "rows":
         groups = groups.withColumn("_values", F.col(f"_rows.{value}"))
         slot = F.col("_pos")
     else:
-        # Slot i of the dense array is clock step chunk_start − seq_len + i; gaps between the sorted rows become nulls.
-        origin = F.col("_chunk") * chunk_rows - seq_len
+        # Slot i of the dense array is clock step chunk_start − reach + i; gaps between the sorted rows become nulls.
+        origin = F.col("_chunk") * chunk_rows - reach
         before = lambda i: F.when(i > 0, F.get("_rows", i - 1)["_at"]).otherwise(origin - 1)
         filled = F.transform(
             "_rows",
@@ -87,17 +80,72 @@ def lag_windows(
             ),
         )
         groups = groups.withColumn("_values", F.flatten(filled))
-        slot = F.col("_row._at") - origin
-    target_at = F.col("_row._at")
-    windows = groups.select(key, "_chunk", "_values", F.posexplode("_rows").alias("_pos", "_row")).where(
-        (target_at >= seq_len)
-        & (target_at >= F.col("_chunk") * chunk_rows)
-        & (F.pmod(target_at - seq_len, F.lit(step)) == 0)
+        slot = (F.col("_row._at") - origin).cast("int")
+    at = F.col("_row._at")
+    targets = groups.select(key, "_chunk", "_values", F.posexplode("_rows").alias("_pos", "_row")).where(
+        (at >= reach) & (at >= F.col("_chunk") * chunk_rows) & (F.pmod(at - reach, F.lit(step)) == 0)
+    )
+    return targets, slot
+
+
+def lag_windows(
+    df: DataFrame,
+    seq_len: int = schema.SEQ_LEN,
+    step: int = schema.STEP_SIZE,
+    key: str = schema.KEY,
+    time: str = schema.TIME,
+    value: str = schema.VALUE,
+    covariates: list[str] | None = None,
+    lag_mode: str = "rows",
+    grain_seconds: int = 3600,
+    chunk_rows: int | None = None,
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
+    """One row per window: key, time, ``demand_lags`` (oldest first), the covariates and the target.
+
+    Covariates and target are those of the row right after the window. Every ``step``-th window of a series is kept,
+    counted from its first. A null reading keeps its place in the array. Series with fewer than ``seq_len + 1`` rows
+    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps, so a missing hour is a null lag
+    instead of a shift.
+    """
+    covariates = list(schema.COVARIATES if covariates is None else covariates)
+    targets, slot = _targets(
+        df, seq_len, step, key, time, value, covariates, lag_mode, grain_seconds, chunk_rows, bucket_seconds
+    )
+    return targets.select(
+        key,
+        F.col(f"_row.{time}").alias(time),
+        F.slice("_values", slot - seq_len + 1, F.lit(seq_len)).alias(LAGS),
+        *[F.col(f"_row.{c}").alias(c) for c in covariates],
+        F.col(f"_row.{value}").alias(schema.TARGET),
+    )
+
+
+def lag_columns(
+    df: DataFrame,
+    lags: list[int],
+    step: int = schema.STEP_SIZE,
+    key: str = schema.KEY,
+    time: str = schema.TIME,
+    value: str = schema.VALUE,
+    covariates: list[str] | None = None,
+    lag_mode: str = "rows",
+    grain_seconds: int = 3600,
+    chunk_rows: int | None = None,
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
+    """The narrow form: only the lags asked for, as ``demand_previous_<k>_hour``, without building the arrays.
+
+    Rows and order of the windows are those of ``lag_windows`` with ``seq_len = max(lags)``.
+    """
+    covariates = list(schema.COVARIATES if covariates is None else covariates)
+    targets, slot = _targets(
+        df, max(lags), step, key, time, value, covariates, lag_mode, grain_seconds, chunk_rows, bucket_seconds
     )
-    return windows.select(
+    return targets.select(
         key,
         F.col(f"_row.{time}").alias(time),
-        F.slice("_values", (slot - seq_len + 1).cast("int"), F.lit(seq_len)).alias(LAGS),
+        *[F.get("_values", slot - k).alias(f"demand_previous_{k}_hour") for k in sorted(lags, reverse=True)],
         *[F.col(f"_row.{c}").alias(c) for c in covariates],
         F.col(f"_row.{value}").alias(schema.TARGET),
     )
@@ -138,15 +186,25 @@ def widen(df: DataFrame, seq_len: int = schema.SEQ_LEN, lags: str = LAGS) -> Dat
     return df.select(*[c for c in rest if c != schema.TARGET], *wide, *[c for c in rest if c == schema.TARGET])
 
 
-def window_ranges(df: DataFrame, seq_len: int, step: int, key: str | None = None) -> DataFrame:
+def window_ranges(df: DataFrame, seq_len: int, step: int, key: str | None = None, block: int = 100_000) -> DataFrame:
     """Row index ranges (first, mid, last) whose last index is still inside the table.
 
-    One range fewer than ``lag_windows`` gives at step 1. Only the row counts are read.
+    One range fewer than ``lag_windows`` gives at step 1. Only the row counts are read; a long table is cut into blocks
+    of ranges that are listed side by side.
     """
     group = [key] if key else []
+    ranges = F.floor((F.col("_n") - seq_len - 2) / step) + 1
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") - seq_len - 2 >= 0)
-    firsts = counts.select(*group, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - seq_len - 2, F.lit(step).cast("bigint"))).alias("first"))
-    return firsts.select(*group, "first", (F.col("first") + seq_len).alias("mid"), (F.col("first") + seq_len + 1).alias("last"))
+    blocks = counts.withColumn("_ranges", ranges).select(
+        *group,
+        "_ranges",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_ranges") - 1) / block))).alias("_block"),
+    )
+    blocks = blocks.repartition(shuffle_partitions(df.sparkSession), *group, "_block")
+    start = F.col("_block") * block
+    numbers = blocks.select(*group, F.explode(F.sequence(start, F.least(start + block, F.col("_ranges")) - 1)).alias("_i"))
+    first = F.col("_i") * step
+    return numbers.select(*group, first.alias("first"), (first + seq_len).alias("mid"), (first + seq_len + 1).alias("last"))
 
 
 def latest_windows(
@@ -202,8 +260,6 @@ def expanding_folds(
     with a smaller fold number, fold 0 included. ``order="time"`` walks through time, ``"concat"`` through the series one
     after the other.
     """
-    from hourline.operators.ordered import running_totals
-
     if folds < 2:
         raise ValueError(f"cv_folds must be >= 2, got {folds}")
     columns = {"time": (time, key), "concat": (key, time)}[order]
@@ -215,8 +271,14 @@ def expanding_folds(
     return placed.withColumn("fold", fold.cast("int")).drop("_order", "_one")
 
 
-def seasonal_naive(df: DataFrame, lag_steps: int, key: str = schema.KEY, time: str = schema.TIME, value: str = schema.VALUE, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def seasonal_naive(
+    df: DataFrame,
+    lag_steps: int,
+    key: str = schema.KEY,
+    time: str = schema.TIME,
+    value: str = schema.VALUE,
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
     """The reading ``lag_steps`` rows earlier as a forecast: (key, time, predicted_demand)."""
-    numbered = number_rows(df.select(key, time, value), key, time, bucket_seconds)
-    earlier = numbered.select(key, (F.col("rn") + lag_steps).alias("rn"), F.col(value).alias("predicted_demand"))
-    return numbered.join(earlier, [key, "rn"]).select(key, time, "predicted_demand")
+    lagged = lag_columns(df, [lag_steps], 1, key, time, value, [], bucket_seconds=bucket_seconds)
+    return lagged.select(key, time, F.col(f"demand_previous_{lag_steps}_hour").alias("predicted_demand"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourline import schema
+from hourline.functions import exact_sum
 from hourline.operators.joins import lookup_join
 from hourline.session import scratch_path
 
@@ -58,13 +59,14 @@ def hourly_totals(
     value: str = schema.VALUE,
     hour: str = "1 hour",
     late: str = LATE,
-    scale: int = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Demand per zone and hour; in append mode an hour is emitted once, when nothing can join it any more."""
+    total = F.sum(F.col(value).cast("double")) if scale is None else exact_sum(F.col(value), scale)
     return (
         readings.withWatermark(time, late)
         .groupBy(F.window(time, hour).alias("_window"), key)
-        .agg(F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double").alias(value))
+        .agg(total.alias(value))
         .select(key, F.col("_window.start").alias(time), value)
     )
 
