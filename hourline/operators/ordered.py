@@ -32,14 +32,14 @@ def number_rows(
     ``operators.clean.split_rejects``; (key, time) must be unique, see ``operators.clean.dedupe_first``.
     """
     keyed = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn(
-        "_slot", F.floor(F.unix_timestamp(time) / bucket_seconds)
+        "_slot", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / bucket_seconds)
     )
     counts = keyed.groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(key, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     local = keyed.withColumn("_local", F.row_number().over(W.partitionBy(key, "_slot").orderBy(time)))
     return (
-        local.join(offsets, [key, "_slot"])
+        local.join(offsets, [key, "_slot"], "left")
         .withColumn(rn, F.col("_before") + F.col("_local"))
         .select(*df.columns, rn)
     )
@@ -94,8 +94,9 @@ def running_totals(
         *[F.coalesce(F.sum(f"_{s}_total").over(earlier), F.lit(0)).alias(f"_{s}_offset") for s in sums],
     )
     local = _within(cut, [*group, "_slice"], order, sums, following)
-    # One row per slice: at most `splits` for each label.
-    out = local.join(F.broadcast(offsets), [*group, "_slice"])
+    # One row per slice: at most `splits` for each label. Every slice has its row; a left join keeps the optimizer from
+    # evaluating the slice a second time in a null check.
+    out = local.join(F.broadcast(offsets), [*group, "_slice"], "left")
     shifted = {f"{s}_before": F.col(f"{s}_before") + F.col(f"_{s}_offset") for s in sums}
     if following:
         shifted[following] = F.coalesce(F.col(following), F.col("_next_first"))

@@ -53,7 +53,7 @@ def _targets(
         placed = number_rows(base, key, time, bucket_seconds, rn="_rn").withColumn("_at", F.col("_rn") - 1)
     elif lag_mode == "time":
         base = base.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        base = base.withColumn("_step", F.floor(F.unix_timestamp(time) / grain_seconds))
+        base = base.withColumn("_step", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / grain_seconds))
         start = base.groupBy(key).agg(F.min("_step").alias("_start"))
         placed = base.join(start, key).withColumn("_at", F.col("_step") - F.col("_start"))
     else:
