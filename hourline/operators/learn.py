@@ -165,7 +165,7 @@ def grid_search(
 
     tasks = [(n, f) for n in range(len(listed)) for f in folds]
     with ThreadPool(processes=min(parallelism, len(tasks))) as pool:
-        rows = pool.map(inheritable_thread_target(score), tasks)
+        rows = pool.map(inheritable_thread_target(folded.sparkSession)(score), tasks)
     spark = folded.sparkSession
     scores = spark.createDataFrame(
         rows, "candidate int, family string, params map<string,string>, fold int, rmse double"

@@ -30,9 +30,9 @@ def test_holiday_modes(spark, text, midnight, whole_day):
     assert one(spark, fn.is_holiday(t, "calendar_day").cast("int")) == whole_day
 
 
-def test_holiday_mode_is_checked():
+def test_holiday_mode_is_checked(spark):
     with pytest.raises(ValueError):
-        fn.is_holiday(None, "other") if False else fn.calendar.is_holiday(F.lit(None).cast("timestamp"), "other")
+        fn.is_holiday(F.lit(None).cast("timestamp"), "other")
 
 
 def test_calendar_columns(spark):
