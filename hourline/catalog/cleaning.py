@@ -173,7 +173,7 @@ def demand_weather(spark, sf_dir):
 )
 def demand_weather_shuffled(spark, sf_dir):
     """The same join with a lookup side that counts as too large to broadcast."""
-    return joins.enrich_with_weather(daily(spark, sf_dir), weather(spark, sf_dir), broadcast_rows=0)
+    return joins.enrich_with_weather(daily(spark, sf_dir), weather(spark, sf_dir), broadcast_bytes=0)
 
 
 @query(
@@ -402,3 +402,11 @@ def status(spark, sf_dir):
 @query("feature_table", f"WITH {FEATURES} SELECT date, sub_region_code, demand, temperature_2m, hour, day_of_week, month, is_weekend, is_holiday FROM features")
 def feature_table(spark, sf_dir):
     return features(spark, sf_dir)
+
+
+@query("b12_feature_view", f"WITH {FEATURES} SELECT sub_region_code, count(*) AS n, max(demand) AS peak, max(hour) AS hour FROM features GROUP BY 1")
+def feature_view(spark, sf_dir):
+    from hourline.plans import feature_view as view
+
+    view(features(spark, sf_dir), "daily_features")
+    return spark.sql("SELECT sub_region_code, count(*) AS n, max(demand) AS peak, max(hour) AS hour FROM daily_features GROUP BY 1")

@@ -9,13 +9,32 @@ from pyspark.sql import functions as F
 
 from hourline import schema
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
+HOT_KEYS = 1000
 
+WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than one row beyond the limit."""
-    return df.limit(rows + 1).count() <= rows
+
+def _bytes_per_row(df: DataFrame) -> Column:
+    """The size of a row's values: fixed for numbers and times, measured for everything else."""
+    width = F.lit(8)
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        elif kind.startswith(("array", "map", "struct")):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 8
+        else:
+            width = width + WIDTHS.get(kind, 8)
+    return width.cast("bigint")
+
+
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when all of ``df`` takes at most ``max_bytes``; stops reading once that is out of the question."""
+    most_rows = max_bytes // 8
+    rows, size = df.limit(most_rows + 1).agg(F.count(F.lit(1)), F.sum(_bytes_per_row(df))).first()
+    return rows <= most_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(
@@ -23,21 +42,43 @@ def lookup_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner or left join of many facts to a lookup table.
 
-    A lookup of a checked size is broadcast and the facts stay where they are. A larger one is joined by shuffle, with
-    the rows of one key spread over ``salts`` tasks and the lookup repeated once per salt.
+    A lookup of a checked size is broadcast and the facts stay where they are. A larger one is joined by shuffle: the
+    rows of a hot key are spread over ``salts`` tasks, and only the lookup rows of hot keys are repeated. A key is hot
+    when it holds more than one in ``HOT_KEYS`` of the facts, so there are fewer than ``HOT_KEYS`` of them.
     """
-    if fits(lookup, broadcast_rows):
+    if fits(lookup, broadcast_bytes):
         return facts.join(F.broadcast(lookup), on, how)
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    share = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    if facts.isStreaming:
+        spread = facts.withColumn("_salt", share)
+        repeated = lookup.withColumn("_salt", F.explode(every))
+    else:
+        hot = hot_keys(facts, on)
+        unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+        # Rows without a key match nothing and may lie anywhere, so they are spread too.
+        spread = facts.join(F.broadcast(hot), on, "left").withColumn(
+            "_salt", F.when(F.col("_hot") | unmatched, share).otherwise(F.lit(0))
+        )
+        repeated = lookup.join(F.broadcast(hot), on, "left").withColumn(
+            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+        )
+        spread, repeated = spread.drop("_hot"), repeated.drop("_hot")
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_keys(facts: DataFrame, on: list[str], most: int = HOT_KEYS) -> DataFrame:
+    """The keys that hold more than one in ``most`` of all rows: fewer than ``most`` by construction."""
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = facts.agg(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_n") * most > total).select(*on, F.lit(True).alias("_hot"))
+
+
 def enrich_with_weather(demand: DataFrame, weather: DataFrame, on: str = "date", **limits: int) -> DataFrame:
     """Inner join of all zones to the one weather series; hours without weather drop out.
 

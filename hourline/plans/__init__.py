@@ -1,6 +1,6 @@
 """The four runs a user starts: feature build, training and evaluation, next-hour prediction, monitoring."""
 
-from hourline.plans.features import build_features, feature_table, merge_demand_weather
+from hourline.plans.features import build_features, feature_table, feature_view, merge_demand_weather
 from hourline.plans.inference import predict_next, prediction_inputs
 from hourline.plans.monitoring import detect_drift, monitor, monitoring_errors
 from hourline.plans.training import evaluate, train
@@ -10,6 +10,7 @@ __all__ = [
     "detect_drift",
     "evaluate",
     "feature_table",
+    "feature_view",
     "merge_demand_weather",
     "monitor",
     "monitoring_errors",

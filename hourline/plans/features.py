@@ -74,3 +74,10 @@ def build_features(
         require_valid(processed, status)
     features, rejects = split_rejects(feature_table(processed, encoder, holiday_mode), [schema.KEY, schema.TIME])
     return FeatureBuild(processed, features, report, status, rejects)
+
+
+def feature_view(features: DataFrame, name: str = "features") -> DataFrame:
+    """The nine training columns as a view that SQL can query by ``name``."""
+    view = features.select("date", "sub_region_code", "demand", *schema.COVARIATES)
+    view.createOrReplaceTempView(name)
+    return view

@@ -98,7 +98,7 @@ def test_union_fills_missing_columns(spark):
     assert values(clean.union_all(a, b), "x", "y", "z") == [(1, 2, None), (4, None, 3)]
 
 
-@pytest.mark.parametrize("limit", [10, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_weather_join_both_ways(spark, limit):
     demand = spark.createDataFrame(
         [(t, z, 1.0 * z, "d") for t in hours("2025-01-01", 5) for z in range(3)] + [(None, 1, 1.0, "d")],
@@ -107,19 +107,35 @@ def test_weather_join_both_ways(spark, limit):
     weather = spark.createDataFrame(
         [(t, 10.0, "w") for t in hours("2025-01-01T02:00:00", 9)] + [(None, 1.0, "w")], "date timestamp, temperature_2m double, note string"
     )
-    got = joins.enrich_with_weather(demand, weather, broadcast_rows=limit, salts=3)
+    got = joins.enrich_with_weather(demand, weather, broadcast_bytes=limit, salts=3)
     assert got.count() == 9 and {"note_x", "note_y"} < set(got.columns)
-    left = joins.lookup_join(demand, weather.drop("note"), ["date"], "left", broadcast_rows=limit)
+    left = joins.lookup_join(demand, weather.drop("note"), ["date"], "left", broadcast_bytes=limit)
     assert left.count() == 16 and left.where("temperature_2m is null").count() == 7
 
 
+def test_hot_key_is_spread(spark):
+    facts = spark.range(6000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    lookup = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    assert [r["k"] for r in joins.hot_keys(facts, ["k"]).collect()] == [0]
+    for how in ("inner", "left"):
+        got = joins.lookup_join(facts, lookup.where("k % 2 = 0"), ["k"], how, broadcast_bytes=0)
+        truth = facts.join(lookup.where("k % 2 = 0"), "k", how)
+        assert values(got, "k", "v", "w") == values(truth, "k", "v", "w")
+
+
+def test_size_check_measures_text(spark):
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert joins.fits(df, 120_000) and not joins.fits(df, 90_000)
+    assert not joins.fits(spark.range(10_000), 1000) and joins.fits(spark.range(0), 0)
+
+
 def test_plan_of_both_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         demand, weather = series(spark, 10, 1).select("date", "demand"), series(spark, 10, 1).select("date", "hour")
         plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan(joins.enrich_with_weather(demand, weather))
-        large = plan(joins.enrich_with_weather(demand, weather, broadcast_rows=5))
+        large = plan(joins.enrich_with_weather(demand, weather, broadcast_bytes=5))
         assert "SortMergeJoin" in large and "_salt" in large
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -25,8 +25,8 @@ def test_static_enrichment(spark, tmp_path):
     t = hours("2025-01-01", 4)
     land(spark, path, [(z, x, 1.0) for x in t for z in (0, 1)])
     wx = spark.createDataFrame([(x, 5.0) for x in t[:2]], "date timestamp, temperature_2m double")
-    for limit in (10, 0):
-        got = streaming.drain(streaming.enrich_stream(streaming.read_stream(spark, path, DDL), wx, broadcast_rows=limit), "static")
+    for limit in (1 << 20, 0):
+        got = streaming.drain(streaming.enrich_stream(streaming.read_stream(spark, path, DDL), wx, broadcast_bytes=limit), "static")
         assert got.count() == 4 and got.columns == ["date", "sub_region_code", "demand", "temperature_2m"]
 
 
