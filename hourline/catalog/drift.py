@@ -140,11 +140,29 @@ def report(spark, sf_dir):
     return out.select("column", "method", F.round("score", 6).alias("score"), "drifted")
 
 
-@query("l5_small_reference_report")
+def full_report(small: str) -> str:
+    """The report with the choice of tests by size; ``small`` is the largest size that counts as small."""
+    return f"""{COUNTS}, first AS (SELECT "column", min_by(n_ref, x) AS a, min_by(n_cur, x) AS b, sum(n_ref)::DOUBLE AS n1, sum(n_cur)::DOUBLE AS n2
+      FROM counts GROUP BY 1),
+    ztest AS (SELECT "column", (a + b) / (n1 + n2) AS pooled, coalesce((a / n1 - b / n2)
+      / nullif(sqrt((a + b) / (n1 + n2) * (1 - (a + b) / (n1 + n2)) * (1 / n1 + 1 / n2)), 0), 0) AS z FROM first),
+    picked AS (SELECT "column", t_ref AS n_ref, t_cur AS n_cur, js, chi2, ks, z, w / greatest(s, 0.001) AS wn,
+      sqrt(t_ref::DOUBLE * t_cur / (t_ref + t_cur)) AS root,
+      CASE WHEN t_ref > {small} AND d > 5 THEN 'wasserstein' WHEN t_ref > {small} THEN 'jensenshannon'
+        WHEN d > 5 THEN 'ks' WHEN d > 2 THEN 'chisquare' ELSE 'z' END AS method
+      FROM numeric JOIN js USING ("column") JOIN dev USING ("column") JOIN ztest USING ("column")),
+    full_report AS (SELECT "column", method, n_ref, n_cur,
+      round(CASE method WHEN 'wasserstein' THEN wn WHEN 'jensenshannon' THEN js WHEN 'ks' THEN ks WHEN 'chisquare' THEN chi2 ELSE z END, 6) AS statistic,
+      CASE method WHEN 'wasserstein' THEN wn >= 0.1 WHEN 'jensenshannon' THEN js >= 0.1
+        WHEN 'ks' THEN 2 * list_sum(list_transform(range(1, 101), lambda j: (-1.0) ** (j - 1) * exp(-2 * (j * greatest(0.2, (root + 0.12 + 0.11 / root) * ks)) ** 2))) < 0.05
+        WHEN 'z' THEN abs(z) > 1.959963984540054 END AS drifted FROM picked)"""
+
+
+@query("l5_small_reference_report", f"""WITH {full_report("1e18")} SELECT "column", method, statistic, drifted FROM full_report""")
 def small_reference_report(spark, sf_dir):
     """The tests for small references, whatever the size: p-values instead of distances."""
     out = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), small_reference=2**62)
-    return out.select("column", "method", F.round("score", 6).alias("score"), "drifted")
+    return out.select("column", "method", F.round("statistic", 6).alias("statistic"), "drifted")
 
 
 @query(
@@ -203,8 +221,9 @@ def drift_document(spark, sf_dir):
     return doc.select("number_of_columns", "number_of_drifted_columns")
 
 
-@query("drift_run")
+@query("drift_run", f"""WITH {full_report("1000")} SELECT "column", method, statistic, drifted, n_ref, n_cur FROM full_report""")
 def drift_run(spark, sf_dir):
     """The whole drift run with the default choice of tests."""
-    _, full, _ = detect_drift(features(spark, sf_dir).drop("sub_region_code"))
-    return full.withColumn("score", F.round("score", 6))
+    stored = stage(features(spark, sf_dir).drop("sub_region_code"), "features")
+    _, full, _ = detect_drift(stored)
+    return full.select("column", "method", F.round("statistic", 6).alias("statistic"), "drifted", "n_ref", "n_cur")

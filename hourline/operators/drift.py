@@ -73,6 +73,7 @@ def _with_totals(counts: DataFrame) -> DataFrame:
         F.sum("n_ref").alias("total_ref"),
         F.sum("n_cur").alias("total_cur"),
         F.count_if(F.col("n_ref") > 0).alias("distinct_ref"),
+        F.min("x").alias("x_least"),
     )
     # One row per column of the table.
     return counts.join(F.broadcast(totals), "column")
@@ -90,17 +91,19 @@ def category_distances(counts: DataFrame) -> DataFrame:
     expected = F.col("n_ref") * (F.col("total_cur") / F.nullif(F.col("total_ref"), F.lit(0)))
     miss = F.col("n_cur") - expected
     chi2 = F.when(expected > 0, miss * miss / F.nullif(expected, F.lit(0.0))).otherwise(F.lit(float("inf")))
+    is_least = F.col("x") == F.col("x_least")
     by_column = _with_totals(counts).groupBy("column", "total_ref", "total_cur", "distinct_ref").agg(
         F.sqrt(F.greatest(F.sum((kl(p) + kl(q)) / 2), F.lit(0.0))).alias("js_distance"),
         F.sum(chi2).alias("chi2"),
         F.count(F.lit(1)).alias("categories"),
-        F.min_by(F.struct("n_ref", "n_cur"), "x").alias("_one"),
+        F.sum(F.when(is_least, F.col("n_ref")).otherwise(0)).alias("_one_ref"),
+        F.sum(F.when(is_least, F.col("n_cur")).otherwise(0)).alias("_one_cur"),
     )
     n1, n2 = F.col("total_ref"), F.col("total_cur")
-    pooled = (F.col("_one.n_ref") + F.col("_one.n_cur")) / F.nullif(n1 + n2, F.lit(0))
+    pooled = (F.col("_one_ref") + F.col("_one_cur")) / F.nullif(n1 + n2, F.lit(0))
     spread = F.sqrt(pooled * (1 - pooled) * (1 / F.nullif(n1, F.lit(0)) + 1 / F.nullif(n2, F.lit(0))))
-    gap = F.col("_one.n_ref") / F.nullif(n1, F.lit(0)) - F.col("_one.n_cur") / F.nullif(n2, F.lit(0))
-    return by_column.withColumn("z", F.coalesce(gap / F.nullif(spread, F.lit(0.0)), F.lit(0.0))).drop("_one")
+    gap = F.col("_one_ref") / F.nullif(n1, F.lit(0)) - F.col("_one_cur") / F.nullif(n2, F.lit(0))
+    return by_column.withColumn("z", F.coalesce(gap / F.nullif(spread, F.lit(0.0)), F.lit(0.0))).drop("_one_ref", "_one_cur")
 
 
 def numeric_distances(counts: DataFrame, splits: int | None = None) -> DataFrame:
@@ -249,13 +252,13 @@ def column_summary(labelled: DataFrame, column: str, splits: int | None = None)
         F.min("x").alias("min"),
         F.max("x").alias("max"),
         (F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("mean"),
-        F.max_by("x", F.struct("n", -F.col("x"))).alias("most_common"),
         F.max("n").alias("most_common_count"),
     )
-    centred = present.join(F.broadcast(basic.select("period", "mean", "n_values")), "period")
+    centred = present.join(F.broadcast(basic.select("period", "mean", "n_values", "most_common_count")), "period")
     off = F.col("x") - F.col("mean")
     deviation = centred.groupBy("period").agg(
-        F.sqrt(F.sum(F.col("n") * off * off) / F.nullif(F.max("n_values") - 1, F.lit(0))).alias("stddev")
+        F.sqrt(F.sum(F.col("n") * off * off) / F.nullif(F.max("n_values") - 1, F.lit(0))).alias("stddev"),
+        F.min(F.when(F.col("n") == F.col("most_common_count"), F.col("x"))).alias("most_common"),
     )
     nulls = counts.groupBy("period").agg(F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"))
     points = quantiles(present, "x", "n", [0.25, 0.5, 0.75], by="period").groupBy("period").agg(

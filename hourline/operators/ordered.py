@@ -15,8 +15,8 @@ from pyspark.sql import Window as W
 
 BUCKET_SECONDS = 90 * 86400
 ROWS_PER_TASK = 1_000_000
-# Below Spark's group-limit threshold, so that split points are trimmed before they are shuffled.
 MAX_SPLITS = 512
+OVERSAMPLE = 16
 
 
 def number_rows(
@@ -57,30 +57,36 @@ def running_totals(
 
     ``order`` must be unique inside a group and may be a struct. ``following`` names a column for the next order value.
     ``by`` is a label with few values, such as a column name. With ``splits`` unset the row count decides: up to a
-    million rows one task per group does it; beyond that the order values are cut at hash-sampled split points, so the
-    result does not depend on the number of slices and a re-run task always sees the same cut.
+    million rows one task per group does it; beyond that the order values are cut at split points sampled by hash, so a
+    re-run task always sees the same cut.
     """
+    rows = max(1, df.count()) if splits is None or splits > 1 else 1
     if splits is None:
-        splits = min(MAX_SPLITS, math.ceil(max(1, df.count()) / ROWS_PER_TASK))
+        splits = 1 if rows <= ROWS_PER_TASK else min(MAX_SPLITS, math.ceil(4 * rows / ROWS_PER_TASK))
     group = [by] if by else []
     if splits <= 1:
         return _within(df, group, order, sums, following)
 
-    keys = df.select(*group, order)
-    shuffled = W.partitionBy(*group).orderBy(F.xxhash64(order), F.col(order)) if by else None
+    # About OVERSAMPLE values per slice, chosen by their hash, and every so-manieth of them as a split point.
+    one_in = max(1, rows // (splits * OVERSAMPLE))
+    sampled = df.select(*group, order).where(F.pmod(F.xxhash64(order), F.lit(one_in)) == 0)
+    points = sampled.groupBy(*group).agg(F.sort_array(F.collect_list(order)).alias("_sample"))
+    stride = F.ceil((F.size("_sample") + 1) / splits)
+    points = points.select(*group, F.filter("_sample", lambda _, i: (i + 1) % stride == 0).alias("_points"))
+    # Looked up in two steps, first among every `jump`-th point, so that a row is compared with few of them.
+    jump = math.ceil(math.sqrt(splits))
+    points = points.select(
+        *group, F.struct("_points", F.filter("_points", lambda _, i: (i + 1) % jump == 0).alias("_coarse")).alias("_cut")
+    )
     if by:
-        points = (
-            keys.withColumn("_r", F.row_number().over(shuffled))
-            .where(F.col("_r") < splits)
-            .groupBy(by)
-            .agg(F.sort_array(F.collect_list(order)).alias("_points"))
-        )
-        # At most `splits` values for each of the few labels in `by`.
-        cut = df.join(F.broadcast(points), by)
+        # One row of at most `splits` values for each of the few labels in `by`.
+        cut = df.join(F.broadcast(points), by, "left")
     else:
-        sampled = keys.orderBy(F.xxhash64(order), F.col(order)).limit(splits - 1)
-        cut = df.withColumn("_points", sampled.agg(F.sort_array(F.collect_list(order))).scalar())
-    cut = cut.withColumn("_slice", F.size(F.filter("_points", lambda p: p <= F.col(order)))).drop("_points")
+        cut = df.withColumn("_cut", points.select("_cut").scalar())
+    not_after = lambda p: p <= F.col(order)
+    passed = F.size(F.filter("_cut._coarse", not_after)) * jump
+    near = F.size(F.filter(F.slice("_cut._points", passed + 1, F.lit(jump)), not_after))
+    cut = cut.withColumn("_slice", F.greatest(passed + near, F.lit(0))).drop("_cut")
 
     totals = cut.groupBy(*group, "_slice").agg(
         F.min(order).alias("_first"), *[F.sum(s).alias(f"_{s}_total") for s in sums]
