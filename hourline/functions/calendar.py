@@ -13,43 +13,42 @@ from pyspark.sql import functions as F
 
 MON, THU, FRI = 0, 3, 4
 
-# Fixed values: (month, day, first year) of the federal holidays tied to a date; Saturday moves to Friday, Sunday to
-# Monday.
-DATED = [(1, 1, 0), (6, 19, 2021), (7, 4, 0), (11, 11, 0), (12, 25, 0)]
-# Fixed values: (month, weekday, which one in the month, first year) of the holidays tied to a weekday.
-NTH_WEEKDAY = [(1, MON, 3, 1986), (2, MON, 3, 0), (9, MON, 1, 0), (10, MON, 2, 0), (11, THU, 4, 0)]
+# Federal holidays as month · 100 + day. Those tied to a date move from Saturday to Friday and from Sunday
+# to Monday; those tied to a weekday are the days of the month it can fall on.
+DATED = [101, 704, 1111, 1225]
+DATED_SINCE = {619: 2021}
+MONDAYS = [(215, 221), (525, 531), (901, 907), (1008, 1014)]
+MONDAYS_SINCE = {(115, 121): 1986}
+THURSDAYS = [(1122, 1128)]
 
 
 def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def _month_day(day: Column) -> Column:
+    return F.month(day) * 100 + F.dayofmonth(day)
+
+
 def _is_dated(day: Column) -> Column:
-    return _any(
-        [
-            (F.month(day) == month) & (F.dayofmonth(day) == dom) & (F.year(day) >= first)
-            for month, dom, first in DATED
-        ]
-    )
+    code = _month_day(day)
+    recent = [(code == dated) & (F.year(day) >= first) for dated, first in DATED_SINCE.items()]
+    return _any([code.isin(DATED), *recent])
 
 
 def is_federal_holiday(day: Column) -> Column:
     """True on the day a US federal holiday is observed."""
-    weekday = F.weekday(day)
+    weekday, code = F.weekday(day), _month_day(day)
+    monday, friday = weekday == MON, weekday == FRI
     observed = (
         ((weekday <= FRI) & _is_dated(day))
-        | ((weekday == FRI) & _is_dated(F.date_add(day, 1)))
-        | ((weekday == MON) & _is_dated(F.date_sub(day, 1)))
-    )
-    nth = F.floor((F.dayofmonth(day) + 6) / 7)
-    floating = _any(
-        [
-            (F.month(day) == month) & (weekday == wanted) & (nth == n) & (F.year(day) >= first)
-            for month, wanted, n, first in NTH_WEEKDAY
-        ]
+        | (friday & _is_dated(F.date_add(day, 1)))
+        | (monday & _is_dated(F.date_sub(day, 1)))
     )
-    last_monday_of_may = (F.month(day) == 5) & (weekday == MON) & (F.dayofmonth(day) >= 25)
-    return observed | floating | last_monday_of_may
+    since = [code.between(*days) & (F.year(day) >= first) for days, first in MONDAYS_SINCE.items()]
+    on_monday = monday & _any([*[code.between(*days) for days in MONDAYS], *since])
+    on_thursday = (weekday == THU) & _any([code.between(*days) for days in THURSDAYS])
+    return observed | on_monday | on_thursday
 
 
 def is_holiday(time: Column, mode: str = "midnight") -> Column:

@@ -53,7 +53,8 @@ def lookup_join(
     """
     if fits(lookup, broadcast_bytes):
         return facts.join(F.broadcast(lookup), on, how)
-    share = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    # The partition number spreads identical rows too; which task a row goes to never changes the result.
+    share = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     if facts.isStreaming:
         spread = facts.withColumn("_salt", share)

@@ -18,13 +18,14 @@ MAX_RECORDS_PER_FILE = 5_000_000
 def write_landed_demand(records: DataFrame, root: str, day: str = "day") -> None:
     """Land records as envelopes under ``root/day=…``, replacing only the days that occur in ``records``.
 
-    One envelope per line and record, so a large day is written by as many tasks as hold its rows, and no day is ever
-    put together in one place. A day without records leaves no folder.
+    One envelope per line and record, so no day has to be put together in one place: small days are written by one task
+    each, a large one is split over several. A day without records leaves no folder.
     """
     fields = [c for c in records.columns if c != day]
     envelope = F.to_json(F.struct(F.struct(F.array(F.struct(*fields)).alias("data")).alias("response")))
     (
         records.select(F.col(day).alias("day"), envelope.alias("value"))
+        .hint("rebalance", "day")
         .write.partitionBy("day")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -52,7 +53,7 @@ def write_document(df: DataFrame, path: str) -> None:
 
 def append_predictions(predictions: DataFrame, path: str, time: str = schema.TIME) -> None:
     """Keep the history of predictions by day, so that a later run can be compared with what was predicted before."""
-    predictions.withColumn("day", F.to_date(time)).write.mode("append").partitionBy("day").parquet(path)
+    predictions.withColumn("day", F.to_date(time)).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def run_row(
@@ -89,5 +90,5 @@ def upsert_keyed(new: DataFrame, path: str, keys: list[str], event_time: str = s
         incoming = incoming.withColumn("_age", F.lit(0))
     rest = [F.col(c) for c in new.columns if c not in keys]
     merged = stage(dedupe_first(incoming, keys, [F.col("_age"), *rest]).drop("_age"), f"upsert-{uuid.uuid4().hex[:8]}")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    merged.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     return spark.read.parquet(path)

@@ -26,10 +26,11 @@ def drop_duplicate_readings(
 ) -> DataFrame:
     """One reading per (key, time), for repeats that arrive within ``late``.
 
-    Repeats are first dropped within ``spread`` shares of a key, so that copies of one reading do not all meet in one
-    task; what is left, at most ``spread`` rows per key, is then made unique.
+    Repeats are first dropped within ``spread`` shares of the input partitions, so that many copies of one reading do
+    not all meet in one task; what is left, at most ``spread`` rows per key, is then made unique. The second step alone
+    decides what is kept, whichever share a copy fell into.
     """
-    share = F.pmod(F.xxhash64(*[c for c in readings.columns]), F.lit(spread))
+    share = F.pmod(F.spark_partition_id(), F.lit(spread))
     marked = readings.withWatermark(time, late).withColumn("_share", share)
     return (
         marked.dropDuplicatesWithinWatermark([key, time, "_share"])

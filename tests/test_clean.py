@@ -123,6 +123,15 @@ def test_hot_key_is_spread(spark):
         assert values(got, "k", "v", "w") == values(truth, "k", "v", "w")
 
 
+def test_identical_rows_of_a_hot_key_are_spread(spark):
+    facts = spark.range(4000).repartition(8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    lookup = spark.createDataFrame([(1, "w")], "k int, w string")
+    joined = joins.lookup_join(facts, lookup, ["k"], broadcast_bytes=0)
+    assert joined.count() == 4000
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "spark_partition_id" in plan.lower()
+
+
 def test_size_check_measures_text(spark):
     df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert joins.fits(df, 120_000) and not joins.fits(df, 90_000)

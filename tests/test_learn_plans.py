@@ -153,3 +153,10 @@ def test_monitoring_range(spark, tmp_path):
     ends = got.agg(F.min("date"), F.max("date"), F.count("*")).first()
     assert (ends[0], ends[1], ends[2]) == (at("2025-01-02").replace(tzinfo=None), at("2025-01-03").replace(tzinfo=None), 25)
     assert plans.monitoring_errors(got).first()["mae"] == 10.0
+
+
+def test_empty_inputs_give_empty_tables(spark):
+    demand, wx = raw_tables(spark)
+    for raw, weather in ((demand.limit(0), wx), (demand, wx.limit(0))):
+        built = plans.build_features(raw, weather)
+        assert built.features.isEmpty() and built.status.first()[0] is True
