@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 BUCKET_SECONDS = 90 * 86400
 ROWS_PER_TASK = 1_000_000
 MAX_SPLITS = 512
+MAX_SLOTS = 100_000
 OVERSAMPLE = 16
 
 
@@ -23,17 +24,19 @@ def number_rows(
     df: DataFrame,
     key: str = "sub_region_code",
     time: str = "date",
-    bucket_seconds: int = BUCKET_SECONDS,
+    bucket_seconds: float | None = BUCKET_SECONDS,
     rn: str = "rn",
 ) -> DataFrame:
     """Add ``rn``, the 1-based position of every row inside its series by time.
 
-    A task holds one series for one time bucket. Rows without key or time have no position and are left out, see
-    ``operators.clean.split_rejects``; (key, time) must be unique, see ``operators.clean.dedupe_first``.
+    A task holds one series for one time bucket: 90 days are some two thousand hourly or eight million secondly rows.
+    For denser series ``bucket_seconds=None`` measures the width. Rows without key or time have no position and are left
+    out, see ``operators.clean.split_rejects``; (key, time) must be unique, see ``operators.clean.dedupe_first``.
     """
-    keyed = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn(
-        "_slot", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / bucket_seconds)
-    )
+    present = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    width = _slot_width(present, key, micros) if bucket_seconds is None else F.lit(int(bucket_seconds * 1_000_000))
+    keyed = present.withColumn("_slot", F.floor(micros / width))
     counts = keyed.groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(key, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
@@ -45,6 +48,21 @@ def number_rows(
     )
 
 
+def _slot_width(df: DataFrame, key: str, micros: Column) -> Column:
+    """Bucket width in microseconds, as a scalar subquery.
+
+    90 days, or less where the densest 90 days of a series hold more than a million rows, but never so little that the
+    whole time span falls into more than ``MAX_SLOTS`` buckets.
+    """
+    whole = BUCKET_SECONDS * 1_000_000
+    per_bucket = df.groupBy(key, F.floor(micros / whole).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_from"), F.max(micros).alias("_to")
+    )
+    narrow = F.least(F.lit(float(whole)), F.lit(float(whole)) * ROWS_PER_TASK / F.max("_n"))
+    span = (F.max("_to") - F.min("_from")) / MAX_SLOTS
+    return per_bucket.agg(F.greatest(F.floor(F.greatest(narrow, span)), F.lit(1))).scalar()
+
+
 def running_totals(
     df: DataFrame,
     order: str,

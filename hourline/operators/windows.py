@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 
 from hourline import schema
 from hourline.operators.clean import require_columns, require_rows
+from hourline.operators.joins import lookup_join
 from hourline.operators.ordered import BUCKET_SECONDS, last_per_series, number_rows, running_totals, top_n
 from hourline.session import shuffle_partitions
 
@@ -43,7 +44,7 @@ def _targets(
     lag_mode: str,
     grain_seconds: int,
     chunk_rows: int | None,
-    bucket_seconds: int,
+    bucket_seconds: float | None,
 ) -> tuple[DataFrame, Column]:
     """Every row with ``reach`` rows (or clock steps) before it, next to its chunk's values and its slot in them."""
     require_columns(df, [key, time, value, *covariates])
@@ -55,7 +56,7 @@ def _targets(
         base = base.where(F.col(key).isNotNull() & F.col(time).isNotNull())
         base = base.withColumn("_step", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / grain_seconds))
         start = base.groupBy(key).agg(F.min("_step").alias("_start"))
-        placed = base.join(start, key).withColumn("_at", F.col("_step") - F.col("_start"))
+        placed = lookup_join(base, start, [key]).withColumn("_at", F.col("_step") - F.col("_start"))
     else:
         raise ValueError("lag_mode must be 'rows' or 'time'")
 
@@ -99,7 +100,7 @@ def lag_windows(
     lag_mode: str = "rows",
     grain_seconds: int = 3600,
     chunk_rows: int | None = None,
-    bucket_seconds: int = BUCKET_SECONDS,
+    bucket_seconds: float | None = BUCKET_SECONDS,
 ) -> DataFrame:
     """One row per window: key, time, ``demand_lags`` (oldest first), the covariates and the target.
 
@@ -132,7 +133,7 @@ def lag_columns(
     lag_mode: str = "rows",
     grain_seconds: int = 3600,
     chunk_rows: int | None = None,
-    bucket_seconds: int = BUCKET_SECONDS,
+    bucket_seconds: float | None = BUCKET_SECONDS,
 ) -> DataFrame:
     """The narrow form: only the lags asked for, as ``demand_previous_<k>_hour``, without building the arrays.
 
@@ -277,7 +278,7 @@ def seasonal_naive(
     key: str = schema.KEY,
     time: str = schema.TIME,
     value: str = schema.VALUE,
-    bucket_seconds: int = BUCKET_SECONDS,
+    bucket_seconds: float | None = BUCKET_SECONDS,
 ) -> DataFrame:
     """The reading ``lag_steps`` rows earlier as a forecast: (key, time, predicted_demand)."""
     lagged = lag_columns(df, [lag_steps], 1, key, time, value, [], bucket_seconds=bucket_seconds)

@@ -6,7 +6,7 @@ from hourline.operators import ordered
 from tests.helpers import hours, series
 
 
-@pytest.mark.parametrize("bucket", [3600, 86400, 90 * 86400])
+@pytest.mark.parametrize("bucket", [3600, 86400, 90 * 86400, None])
 def test_number_rows(spark, bucket):
     df = series(spark, 100, 3).where("hour(date) % 5 <> 2")
     got = ordered.number_rows(df, bucket_seconds=bucket).toPandas()
@@ -16,6 +16,17 @@ def test_number_rows(spark, bucket):
     assert len(both) == len(truth) and (both["rn_x"] == both["rn_y"]).all()
 
 
+def test_dense_series_get_narrow_slots(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 100)
+    df = spark.range(3000).select(
+        (F.col("id") % 2).alias("sub_region_code"), F.timestamp_micros(1_700_000_000_000_000 + F.col("id") * 1000).alias("date")
+    )
+    numbered = ordered.number_rows(df, bucket_seconds=None)
+    assert [r["n"] for r in numbered.groupBy("rn").agg(F.count("*").alias("n")).orderBy("rn").collect()] == [2] * 1500
+    width = df.select(ordered._slot_width(df, "sub_region_code", F.unix_micros("date")).alias("w")).first()["w"]
+    assert width == 90 * 86400 * 1_000_000 * 100 // 1500
+
+
 @pytest.mark.parametrize("splits", [1, 2, 7, 64])
 def test_running_totals(spark, splits):
     df = spark.range(500).select((F.col("id") * 7919 % 500).alias("x"), (F.col("id") % 11).alias("n"))
