@@ -106,8 +106,8 @@ def lag_windows(
 
     Covariates and target are those of the row right after the window. Every ``step``-th window of a series is kept,
     counted from its first. A null reading keeps its place in the array. Series with fewer than ``seq_len + 1`` rows
-    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps, so a missing hour is a null lag
-    instead of a shift.
+    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps of ``grain_seconds``, of which a series
+    has one row each, so a missing hour is a null lag instead of a shift.
     """
     covariates = list(schema.COVARIATES if covariates is None else covariates)
     targets, slot = _targets(
