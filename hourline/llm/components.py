@@ -16,18 +16,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root``, the smallest node it reaches, for every node of a link. Nodes are comparable values.
 
     A round hangs every node's larger neighbours to the least of its neighbourhood, then its smaller ones. The least
-    neighbour is a map-side aggregate and links join on their own keys, so a node with very many links is no single
-    task's work. Rounds grow with the logarithm of the longest path; each ends in a written table.
+    neighbour is a map-side aggregate, written, so that Spark can split the join of a node with very many links. Rounds grow with the logarithm of the longest path; each ends in a written table.
     """
     links = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     links = stage(links, "links")
     before = _digest(links)
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.where("u <> v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         links = stage(small.where("u <> v").distinct(), "small-star")
         now = _digest(links)

@@ -114,7 +114,7 @@ def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int) -
 
     coded = nodes.select("id", "vector").mapInArrow(code, "id long, t int, code long").join(nodes.select("id", "grp"), "id")
     coded = stage(coded, "codes")
-    sizes = coded.groupBy("grp", "t", "code").agg(F.ceil(F.count("*") / (16 * BUCKET)).alias("parts"))
+    sizes = stage(coded.groupBy("grp", "t", "code").agg(F.ceil(F.count("*") / (16 * BUCKET)).alias("parts")), "code-sizes")
     bucket = F.xxhash64("grp", "t", "code", F.pmod(F.xxhash64("id", "t"), "parts"))
     placed = coded.join(sizes, ["grp", "t", "code"]).select(F.xxhash64(bucket, "grp").alias("bucket"), "id")
     rows = placed.join(nodes.select("id", "vector"), "id").select("bucket", "id", "vector")
