@@ -136,7 +136,7 @@ REPORT = f"""{COUNTS}, report AS (
 )
 def report(spark, sf_dir):
     """The tests for large references, whatever the size."""
-    out = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), small_reference=0)
+    out = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), tests="distance")
     return out.select("column", "method", F.round("score", 6).alias("score"), "drifted")
 
 
@@ -161,7 +161,7 @@ def full_report(small: str) -> str:
 @query("l5_small_reference_report", f"""WITH {full_report("1e18")} SELECT "column", method, statistic, drifted FROM full_report""")
 def small_reference_report(spark, sf_dir):
     """The tests for small references, whatever the size: p-values instead of distances."""
-    out = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), small_reference=2**62)
+    out = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), tests="p_value")
     return out.select("column", "method", F.round("statistic", 6).alias("statistic"), "drifted")
 
 
@@ -171,7 +171,7 @@ def small_reference_report(spark, sf_dir):
       round(avg(CAST(score >= 0.1 AS INT)), 6) AS share_of_drifted_columns, avg(CAST(score >= 0.1 AS INT)) >= 0.5 AS dataset_drift FROM report""",
 )
 def dataset(spark, sf_dir):
-    full = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), small_reference=0)
+    full = drift.drift_report(labelled(spark, sf_dir).drop("sub_region_code", "date"), tests="distance")
     return drift.dataset_drift(full).withColumn("share_of_drifted_columns", F.round("share_of_drifted_columns", 6))
 
 
@@ -215,7 +215,7 @@ def drift_document(spark, sf_dir):
 
     path = scratch_path(spark, "drift")
     labelled_rows = labelled(spark, sf_dir)
-    full = stage(drift.drift_report(labelled_rows.drop("sub_region_code", "date"), small_reference=0), "drift-report")
+    full = stage(drift.drift_report(labelled_rows.drop("sub_region_code", "date"), tests="distance"), "drift-report")
     sinks.write_document(drift.drift_document(full, drift.column_summary(labelled_rows, "demand")), path)
     doc = sources.read_document(spark, path)
     return doc.select("number_of_columns", "number_of_drifted_columns")
@@ -225,5 +225,5 @@ def drift_document(spark, sf_dir):
 def drift_run(spark, sf_dir):
     """The whole drift run with the default choice of tests."""
     stored = stage(features(spark, sf_dir).drop("sub_region_code"), "features")
-    _, full, _ = detect_drift(stored)
+    _, full, _ = detect_drift(stored, tests="by_size")
     return full.select("column", "method", F.round("statistic", 6).alias("statistic"), "drifted", "n_ref", "n_cur")

@@ -285,8 +285,8 @@ def prediction_history(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     forecast = seasonal_naive(hourly(spark, sf_dir), 24)
     last = newest(forecast)
-    sinks.append_predictions(forecast.where(F.col("date") < last), path)
-    sinks.append_predictions(forecast.where(F.col("date") >= last), path)
+    sinks.keep_predictions(forecast.where(F.col("date") < last), path)
+    sinks.keep_predictions(forecast.where(F.col("date") >= last), path)
     return spark.read.parquet(path)
 
 

@@ -208,6 +208,28 @@ def best_candidate(spark, sf_dir):
     return won.select("candidate", "family", F.round("mean_rmse", 4).alias("mean_rmse"))
 
 
+@query(
+    "b11_tuning_log",
+    """WITH s AS (SELECT o_orderpriority AS family, CAST(dayofweek(o_orderdate) AS INTEGER) AS candidate,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS rmse
+      FROM orders GROUP BY o_orderpriority, dayofweek(o_orderdate), month(o_orderdate)),
+    m AS (SELECT family, candidate, avg(rmse) AS mean FROM s GROUP BY 1, 2)
+    SELECT family, candidate, round(mean, 4) AS cv_best_rmse FROM m
+    QUALIFY row_number() OVER (PARTITION BY family ORDER BY mean, candidate) = 1""",
+)
+def tuning_log(spark, sf_dir):
+    """What the training job logs per family, from the same shape of scores."""
+    from hourline.operators.learn import best_per_family
+
+    scores = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_orderpriority").alias("family"),
+        (F.dayofweek("o_orderdate") - 1).alias("candidate"),
+        F.month("o_orderdate").alias("fold"),
+    ).agg((exact_sum(F.col("o_totalprice"), 2) / F.count(F.lit(1))).alias("rmse"))
+    best = best_per_family(scores.withColumn("params", F.lit("{}")))
+    return best.select("family", "candidate", F.round("cv_best_rmse", 4).alias("cv_best_rmse"))
+
+
 @query(
     "z12_monitoring",
     f"""WITH {NAIVE}, m AS (SELECT max(date) AS today FROM daily)

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourline import plans, schema, sinks, sources
-from hourline.operators.clean import split_rejects
-from hourline.operators.learn import load_model, save_model
+from hourline.operators.clean import require_rows, split_rejects
+from hourline.operators.learn import best_per_family, load_model, save_model
 from hourline.operators.quality import quality_report, require_valid, validation_status
-from hourline.session import configure, use_utc
+from hourline.session import configure, stage, use_utc
+
+WINDOW_OPTIONS = ("covariates", "lag_mode", "grain_seconds", "bucket_seconds")
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,8 @@ def run_features(
     sources.require_source(spark, at.weather, "Weather")
     raw = sources.landed_demand(spark, at.demand, start, end)
     weather = sources.read_weather_csv(spark, at.weather)
-    sinks.write_table(plans.merge_demand_weather(raw, weather, dedupe), at.processed)
+    merged = stage(plans.merge_demand_weather(raw, weather, dedupe), "merged")
+    sinks.write_table(require_rows(merged, "Nothing landed in the range; the tables stay as they are"), at.processed)
     processed = spark.read.parquet(at.processed)
     sinks.write_document(validation_status(quality_report(processed, expected)), at.validation_status)
     if valid_only:
@@ -77,15 +80,12 @@ def run_training(
     features = stored_features(spark, at)
     model, scores, best = plans.train(features, seq_len, step, holdout_days=holdout_days, **search)
     save_model(model, at.model)
-    tuned = scores.groupBy("family").agg(
-        F.min_by(F.col("params"), F.col("candidate")).alias("p"), F.min("rmse").alias("best_fold_rmse")
-    )
     sinks.append_runs(
-        tuned.select(
+        best_per_family(scores).select(
             F.lit("tuning").alias("run"),
             F.col("family").alias("step"),
-            F.from_json("p", "map<string,string>").alias("params"),
-            F.create_map(F.lit("best_fold_rmse"), F.col("best_fold_rmse")).alias("metrics"),
+            F.from_json("params", "map<string,string>").alias("params"),
+            F.create_map(F.lit("cv_best_rmse"), F.col("cv_best_rmse")).alias("metrics"),
             F.current_timestamp().alias("logged_at"),
         ),
         at.runs,
@@ -94,8 +94,9 @@ def run_training(
     sinks.append_runs(
         sinks.run_row(spark, "training", best["model_name"], best["params"], {"best_cv_rmse": best["score"]}, now), at.runs
     )
-    season = {"covariates": search["covariates"]} if "covariates" in search else {}
-    metrics = plans.evaluate(features, model, seq_len, step, holdout_days, **season)
+    # The holdout is windowed as the training was.
+    windowing = {k: v for k, v in search.items() if k in WINDOW_OPTIONS}
+    metrics = plans.evaluate(features, model, seq_len, step, holdout_days, **windowing)
     sinks.write_document(metrics, at.metrics)
     row = sources.read_document(spark, at.metrics, schema.METRICS_DDL).first().asDict()
     logged = {f"val_{k}": row[k] for k in ("mse", "mae", "mape", "rmse", "r2_score")}
@@ -109,14 +110,17 @@ def run_training(
 def run_inference(
     spark: SparkSession, at: Locations, as_of: Column | None = None, seq_len: int = schema.SEQ_LEN, keep_history: bool = True
 ) -> DataFrame:
-    """``features`` and ``model`` → ``predictions``, appended by day or, without history, overwritten."""
+    """``features`` and ``model`` → ``predictions``, kept by key and day or, without history, overwritten, and
+    ``prediction_rejects``, the zones whose history is too short."""
     use_utc(spark)
     sources.require_source(spark, at.model, "Model")
     features = stored_features(spark, at)
     as_of = F.current_timestamp() if as_of is None else as_of
-    predicted = plans.predict_next(features, load_model(at.model), as_of, seq_len)
+    ready, short = plans.prediction_inputs(features, as_of, seq_len)
+    sinks.write_table(short.select(schema.KEY, schema.TIME, "feature_time", "n_lags"), at.prediction_rejects)
+    predicted = plans.score_inputs(ready, load_model(at.model))
     if keep_history:
-        sinks.append_predictions(predicted, at.predictions)
+        sinks.keep_predictions(predicted, at.predictions)
     else:
         sinks.write_table(predicted, at.predictions)
     return sources.read_table(spark, at.predictions, schema.PREDICTIONS_DDL)

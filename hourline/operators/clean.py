@@ -95,11 +95,11 @@ def as_of_range(df: DataFrame, as_of: Column, days: int = 29, time: str = schema
 
 
 def as_of_range_or_tail(
-    df: DataFrame, as_of: Column, days: int = 29, tail: int = schema.SEQ_LEN * len(schema.ZONES), time: str = schema.TIME
+    df: DataFrame, as_of: Column, days: int = 29, tail: int = schema.SEQ_LEN, time: str = schema.TIME, key: str = schema.KEY
 ) -> DataFrame:
-    """Like ``as_of_range``; when nothing falls into the range, the last ``tail`` rows of the table instead."""
+    """Like ``as_of_range``; when nothing falls into the range, the last ``tail`` rows of every zone instead."""
     ranged = as_of_range(df, as_of, days, time)
-    return tail_rows(df, tail, time) if ranged.isEmpty() else ranged
+    return top_n(df, [key], [F.col(time).desc()], tail) if ranged.isEmpty() else ranged
 
 
 def tail_rows(df: DataFrame, n: int, time: str = schema.TIME, key: str = schema.KEY) -> DataFrame:

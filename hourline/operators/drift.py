@@ -172,14 +172,17 @@ def drift_report(
     labelled: DataFrame,
     numeric: list[str] | None = None,
     categorical: list[str] | None = None,
-    small_reference: int = SMALL_REFERENCE,
+    tests: str = "distance",
     splits: int | None = None,
 ) -> DataFrame:
     """(column, method, score, threshold, drifted) plus the sizes, one row per column.
 
-    More than 1000 reference values: normed Wasserstein, or Jensen–Shannon for text and for numbers with at most five
-    distinct values. Fewer: Kolmogorov–Smirnov, chi-square, or a two-proportion z test when there are two categories.
+    ``tests="distance"``: normed Wasserstein, or Jensen–Shannon for text and for numbers with at most five distinct
+    values. ``"p_value"``: Kolmogorov–Smirnov, chi-square, or a two-proportion z test when there are two categories.
+    ``"by_size"`` takes p-values up to 1000 reference values and distances beyond, so a score's meaning follows the size.
     """
+    if tests not in ("distance", "p_value", "by_size"):
+        raise ValueError(f"tests must be distance, p_value or by_size, not {tests!r}")
     found_numeric, found_text = typed_columns(labelled)
     numeric = found_numeric if numeric is None else numeric
     categorical = found_text if categorical is None else categorical
@@ -194,7 +197,7 @@ def drift_report(
     stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
     few = F.col("wasserstein_normed").isNull() | (F.col("distinct_ref") <= FEW_VALUES)
-    small = F.col("total_ref") <= small_reference
+    small = F.col("total_ref") <= SMALL_REFERENCE if tests == "by_size" else F.lit(tests == "p_value")
     method = (
         F.when(~small & ~few, "wasserstein")
         .when(~small, "jensenshannon")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from hourline import schema
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-HOT_KEYS = 1000
+TASK_ROWS = 1_000_000
+HOT_KEYS = 100_000
 
 WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
@@ -31,10 +31,8 @@ def _bytes_per_row(df: DataFrame) -> Column:
 
 
 def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when all of ``df`` takes at most ``max_bytes``; stops reading once that is out of the question."""
-    most_rows = max_bytes // 8
-    rows, size = df.limit(most_rows + 1).agg(F.count(F.lit(1)), F.sum(_bytes_per_row(df))).first()
-    return rows <= most_rows and (size or 0) <= max_bytes
+    """True when all of ``df`` takes at most ``max_bytes``: one sum, added up where the rows are."""
+    return (df.agg(F.sum(_bytes_per_row(df))).first()[0] or 0) <= max_bytes
 
 
 def lookup_join(
@@ -43,41 +41,37 @@ def lookup_join(
     on: list[str],
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Inner or left join of many facts to a lookup table.
 
     A lookup of a checked size is broadcast and the facts stay where they are. A larger one is joined by shuffle: the
-    rows of a hot key are spread over ``salts`` tasks, and only the lookup rows of hot keys are repeated. A key is hot
-    when it holds more than one in ``HOT_KEYS`` of the facts, so there are fewer than ``HOT_KEYS`` of them.
+    rows of a hot key are spread over as many tasks as its count asks for, about ``task_rows`` each, and only the lookup
+    rows of hot keys are repeated. A key is hot above ``task_rows`` rows and above one in ``HOT_KEYS`` of the facts, so
+    there are fewer than ``HOT_KEYS`` of them. Batches of a stream are small and are joined as they are.
     """
     if fits(lookup, broadcast_bytes):
         return facts.join(F.broadcast(lookup), on, how)
-    # The partition number spreads identical rows too; which task a row goes to never changes the result.
-    share = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
     if facts.isStreaming:
-        spread = facts.withColumn("_salt", share)
-        repeated = lookup.withColumn("_salt", F.explode(every))
-    else:
-        hot = hot_keys(facts, on)
-        unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-        # Rows without a key match nothing and may lie anywhere, so they are spread too.
-        spread = facts.join(F.broadcast(hot), on, "left").withColumn(
-            "_salt", F.when(F.col("_hot") | unmatched, share).otherwise(F.lit(0))
-        )
-        repeated = lookup.join(F.broadcast(hot), on, "left").withColumn(
-            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-        )
-        spread, repeated = spread.drop("_hot"), repeated.drop("_hot")
+        return facts.join(lookup, on, how)
+    hot = hot_keys(facts, on, task_rows)
+    unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    # The partition number spreads identical rows too; which task a row goes to never changes the result. Rows without a
+    # key match nothing and may lie anywhere.
+    some = F.xxhash64(*facts.columns) + F.spark_partition_id()
+    salts = F.when(unmatched, F.lit(1 << 16)).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(some, salts).cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = lookup.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(facts: DataFrame, on: list[str], most: int = HOT_KEYS) -> DataFrame:
-    """The keys that hold more than one in ``most`` of all rows: fewer than ``most`` by construction."""
+def hot_keys(facts: DataFrame, on: list[str], task_rows: int = TASK_ROWS, most: int = HOT_KEYS) -> DataFrame:
+    """The keys of more than ``task_rows`` rows and of more than one in ``most`` of all, with the tasks to spread them over."""
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = facts.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_n") * most > total).select(*on, F.lit(True).alias("_hot"))
+    large = F.greatest(F.lit(task_rows).cast("long"), F.floor(total / most))
+    return counts.where(F.col("_n") > large).select(*on, F.ceil(F.col("_n") / large).cast("int").alias("_salts"))
 
 
 def enrich_with_weather(demand: DataFrame, weather: DataFrame, on: str = "date", **limits: int) -> DataFrame:

@@ -127,6 +127,13 @@ def best_candidate(scores: DataFrame) -> DataFrame:
     return best.select("_b.*")
 
 
+def best_per_family(scores: DataFrame) -> DataFrame:
+    """(family, candidate, params, cv_best_rmse): per family the candidate with the lowest mean over its folds."""
+    means = scores.groupBy("family", "candidate", "params").agg(F.avg("rmse").alias("mean"))
+    best = means.groupBy("family").agg(F.min_by(F.struct("candidate", "params", "mean"), F.struct("mean", "candidate")).alias("_b"))
+    return best.select("family", "_b.candidate", "_b.params", F.col("_b.mean").alias("cv_best_rmse"))
+
+
 def trainable(windows: DataFrame, covariates: list[str] | None = None) -> DataFrame:
     """Windows a model can learn from: with a target and with every covariate."""
     return windows.dropna(subset=[schema.TARGET, *(schema.COVARIATES if covariates is None else covariates)])

@@ -20,9 +20,11 @@ def regression_metrics(
 ) -> DataFrame:
     """MSE, MAE, MAPE in percent, RMSE, R², and the improvement over the baseline's MAPE.
 
-    R² of a constant actual is 1 for exact predictions and 0 otherwise.
+    R² of a constant actual is 1 for exact predictions and 0 otherwise. ``n_samples`` counts the pairs used; pairs with a
+    null on one side take part in nothing.
     """
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+    p = F.col(predicted).cast("double")
+    y = F.when(p.isNotNull(), F.col(actual).cast("double"))
     error = y - p
     sums = df.groupBy(*(by or [])).agg(
         F.avg(error * error).alias("mse"),
@@ -30,7 +32,7 @@ def regression_metrics(
         (F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(EPS))) * 100).alias("mape"),
         F.sum(error * error).alias("_residual"),
         (F.var_pop(y) * F.count(y)).alias("_total"),
-        F.count(F.lit(1)).alias("n_samples"),
+        F.count(error).alias("n_samples"),
     )
     r2 = (
         F.when(F.col("_total") != 0, 1 - F.col("_residual") / F.col("_total"))

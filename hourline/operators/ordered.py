@@ -140,14 +140,20 @@ def _within(df: DataFrame, group: list[str], order: str, sums: list[str], follow
 def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, spread: int = 64) -> DataFrame:
     """The first ``n`` rows of every group, ties broken by the columns in ``order``.
 
-    Spark trims every map task to ``n`` rows by itself as long as ``n`` is below its group-limit threshold. Above it
-    the rows of a group are spread over ``spread`` tasks, trimmed there, and only the survivors meet in one task;
-    identical rows are counted rather than moved.
+    The rows of a group are spread over ``spread`` tasks, trimmed there, and only the survivors meet in one task, since
+    even ``n`` rows from each of many map tasks are too many for one. Spark trims every map task to ``n`` rows by itself
+    as long as ``n`` is below its group-limit threshold; above it identical rows are counted rather than moved.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= threshold:
-        ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-        return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+        def first(part: DataFrame, keys: list[str]) -> DataFrame:
+            ranked = part.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+            return ranked.where(F.col("_rank") <= n).drop("_rank")
+
+        if n > 1:
+            df = first(df.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(spread))), [*group, "_spread"]).drop("_spread")
+        return first(df, group)
 
     rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     rows = rows.withColumn("_spread", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))

@@ -1,7 +1,7 @@
 """The four runs a user starts: feature build, training and evaluation, next-hour prediction, monitoring."""
 
 from hourline.plans.features import build_features, feature_table, feature_view, merge_demand_weather
-from hourline.plans.inference import predict_next, prediction_inputs
+from hourline.plans.inference import predict_next, prediction_inputs, score_inputs
 from hourline.plans.monitoring import detect_drift, monitor, monitoring_errors
 from hourline.plans.training import evaluate, train
 
@@ -16,5 +16,6 @@ __all__ = [
     "monitoring_errors",
     "predict_next",
     "prediction_inputs",
+    "score_inputs",
     "train",
 ]

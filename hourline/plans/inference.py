@@ -10,6 +10,7 @@ from hourline import schema
 from hourline.functions import round_half_even
 from hourline.operators.clean import as_of_range_or_tail, require_rows
 from hourline.operators.windows import latest_windows
+from hourline.session import stage
 
 
 def prediction_inputs(
@@ -24,9 +25,9 @@ def prediction_inputs(
     The scan is cut to the lookback range first, and at most ``seq_len`` rows per zone are shuffled.
     """
     hour = F.date_trunc("hour", as_of)
-    recent = as_of_range_or_tail(features, hour, lookback_days, tail=seq_len * len(schema.ZONES))
+    recent = as_of_range_or_tail(features, hour, lookback_days, tail=seq_len)
     latest = latest_windows(recent, seq_len, covariates=covariates).withColumnRenamed(schema.TIME, "feature_time")
-    stamped = latest.withColumn(schema.TIME, hour)
+    stamped = stage(latest.withColumn(schema.TIME, hour), "latest-windows")  # one row per zone, read twice
     return stamped.where(F.col("n_lags") >= seq_len), stamped.where(F.col("n_lags") < seq_len)
 
 
@@ -44,6 +45,11 @@ def predict_next(
     ``date`` is the hour of ``as_of``; predictions are whole megawatts, halves to even.
     """
     ready, _ = prediction_inputs(features, as_of, seq_len, lookback_days, covariates)
+    return score_inputs(ready, model, grain)
+
+
+def score_inputs(ready: DataFrame, model: PipelineModel, grain: str = "1 hour") -> DataFrame:
+    """Predictions from the first table of ``prediction_inputs``."""
     require_rows(ready, "No zone has enough history for a prediction")
     return model.transform(ready).select(
         schema.KEY,

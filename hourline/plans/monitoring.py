@@ -20,8 +20,10 @@ def monitor(predictions: DataFrame, features: DataFrame, as_of: Column, days: in
     today = F.date_trunc("day", as_of)
     start = today - F.make_dt_interval(F.lit(days))
     in_range = F.col(schema.TIME).between(start, today)
+    if "day" in predictions.columns:  # stored by day: only the days of the range are opened
+        predictions = predictions.where(F.col("day").between(F.to_date(start), F.to_date(today)))
     joined = predictions_vs_actuals(
-        predictions.select(schema.KEY, "predicted_demand", schema.TIME).where(in_range), features.where(in_range)
+        predictions.where(in_range).select(schema.KEY, "predicted_demand", schema.TIME), features.where(in_range)
     )
     return joined.select(schema.KEY, "predicted_demand", schema.TIME, schema.VALUE)
 
@@ -32,11 +34,11 @@ def monitoring_errors(monitored: DataFrame, by_zone: bool = True) -> DataFrame:
 
 
 def detect_drift(
-    features: DataFrame, reference_days: int = 365, gap_days: int = 30, current_days: int = 29
+    features: DataFrame, reference_days: int = 365, gap_days: int = 30, current_days: int = 29, tests: str = "distance"
 ) -> tuple[bool, DataFrame, DataFrame]:
     """The verdict, the per-column report and the document for the JSON sink."""
     labelled = label_periods(features, schema.TIME, reference_days, gap_days, current_days)
     labelled = labelled.drop("date_str", schema.TIME)
-    report = stage(drift_report(labelled), "drift-report")
+    report = stage(drift_report(labelled, tests=tests), "drift-report")
     document = drift_document(report, column_summary(labelled, schema.VALUE))
     return bool(dataset_drift(report).first()["dataset_drift"]), report, document

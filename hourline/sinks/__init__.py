@@ -1,7 +1,7 @@
 """Writers; every one of them can be repeated without leaving duplicates behind."""
 
 from hourline.sinks.tables import (
-    append_predictions,
+    keep_predictions,
     append_runs,
     run_row,
     upsert_keyed,
@@ -12,7 +12,7 @@ from hourline.sinks.tables import (
 )
 
 __all__ = [
-    "append_predictions",
+    "keep_predictions",
     "append_runs",
     "run_row",
     "upsert_keyed",

@@ -51,9 +51,12 @@ def write_document(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def append_predictions(predictions: DataFrame, path: str, time: str = schema.TIME) -> None:
-    """Keep the history of predictions by day, so that a later run can be compared with what was predicted before."""
-    predictions.withColumn("day", F.to_date(time)).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
+def keep_predictions(predictions: DataFrame, path: str, key: str = schema.KEY, time: str = schema.TIME) -> None:
+    """Keep the history of predictions by day, so that a later run can be compared with what was predicted before.
+
+    A prediction of the same zone and hour replaces the older one, so a job that runs twice leaves the same table.
+    """
+    upsert_keyed(predictions, path, [key, time], time)
 
 
 def run_row(
@@ -79,7 +82,9 @@ def upsert_keyed(new: DataFrame, path: str, keys: list[str], event_time: str = s
     incoming = new.withColumn("day", F.to_date(event_time))
     try:
         old = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         old = None
     if old is not None:
         days = incoming.select("day").distinct()

@@ -11,7 +11,6 @@ from hourline.operators.ordered import top_n
 
 # Fixed values of the day request.
 PARENT = "NYIS"
-PAGE_ROWS = 5000
 SETTLED_DAYS = 2
 
 
@@ -77,8 +76,8 @@ def landed_files(spark: SparkSession, root: str, start: str | None = None, end:
     return unwrap(docs)[0]
 
 
-def request_filter(df: DataFrame, period: str = "period", parent: str = PARENT, rows: int = PAGE_ROWS) -> DataFrame:
-    """What the day requests return: per day the newest ``rows`` readings of one parent in [day, day + 1].
+def request_filter(df: DataFrame, period: str = "period", parent: str = PARENT, rows: int | None = None) -> DataFrame:
+    """What the day requests return: per day the readings of one parent in [day, day + 1], or the newest ``rows`` of them.
 
     A reading at midnight belongs to the day it starts and to the day before; ``day`` tells which request it answers.
     """
@@ -86,6 +85,8 @@ def request_filter(df: DataFrame, period: str = "period", parent: str = PARENT,
     day = F.to_date(t)
     days = F.when(t == F.date_trunc("day", t), F.array(day, F.date_sub(day, 1))).otherwise(F.array(day))
     asked = df.where(F.col("parent") == parent).withColumn("day", F.explode(days))
+    if rows is None:
+        return asked
     ties = [F.col(c) for c in df.columns if c not in (period, "parent")]
     return top_n(asked, ["day"], [t.desc(), *ties], rows)
 

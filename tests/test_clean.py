@@ -107,7 +107,7 @@ def test_weather_join_both_ways(spark, limit):
     weather = spark.createDataFrame(
         [(t, 10.0, "w") for t in hours("2025-01-01T02:00:00", 9)] + [(None, 1.0, "w")], "date timestamp, temperature_2m double, note string"
     )
-    got = joins.enrich_with_weather(demand, weather, broadcast_bytes=limit, salts=3)
+    got = joins.enrich_with_weather(demand, weather, broadcast_bytes=limit, task_rows=3)
     assert got.count() == 9 and {"note_x", "note_y"} < set(got.columns)
     left = joins.lookup_join(demand, weather.drop("note"), ["date"], "left", broadcast_bytes=limit)
     assert left.count() == 16 and left.where("temperature_2m is null").count() == 7
@@ -116,7 +116,7 @@ def test_weather_join_both_ways(spark, limit):
 def test_hot_key_is_spread(spark):
     facts = spark.range(6000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     lookup = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert [r["k"] for r in joins.hot_keys(facts, ["k"]).collect()] == [0]
+    assert [r["k"] for r in joins.hot_keys(facts, ["k"], 100).collect()] == [0]
     for how in ("inner", "left"):
         got = joins.lookup_join(facts, lookup.where("k % 2 = 0"), ["k"], how, broadcast_bytes=0)
         truth = facts.join(lookup.where("k % 2 = 0"), "k", how)

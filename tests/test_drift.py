@@ -97,7 +97,7 @@ def test_periods_are_closed_with_a_hole_between(spark):
 def test_choice_of_the_test(spark, n, values, method, shift):
     ref = [float(i % values) for i in range(n)]
     cur = [float((i % values) // 2 if shift else i % values) for i in range(n)]
-    got = drift.drift_report(labelled(spark, ref, cur)).first()
+    got = drift.drift_report(labelled(spark, ref, cur), tests="by_size").first()
     assert got["method"] == method and got["drifted"] is bool(shift)
 
 

@@ -36,20 +36,28 @@ def test_jobs_end_to_end(spark, at):
     assert features.count() == 2 * N
     assert sources.read_document(spark, at.validation_status, schema.STATUS_DDL).first()[0] is True
 
-    grids = {"XGBoost": {"n_estimators": [3], "max_depth": [2], "learning_rate": [0.3]}}
+    grids = {
+        "XGBoost": {"n_estimators": [1, 3], "max_depth": [2], "learning_rate": [0.3]},
+        "LightGBM": {"n_estimators": [1, 3], "num_leaves": [4], "learning_rate": [0.3]},
+    }
     # A step of 5 reaches every hour of the day, so the holdout asks for nothing the training has not seen.
     out = jobs.run_training(
         spark, at, 28, 5, holdout_days=10, drift_days=(40, 10, 9), folds=2, grids=grids, season=7
     )
-    assert out["model_name"] == "XGBoost" and out["metrics"]["n_samples"] > 0 and out["metrics"]["mape"] < 10
+    assert out["params"]["n_estimators"] == 3 and out["metrics"]["n_samples"] > 0 and out["metrics"]["mape"] < 10
     runs = spark.read.parquet(at.runs)
-    assert sorted(r["run"] for r in runs.collect()) == ["evaluation", "training", "tuning"]
+    assert sorted(r["run"] for r in runs.collect()) == ["evaluation", "training", "tuning", "tuning"]
+    logged = {r["step"]: r for r in runs.where("run = 'tuning'").collect()}
+    assert {r["params"]["n_estimators"] for r in logged.values()} == {"3"}
+    assert logged[out["model_name"]]["metrics"]["cv_best_rmse"] == pytest.approx(out["score"])
     assert sources.read_document(spark, at.drift_report).first()["number_of_columns"] > 0
 
     # Predictions of the hours before, then the day after they are compared with what came.
     for hour in ("2025-02-13 05:10:00", "2025-02-13 06:10:00"):
         predicted = jobs.run_inference(spark, at, F.lit(hour).cast("timestamp"), 28)
     assert predicted.count() == 4
+    assert jobs.run_inference(spark, at, F.lit("2025-02-13 06:10:00").cast("timestamp"), 28).count() == 4  # a repeated run
+    assert spark.read.parquet(at.prediction_rejects).count() == 0
     monitored = jobs.run_monitoring(spark, at, F.lit("2025-02-14 03:00:00").cast("timestamp"))
     assert monitored.count() == 4 and monitored.columns == ["sub_region_code", "predicted_demand", "date", "demand"]
     assert jobs.run_inference(spark, at, F.lit("2025-02-13 06:10:00").cast("timestamp"), 28, keep_history=False).count() == 2

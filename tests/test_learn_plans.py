@@ -147,7 +147,7 @@ def test_monitoring_range(spark, tmp_path):
     t = hours("2025-01-01", 72)
     features = spark.createDataFrame([(0, x, 100.0) for x in t], "sub_region_code bigint, date timestamp, demand double")
     path = str(tmp_path / "p")
-    sinks.append_predictions(spark.createDataFrame([(0, 90.0, x) for x in t], schema.PREDICTIONS_DDL), path)
+    sinks.keep_predictions(spark.createDataFrame([(0, 90.0, x) for x in t], schema.PREDICTIONS_DDL), path)
     got = plans.monitor(spark.read.parquet(path), features, F.lit("2025-01-03 15:00:00").cast("timestamp"))
     assert got.columns == ["sub_region_code", "predicted_demand", "date", "demand"]
     ends = got.agg(F.min("date"), F.max("date"), F.count("*")).first()

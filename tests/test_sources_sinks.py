@@ -134,7 +134,7 @@ def test_documents(spark, tmp_path):
 def test_prediction_history_grows(spark, tmp_path):
     path = str(tmp_path / "p")
     for h in (1, 2):
-        sinks.append_predictions(spark.createDataFrame([(0, float(h), at(f"2025-01-01T0{h}:00:00"))], schema.PREDICTIONS_DDL), path)
+        sinks.keep_predictions(spark.createDataFrame([(0, float(h), at(f"2025-01-01T0{h}:00:00"))], schema.PREDICTIONS_DDL), path)
     assert spark.read.parquet(path).count() == 2
 
 
