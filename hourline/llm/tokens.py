@@ -16,7 +16,7 @@ import numpy as np
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: The other characters that some Unicode version counts as white space.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
-KNOWN_CHUNKS = 500_000
+KNOWN_CHUNKS = 1_200_000
 LONG_CHUNK = 200
 
 _encoders: dict[str, LibraryEncoder] = {}
