@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourline.llm import language, packing, simhash, site_lines, toxicity
-from hourline.llm.common import table
+from hourline.llm.common import table, unused
 from hourline.session import stage
 
 #: None: models, fingerprints and packing have no SQL form; tests compare the stages with brute force.
@@ -33,8 +33,9 @@ def by_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its source; n_chars follows where the text has changed."""
-    clean = site_lines.drop_boilerplate(docs.withColumn("_given", F.length("text")))
-    changed = F.length("text") != F.col("_given")
+    given = unused(docs, "_given")
+    clean = site_lines.drop_boilerplate(docs.withColumn(given, F.length("text")))
+    changed = F.length("text") != F.col(given)
     return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

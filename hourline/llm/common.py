@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str, buckets: int, bucket: int):
     """True where crc32 of the id as text leaves ``bucket``; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % buckets == bucket, F.lit(False))

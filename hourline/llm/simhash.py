@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourline.llm.common import add_columns
+from hourline.llm.common import add_columns, unused
 from hourline.llm.components import components
 from hourline.session import shuffle_partitions, stage
 
@@ -165,11 +165,11 @@ def near_duplicate_documents(docs: DataFrame, doc_id: str = "doc_id", text: str
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of ``docs``, one row of each linked group: that of the smallest id (null ids last, then by position)."""
-    row, print_ = "_row_of_group", "_print_of_row"
+    row, print_ = unused(docs, "_row"), unused(docs, "_fingerprint")
     held = fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), text, print_)
     held = stage(held, "simhash-documents")
     order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
     firsts = held.groupBy(F.col(print_).alias("fp")).agg(F.min(order).alias("first"))
     found = near_duplicates(stage(firsts.select("fp", F.col("first").alias("o")), "firsts"), "o")
     kept = found.where(F.col("o") == F.col("component_id")).select(F.col("o.row").alias(row))
-    return held.join(kept, row, "left_semi").select(*docs.columns)
+    return held.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

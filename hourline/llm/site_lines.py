@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourline.llm.common import unused
 from hourline.session import stage
 
 RATIO, LEAST_PAGES = 0.05, 3
@@ -49,8 +50,8 @@ def _listed(pages: DataFrame, host: str, text: str, ratio: float, least_pages: i
     return stage(found.groupBy("host").agg(F.collect_list("line").alias("_boilerplate")), "boilerplate").withColumnRenamed("host", "_host")
 
 
-def _kept_lines(text: Column) -> Column:
-    return F.filter(lines_of(text), lambda x: ~F.array_contains(F.col("_boilerplate"), F.trim(x)))
+def _kept_lines(text: Column, boilerplate_lines: str = "_boilerplate") -> Column:
+    return F.filter(lines_of(text), lambda x: ~F.array_contains(F.col(boilerplate_lines), F.trim(x)))
 
 
 def line_report(pages: DataFrame, id: str, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -67,7 +68,8 @@ def line_report(pages: DataFrame, id: str, host: str = "source", text: str = "te
 
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """All rows and columns, ``text`` without the boilerplate of its site. Only texts that lose a line change."""
-    listed = _listed(pages, host, text, ratio, least_pages)
-    held = pages.join(listed, F.col(f"`{host}`") == F.col("_host"), "left")
-    clean = F.when(F.col("_boilerplate").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(_kept_lines(F.col(f"`{text}`")), "\n"))
+    site, gone = unused(pages, "_host"), unused(pages, "_boilerplate")
+    listed = _listed(pages, host, text, ratio, least_pages).withColumnsRenamed({"_host": site, "_boilerplate": gone})
+    held = pages.join(listed, F.col(f"`{host}`") == F.col(site), "left")
+    clean = F.when(F.col(gone).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(_kept_lines(F.col(f"`{text}`"), gone), "\n"))
     return held.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in pages.columns])

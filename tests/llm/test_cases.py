@@ -341,7 +341,7 @@ def test_revisits(spark, monkeypatch):
 
 def test_stages_take_odd_rows(spark, odd, none, tmp_path):
     odd.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(3, 1), (6, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(3, 0), (6, 0), (8, None)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for _, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, odd, str(tmp_path)).columns == odd.columns
         assert step(spark, odd, str(tmp_path)).count() <= len(ODD)
