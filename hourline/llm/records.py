@@ -2,7 +2,8 @@
 
 File format, all integers little-endian. A record: length (unsigned 64 bits), masked CRC-32C of those 8 bytes, data,
 masked CRC-32C of the data; the mask is ``rotate_right(crc, 15) + 0xa282ead8``, as in public record files of this
-kind. The data: 1 byte (1 if there is a doc_id), doc_id (signed 64 bits), then the ids as unsigned 32-bit integers.
+kind. The data: 1 byte (1 if there is a doc_id), 1 byte (2 or 4, the bytes of an id), doc_id (signed 64 bits), then the
+ids as unsigned integers. Ids take 2 bytes where the vocabulary and the end id fit, else 4.
 The index file beside each record file: one (offset, length) pair of unsigned 64-bit integers per record, so that a
 reader can take records in any order.
 
@@ -27,6 +28,7 @@ from hourline.llm.tokens import library_encoder
 from hourline.session import scratch_path, shuffle_partitions, stage
 
 SHARD_BYTES = 64 << 20
+HEAD = 10
 _LANE = 256
 
 
@@ -40,6 +42,16 @@ def _crc_table() -> np.ndarray:
 _BYTE = _crc_table()
 
 
+def _two_byte_table() -> np.ndarray:
+    crc = np.arange(1 << 16, dtype=np.uint32)
+    for _ in range(2):
+        crc = _BYTE[crc & 255] ^ (crc >> 8)
+    return crc
+
+
+_TWO = _two_byte_table()
+
+
 def _apply(op: np.ndarray, crc: np.ndarray) -> np.ndarray:
     return op[0][crc & 255] ^ op[1][(crc >> 8) & 255] ^ op[2][(crc >> 16) & 255] ^ op[3][crc >> 24]
 
@@ -68,10 +80,10 @@ def masked_crc32c(items: list[bytes]) -> np.ndarray:
     data = np.zeros(int(ends[-1]) * _LANE, np.uint8)
     for x, end in zip(items, (ends * _LANE).tolist()):
         data[end - len(x) : end] = np.frombuffer(x, np.uint8)
-    columns = np.ascontiguousarray(data.reshape(-1, _LANE).T)
+    columns = np.ascontiguousarray(data.view("<u2").reshape(-1, _LANE // 2).T)
     crc = np.zeros(int(ends[-1]), np.uint32)
     for column in columns:
-        crc = _BYTE[(crc ^ column) & 255] ^ (crc >> 8)
+        crc = _TWO[(crc ^ column) & 0xFFFF] ^ (crc >> 16)
     starts, total = ends - lanes, np.zeros(len(items), np.uint32)
     for k in range(int(lanes.max())):
         on = np.flatnonzero(lanes > k)
@@ -100,18 +112,25 @@ def unframe(blobs: list[bytes]) -> list[bytes]:
     return items
 
 
-def serialise(doc_id: int | None, ids: bytes) -> bytes:
-    return bytes([doc_id is not None]) + (doc_id or 0).to_bytes(8, "little", signed=True) + ids
+def serialise(doc_id: int | None, ids: bytes, width: int = 4) -> bytes:
+    """``ids`` as unsigned 32-bit integers, all below 2**16 where ``width`` is 2."""
+    if width == 2:
+        ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+    return bytes([doc_id is not None, width]) + (doc_id or 0).to_bytes(8, "little", signed=True) + ids
 
 
 def parse(data: bytes) -> tuple[int | None, bytes]:
-    return (int.from_bytes(data[1:9], "little", signed=True) if data[0] else None), data[9:]
+    ids = data[HEAD:]
+    if data[1] == 2:
+        ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+    return (int.from_bytes(data[2:HEAD], "little", signed=True) if data[0] else None), ids
 
 
 class _Shards:
     """The record and index files of one task; a file is closed at SHARD_BYTES."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, width: int):
+        self.width = width
         self.fs, self.root = pyarrow.fs.FileSystem.from_uri(folder)
         self.folder, self.task, self.attempt = folder, TaskContext.get().partitionId(), uuid.uuid4().hex
         self.shard, self.out, self.done = 0, None, []
@@ -132,12 +151,12 @@ class _Shards:
             self.out.close()
             with self.fs.open_output_stream(f"{self.root}/{self.name}.idx") as f:
                 f.write(np.array(self.index, "<u8").tobytes())
-            self.done.append((self.task, self.shard, self.name, len(self.index) // 2, self.tokens, self.at))
+            self.done.append((self.task, self.shard, self.name, len(self.index) // 2, self.tokens, self.at, self.width))
             self.shard, self.out = self.shard + 1, None
 
 
-MANIFEST = "task int, shard int, name string, records long, tokens long, bytes long"
-_MANIFEST = pa.schema([("task", pa.int32()), ("shard", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())])
+MANIFEST = "task int, shard int, name string, records long, tokens long, bytes long, width int"
+_MANIFEST = pa.schema([("task", pa.int32()), ("shard", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64()), ("width", pa.int32())])
 
 
 def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -148,12 +167,13 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str, doc
     """
 
     def write(batches):
-        encoder, shards, end = library_encoder(tokenizer), _Shards(folder), int(end_id).to_bytes(4, "little")
+        encoder, end = library_encoder(tokenizer), int(end_id).to_bytes(4, "little")
+        shards = _Shards(folder, 2 if max(encoder.size - 1, end_id) < 1 << 16 else 4)
         shards.fs.create_dir(shards.root, recursive=True)
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 ids = [encoder.encode(t) + end for t in texts]
-                data = [serialise(d, x) for d, x in zip(part.column(0).to_pylist(), ids)]
+                data = [serialise(d, x, shards.width) for d, x in zip(part.column(0).to_pylist(), ids)]
                 shards.add(frame(data), [len(x) // 4 for x in ids])
         shards.close()
         columns = list(zip(*shards.done)) or [()] * len(_MANIFEST)
@@ -176,7 +196,8 @@ def read_records(manifest: DataFrame, folder: str, shuffle_seed: int | None = No
             for row in batch.to_pylist():
                 with fs.open_input_stream(f"{root}/{row['name']}.idx") as f:
                     index = np.frombuffer(f.read(), "<u8").reshape(-1, 2).astype(np.int64)
-                before = np.concatenate([[0], np.cumsum((index[:, 1] - 16 - 9) // 4)])
+                width = row["width"]
+                before = np.concatenate([[0], np.cumsum((index[:, 1] - 16 - HEAD) // width)])
                 order = list(range(len(index)))
                 if shuffle_seed is not None:
                     random.Random(f"{shuffle_seed}/{row['name']}").shuffle(order)

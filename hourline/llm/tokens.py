@@ -60,6 +60,7 @@ class LibraryEncoder(ChunkEncoder):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.between = special[-1] if special else None
 
