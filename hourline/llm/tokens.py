@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse
+from itertools import filterfalse, islice
 
 import numpy as np
 
@@ -40,8 +40,10 @@ class ChunkEncoder:
         known = self.known
         new = list(set(filterfalse(known.__contains__, parts)))
         if new and len(known) > KNOWN_CHUNKS:
-            known.clear()
-            new = list(set(parts))
+            # The chunks met first are the frequent ones; those met last go.
+            for c in list(islice(reversed(known), KNOWN_CHUNKS // 2)):
+                del known[c]
+            new = list(set(filterfalse(known.__contains__, parts)))
         if new:
             known.update(zip(new, self.chunks(new)))
         found = b"".join(map(known.__getitem__, parts))
