@@ -80,6 +80,15 @@ def test_chunks_equal_the_library(path):
     assert e.encode(None) == e.encode("") == b""
 
 
+def test_chunks_are_forgotten_without_harm(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_CHUNKS", 20)
+    t, e, rng = Tokenizer.from_file(BYTE), tokens.LibraryEncoder(BYTE), random.Random(5)
+    for _ in range(60):
+        s = " ".join(f"w{rng.randrange(80)}" for _ in range(12))
+        assert np.frombuffer(e.encode(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids
+        assert len(e.known) <= 20 + 12 + 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\xa0'sable1")), max_size=40))
 def test_any_text(text):
@@ -133,6 +142,15 @@ def test_checksums():
         records.unframe([bytes(broken)])
 
 
+@pytest.mark.parametrize("width, most", [(2, 0xFFFF), (4, 0xFFFFFFFF)])
+def test_record_data(width, most):
+    for ids in ([], [0], [1, most, 7]):
+        given = np.array(ids, "<u4").tobytes()
+        for doc_id in (None, 0, -3, 2**62):
+            data = records.serialise(doc_id, given, width)
+            assert records.parse(data) == (doc_id, given) and len(data) == records.HEAD + width * len(ids)
+
+
 def test_records(spark, odd, none):
     folder = scratch_path(spark, "test-records")
     manifest = records.write_records(odd, WORD, 2, folder)
