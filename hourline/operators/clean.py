@@ -125,7 +125,7 @@ def require_numeric(df: DataFrame, columns: list[str] | None = None) -> None:
     allowed |= {"array<double>"}
     bad = [f.name for f in df.schema.fields if (columns is None or f.name in columns) and f.dataType.simpleString() not in allowed]
     if bad:
-        raise ValueError(f"Non-numeric columns found: {bad}")
+        raise ValueError(f"These columns hold no numbers: {bad}")
 
 
 def fallback(live: DataFrame, baseline: DataFrame) -> DataFrame:

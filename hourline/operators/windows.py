@@ -175,7 +175,7 @@ def seasonal_mean(df: DataFrame, season: int = schema.SEASON, weeks: int = 4, la
     else:
         names = [f"demand_previous_{k}_hour" for k in steps]
         if not set(names) <= set(df.columns):
-            raise ValueError(f"Input DataFrame must contain columns {names}")
+            raise ValueError(f"The seasonal mean takes a lag array or the columns {names}")
         terms = [F.col(n) for n in names]
     return df.withColumn("average_demand_last_4_weeks", sum(terms[1:], terms[0]) * F.lit(1.0 / weeks))
 

@@ -36,9 +36,9 @@ def train(
     check_seq_len(seq_len, season)
     covariates = window_options.get("covariates")
     require_columns(features, ["date", "demand", "sub_region_code", *(schema.COVARIATES if covariates is None else covariates)])
-    require_rows(features, "Loaded DataFrame is empty")
+    require_rows(features, "There are no features to work on")
     train_part, test_part = holdout_split(features, holdout_days)
-    message = "Train or Test DataFrame is empty after dataset cutoff split"
+    message = "The holdout cut leaves one side without rows"
     require_rows(test_part, message)
     windows = _windows(require_rows(train_part, message), seq_len, step, window_options)
     folded = expanding_folds(trainable(windows, covariates), folds, fold_order)
@@ -60,9 +60,9 @@ def evaluate(
     The first ``seq_len`` rows of the holdout only serve as lags. With ``warmup=True`` the lags may reach back into the
     training part, so every holdout row is a target.
     """
-    require_rows(features, "Loaded DataFrame is empty")
+    require_rows(features, "There are no features to work on")
     _, test_part = holdout_split(features, holdout_days)
-    require_rows(test_part, "Test DataFrame is empty after applying dataset cutoff_date")
+    require_rows(test_part, "The holdout has no rows")
     source = features if warmup else test_part
     windows = lag_windows(source, seq_len, step, **window_options)
     if warmup:

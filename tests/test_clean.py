@@ -77,9 +77,9 @@ def test_as_of_range_and_tail(spark):
 
 def test_guards(spark):
     df = series(spark, 30, 1)
-    with pytest.raises(ValueError, match="empty"):
-        clean.require_rows(df.where("demand < 0"), "Loaded DataFrame is empty")
-    with pytest.raises(ValueError, match="Non-numeric"):
+    with pytest.raises(ValueError, match="nothing left"):
+        clean.require_rows(df.where("demand < 0"), "nothing left")
+    with pytest.raises(ValueError, match="hold no numbers"):
         clean.require_numeric(df.withColumn("s", F.lit("x")), ["demand", "s"])
     clean.require_numeric(df.drop("date"))
     good, bad = clean.split_rejects(df.withColumn("demand", F.when(F.col("hour") > 2, F.col("demand"))), ["demand", "date"])

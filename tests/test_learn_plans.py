@@ -73,9 +73,9 @@ def test_first_candidate_wins_ties(spark):
 
 
 def test_training_guards(spark, table):
-    with pytest.raises(ValueError, match="Loaded DataFrame is empty"):
+    with pytest.raises(ValueError, match="There are no features"):
         plans.train(table.where("demand < 0"), SEQ, season=SEASON)
-    with pytest.raises(ValueError, match="Train or Test DataFrame is empty"):
+    with pytest.raises(ValueError, match="leaves one side without rows"):
         plans.train(table, SEQ, season=SEASON, holdout_days=90)
     with pytest.raises(ValueError, match="No valid time-series"):
         plans.evaluate(table, None, 200, holdout_days=2)
