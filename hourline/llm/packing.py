@@ -117,7 +117,8 @@ def pack(
     done, left, turn, tasks = pieces.where("not open"), pieces.where("open"), 0, None
     while tasks != 1:
         windows = left.agg(F.count_if(F.col("offset") == 0)).first()[0]
-        tasks, turn = max(1, -(-windows // MERGE)), turn + 1
+        # A task leaves ``most`` windows at most; taking over twice as many makes every round smaller than the last.
+        tasks, turn = max(1, -(-windows // max(MERGE, 2 * most))), turn + 1
         # Longest first in each task, so that large rests meet windows that are still empty.
         spread = left.repartition(tasks).sortWithinPartitions(F.col("length").desc(), "doc_id", "start")
         pieces = stage(spread.mapInArrow(again(turn), SCHEMA), f"pieces-{turn}")

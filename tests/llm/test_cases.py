@@ -192,6 +192,14 @@ def test_packing_merges_over_rounds(spark, monkeypatch):
     assert found.length.sum() / (128 * found.sequence_id.nunique()) > 0.95
 
 
+def test_packing_rounds_end_when_no_windows_merge(spark, monkeypatch):
+    """Rests of over half a window never share one, so only the falling number of tasks ends the rounds."""
+    monkeypatch.setattr(packing, "MERGE", 1)
+    df = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 90).alias("text")).repartition(12)
+    found = packing.pack(df, BYTE, 0, size=128, most=2).toPandas()
+    assert len(found) == 60 and found.sequence_id.nunique() == 60
+
+
 def test_language(spark, odd, none):
     docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate([("the cat and the dog", "en"), ("le chat et le chien", "fr"), ("der hund und die katze", "de")] * 3)], "doc_id long, text string, lang string")
     model = language.train(docs)
