@@ -1,4 +1,8 @@
-"""Model selection, evaluation, prediction: no SQL twin, so the driver checks rows only."""
+"""Model selection, evaluation, prediction.
+
+Boosted trees have no SQL form; what SQL can tell is compared: the keys, times and targets of what is scored, equality of
+a stored model, and the whole result of one tree with one split.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.ml.regression import GBTRegressionModel  # noqa: F401  (the fitted
 from pyspark.sql import functions as F
 
 from hourline import plans, schema
-from hourline.catalog.common import features, query
+from hourline.catalog.common import FEATURES, features, query
 from hourline.operators import learn, windows
 from hourline.operators.clean import holdout_split, newest
 from hourline.session import scratch_path
@@ -55,6 +59,41 @@ def batch_scores(spark, sf_dir):
     return scored.select(schema.KEY, schema.TIME, schema.TARGET, F.round("prediction", 3).alias("prediction"))
 
 
+HOLDOUT_WINDOWS = f"""{FEATURES}, held AS (SELECT *, row_number() OVER (PARTITION BY sub_region_code ORDER BY date) AS rn
+  FROM features WHERE date >= (SELECT max(date) - INTERVAL 90 DAY FROM features)),
+  windows AS (SELECT * FROM held WHERE rn > {SEQ_LEN})"""
+
+
+@query(
+    "k8_scored_keys",
+    f"""WITH {HOLDOUT_WINDOWS}
+    SELECT sub_region_code, date, demand AS target_demand_next_hour, TRUE AS scored FROM windows""",
+)
+def scored_keys(spark, sf_dir):
+    """What is scored, and that every window gets a number."""
+    _, test = holdout_split(features(spark, sf_dir))
+    scored = quick_model(spark, sf_dir).transform(windows.lag_windows(test, SEQ_LEN))
+    number = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return scored.select(schema.KEY, schema.TIME, schema.TARGET, number.alias("scored"))
+
+
+@query(
+    "k_one_split",
+    f"""WITH {FEATURES}, c AS (SELECT month, count(*) AS n, sum(demand) AS s FROM features GROUP BY month),
+    r AS (SELECT month, sum(n) OVER (ORDER BY month) AS nl, sum(s) OVER (ORDER BY month) AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM c),
+    best AS (SELECT month AS cut, sl / nl AS below, (s - sl) / (n - nl) AS above FROM r WHERE nl < n
+      ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+    SELECT month, CAST(n AS BIGINT) AS n, round(CASE WHEN month <= cut THEN below ELSE above END, 4) AS prediction FROM c, best""",
+)
+def one_split(spark, sf_dir):
+    """One tree of depth 1 over the months of all rows: the best split and its two means are exact."""
+    rows = features(spark, sf_dir).select("month", F.col(schema.VALUE).alias(schema.TARGET), F.array().cast("array<double>").alias(windows.LAGS))
+    vectors = learn.LagVector(scalars=["month"]).transform(rows)
+    model = learn.regressor("XGBoost", n_estimators=1, max_depth=1).fit(vectors)
+    scored = model.transform(vectors).groupBy("month", F.round("prediction", 4).alias("prediction"))
+    return scored.agg(F.count("*").alias("n")).select("month", "n", "prediction")
+
+
 @query("k9_predict")
 def predict(spark, sf_dir):
     """The next day of every zone; zones without enough recent days are left out."""
@@ -64,12 +103,26 @@ def predict(spark, sf_dir):
     )
 
 
+@query(
+    "k9_predicted_keys",
+    f"""WITH {FEATURES}, m AS (SELECT max(date) AS last FROM features),
+    recent AS (SELECT f.sub_region_code, f.date AS seen, m.last FROM features f, m WHERE f.date BETWEEN m.last - INTERVAL 90 DAY AND m.last)
+    SELECT sub_region_code, last AS date, max(seen) AS feature_time, max(seen) + INTERVAL 1 DAY AS target_time, TRUE AS predicted
+    FROM recent GROUP BY sub_region_code, last HAVING count(*) >= {SEQ_LEN}""",
+)
+def predicted_keys(spark, sf_dir):
+    """Which zones get a prediction, from which day and for which."""
+    base = features(spark, sf_dir)
+    found = plans.predict_next(base, quick_model(spark, sf_dir), newest(base), SEQ_LEN, lookback_days=90, grain="1 day")
+    return found.select(schema.KEY, schema.TIME, "feature_time", "target_time", F.col("predicted_demand").isNotNull().alias("predicted"))
+
+
 @query("k10_evaluate")
 def evaluate(spark, sf_dir):
     return plans.evaluate(features(spark, sf_dir), quick_model(spark, sf_dir), SEQ_LEN)
 
 
-@query("b10_model_roundtrip")
+@query("b10_model_roundtrip", f"WITH {HOLDOUT_WINDOWS} SELECT count(*) AS n, count(*) AS equal FROM windows")
 def model_roundtrip(spark, sf_dir):
     """Predictions of a model before and after it was stored."""
     model = quick_model(spark, sf_dir, "LightGBM")

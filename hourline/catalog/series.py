@@ -191,6 +191,23 @@ def clock_lags(spark, sf_dir):
     return out.withColumns({"lag_newest": windows.lag(1), "lag_day": windows.lag(24)}).drop("demand_lags")
 
 
+@query(
+    "z4_clock_lags_finer",
+    f"""WITH {HOURLY}, d AS (SELECT *, date_trunc('day', date) AS day FROM hourly
+      QUALIFY row_number() OVER (PARTITION BY sub_region_code, date_trunc('day', date) ORDER BY date DESC) = 1),
+    s AS (SELECT sub_region_code, min(day) AS start FROM d GROUP BY 1)
+    SELECT h.sub_region_code, h.date, h.demand AS target_demand_next_hour, a.demand AS lag_newest, b.demand AS lag_third
+    FROM d h JOIN s USING (sub_region_code)
+    LEFT JOIN d a ON a.sub_region_code = h.sub_region_code AND a.day = h.day - INTERVAL 1 DAY
+    LEFT JOIN d b ON b.sub_region_code = h.sub_region_code AND b.day = h.day - INTERVAL 3 DAY
+    WHERE h.day >= start + INTERVAL 3 DAY""",
+)
+def clock_lags_finer(spark, sf_dir):
+    """Hourly readings on a clock of days: the last reading of a day stands for it."""
+    out = windows.lag_windows(hourly(spark, sf_dir), 3, covariates=[], lag_mode="time", grain_seconds=86400, chunk_rows=10)
+    return out.withColumns({"lag_newest": windows.lag(1), "lag_third": windows.lag(3)}).drop("demand_lags")
+
+
 def fold_sql(order):
     return f"""WITH {DAILY}, x AS (SELECT sub_region_code, date, row_number() OVER (ORDER BY {order}) - 1 AS ordinal,
       count(*) OVER () AS n FROM daily)

@@ -55,6 +55,9 @@ def _targets(
     elif lag_mode == "time":
         base = base.where(F.col(key).isNotNull() & F.col(time).isNotNull())
         base = base.withColumn("_step", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / grain_seconds))
+        # A slot holds one reading: of several in a clock step the latest stays, trimmed before the shuffle.
+        latest = F.max(F.struct(time, value, *covariates)).alias("_latest")
+        base = base.groupBy(key, "_step").agg(latest).select(key, "_step", "_latest.*")
         start = base.groupBy(key).agg(F.min("_step").alias("_start"))
         placed = lookup_join(base, start, [key]).withColumn("_at", F.col("_step") - F.col("_start"))
     else:
@@ -106,8 +109,9 @@ def lag_windows(
 
     Covariates and target are those of the row right after the window. Every ``step``-th window of a series is kept,
     counted from its first. A null reading keeps its place in the array. Series with fewer than ``seq_len + 1`` rows
-    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps of ``grain_seconds``, of which a series
-    has one row each, so a missing hour is a null lag instead of a shift.
+    give nothing. ``lag_mode="rows"`` counts rows; ``"time"`` counts clock steps of ``grain_seconds``, so a missing hour is
+    a null lag instead of a shift. Of several rows in one clock step only the latest counts (of equal times the largest
+    reading), as lag and as target.
     """
     covariates = list(schema.COVARIATES if covariates is None else covariates)
     targets, slot = _targets(

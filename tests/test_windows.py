@@ -79,6 +79,18 @@ def test_missing_hour_shifts_rows_but_not_clock(spark):
         ]
 
 
+@pytest.mark.parametrize("chunk", [3, 5, 100])
+def test_several_rows_in_a_clock_step(spark, chunk):
+    """The latest row of a step counts, of equal times the largest reading; later slots do not shift."""
+    t = hours("2025-01-01", 8)
+    once = [(t[i], 0, float(i)) for i in range(8)]
+    more = [(t[2], 0, -1.0), (t[2], 0, 2.0), (t[5].replace(minute=1), 0, 50.0), (t[7], 0, None)]
+    got = windows.lag_windows(spark.createDataFrame(once + more, SMALL), 3, covariates=[], lag_mode="time", chunk_rows=chunk)
+    got = got.orderBy("date").collect()
+    assert [r["demand_lags"] for r in got] == [[0.0, 1.0, 2.0], [1.0, 2.0, 3.0], [2.0, 3.0, 4.0], [3.0, 4.0, 50.0], [4.0, 50.0, 6.0]]
+    assert [r[schema.TARGET] for r in got] == [3.0, 4.0, 50.0, 6.0, 7.0]
+
+
 def test_short_series_give_nothing(spark):
     rows = [(t, 0, 1.0) for t in hours("2025-01-01", 10)] + [(t, 1, 1.0) for t in hours("2025-01-01", 11)]
     got = windows.lag_windows(spark.createDataFrame(rows, SMALL), 10, covariates=[])
