@@ -208,6 +208,22 @@ def clock_lags_finer(spark, sf_dir):
     return out.withColumns({"lag_newest": windows.lag(1), "lag_third": windows.lag(3)}).drop("demand_lags")
 
 
+@query(
+    "z4_latest_clock",
+    f"""WITH {HOURLY}, m AS (SELECT sub_region_code, min(date) AS first, max(date) AS date FROM hourly GROUP BY 1)
+    SELECT m.sub_region_code, m.date, a.demand AS lag_newest, b.demand AS lag_third,
+           CAST(least(24, date_diff('hour', m.first, m.date) + 1) AS INTEGER) AS n_lags,
+           (SELECT count(*) FROM hourly h WHERE h.sub_region_code = m.sub_region_code AND h.date > m.date - INTERVAL 24 HOUR) AS readings
+    FROM m JOIN hourly a ON a.sub_region_code = m.sub_region_code AND a.date = m.date
+    LEFT JOIN hourly b ON b.sub_region_code = m.sub_region_code AND b.date = m.date - INTERVAL 2 HOUR""",
+)
+def latest_clock(spark, sf_dir):
+    """The last day of every series by the clock: missing hours are null slots."""
+    out = windows.latest_windows(hourly(spark, sf_dir), 24, covariates=[], lag_mode="time")
+    held = F.size(F.filter("demand_lags", lambda x: x.isNotNull())).cast("long")
+    return out.select("sub_region_code", "date", windows.lag(1).alias("lag_newest"), windows.lag(3).alias("lag_third"), "n_lags", held.alias("readings"))
+
+
 def fold_sql(order):
     return f"""WITH {DAILY}, x AS (SELECT sub_region_code, date, row_number() OVER (ORDER BY {order}) - 1 AS ordinal,
       count(*) OVER () AS n FROM daily)

@@ -75,11 +75,14 @@ def run_training(
     drift_days: tuple[int, int, int] = (365, 30, 29),
     **search,
 ) -> dict:
-    """``features`` → ``model``, ``metrics``, ``runs``, ``drift_report``; returns the winner and the drift verdict."""
+    """``features`` → ``model``, ``model_options``, ``metrics``, ``runs``, ``drift_report``; returns the winner and the drift verdict."""
     use_utc(spark)
     features = stored_features(spark, at)
     model, scores, best = plans.train(features, seq_len, step, holdout_days=holdout_days, **search)
     save_model(model, at.model)
+    windowing = {k: v for k, v in search.items() if k in WINDOW_OPTIONS}
+    options = (windowing.get("covariates"), windowing.get("lag_mode"), windowing.get("grain_seconds"))
+    sinks.write_document(spark.createDataFrame([options], schema.MODEL_OPTIONS_DDL), at.model_options)
     sinks.append_runs(
         best_per_family(scores).select(
             F.lit("tuning").alias("run"),
@@ -95,7 +98,6 @@ def run_training(
         sinks.run_row(spark, "training", best["model_name"], best["params"], {"best_cv_rmse": best["score"]}, now), at.runs
     )
     # The holdout is windowed as the training was.
-    windowing = {k: v for k, v in search.items() if k in WINDOW_OPTIONS}
     metrics = plans.evaluate(features, model, seq_len, step, holdout_days, **windowing)
     sinks.write_document(metrics, at.metrics)
     row = sources.read_document(spark, at.metrics, schema.METRICS_DDL).first().asDict()
@@ -110,15 +112,17 @@ def run_training(
 def run_inference(
     spark: SparkSession, at: Locations, as_of: Column | None = None, seq_len: int = schema.SEQ_LEN, keep_history: bool = True
 ) -> DataFrame:
-    """``features`` and ``model`` → ``predictions``, kept by key and day or, without history, overwritten, and
+    """``features``, ``model`` and the window options stored with it → ``predictions``, kept by key and day or, without history, overwritten, and
     ``prediction_rejects``, the zones whose history is too short."""
     use_utc(spark)
     sources.require_source(spark, at.model, "Model")
     features = stored_features(spark, at)
     as_of = F.current_timestamp() if as_of is None else as_of
-    ready, short = plans.prediction_inputs(features, as_of, seq_len)
+    stored = sources.read_document(spark, at.model_options, schema.MODEL_OPTIONS_DDL, "Window options of the model").first()
+    options = {k: v for k, v in stored.asDict().items() if v is not None}
+    ready, short = plans.prediction_inputs(features, as_of, seq_len, **options)
     sinks.write_table(short.select(schema.KEY, schema.TIME, "feature_time", "n_lags"), at.prediction_rejects)
-    predicted = plans.score_inputs(ready, load_model(at.model))
+    predicted = plans.score_inputs(ready, load_model(at.model), f"{options.get('grain_seconds', 3600)} seconds")
     if keep_history:
         sinks.keep_predictions(predicted, at.predictions)
     else:

@@ -53,11 +53,7 @@ def _targets(
     if lag_mode == "rows":
         placed = number_rows(base, key, time, bucket_seconds, rn="_rn").withColumn("_at", F.col("_rn") - 1)
     elif lag_mode == "time":
-        base = base.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        base = base.withColumn("_step", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / grain_seconds))
-        # A slot holds one reading: of several in a clock step the latest stays, trimmed before the shuffle.
-        latest = F.max(F.struct(time, value, *covariates)).alias("_latest")
-        base = base.groupBy(key, "_step").agg(latest).select(key, "_step", "_latest.*")
+        base = _one_per_step(base, key, time, [value, *covariates], grain_seconds)
         start = base.groupBy(key).agg(F.min("_step").alias("_start"))
         placed = lookup_join(base, start, [key]).withColumn("_at", F.col("_step") - F.col("_start"))
     else:
@@ -219,13 +215,22 @@ def latest_windows(
     time: str = schema.TIME,
     value: str = schema.VALUE,
     covariates: list[str] | None = None,
+    lag_mode: str = "rows",
+    grain_seconds: int = 3600,
 ) -> DataFrame:
     """Per series its last (up to) ``seq_len`` readings, newest last, and the covariates of its newest row.
 
-    ``n_lags`` tells how many readings there were. At most ``seq_len`` rows per series leave a map task.
+    ``n_lags`` tells how many readings there were. With ``lag_mode="time"`` the array has one slot per clock step up to
+    the newest reading, null where a step has none, as in ``lag_windows``; ``n_lags`` counts the slots since the first
+    reading. At most ``seq_len`` rows per series leave a map task.
     """
     covariates = list(schema.COVARIATES if covariates is None else covariates)
-    recent = top_n(df.select(key, time, value, *covariates), [key], [F.col(time).desc()], seq_len)
+    columns = [time, value, *covariates]
+    if lag_mode == "time":
+        return _latest_on_clock(df.select(key, *columns), seq_len, key, time, value, covariates, grain_seconds)
+    if lag_mode != "rows":
+        raise ValueError("lag_mode must be 'rows' or 'time'")
+    recent = top_n(df.select(key, *columns), [key], [F.col(time).desc()], seq_len)
     rows = recent.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(time, value, *covariates))).alias("_rows"))
     newest = F.element_at("_rows", -1)
     return rows.select(
@@ -237,6 +242,35 @@ def latest_windows(
     )
 
 
+def _clock_step(time: str, grain_seconds: int) -> Column:
+    return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / grain_seconds)
+
+
+def _one_per_step(df: DataFrame, key: str, time: str, rest: list[str], grain_seconds: int) -> DataFrame:
+    """key, _step, time and ``rest``: of several rows in a clock step the latest stays, trimmed before the shuffle."""
+    timed = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn("_step", _clock_step(time, grain_seconds))
+    return timed.groupBy(key, "_step").agg(F.max(F.struct(time, *rest)).alias("_latest")).select(key, "_step", "_latest.*")
+
+
+def _latest_on_clock(
+    df: DataFrame, seq_len: int, key: str, time: str, value: str, covariates: list[str], grain_seconds: int
+) -> DataFrame:
+    steps = _one_per_step(df, key, time, [value, *covariates], grain_seconds)
+    recent = top_n(steps, [key], [F.col("_step").desc()], seq_len)
+    rows = recent.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_step", time, value, *covariates))).alias("_rows"))
+    newest = F.element_at("_rows", -1)
+    last, first = newest["_step"], F.element_at("_rows", 1)["_step"]
+    n = F.least(F.lit(seq_len).cast("long"), last - first + 1)
+    readings = F.map_from_arrays(F.col("_rows._step"), F.col(f"_rows.{value}").cast("array<double>"))
+    return rows.select(
+        key,
+        newest[time].alias(time),
+        F.transform(F.sequence(last - n + 1, last), lambda i: F.try_element_at(readings, i)).alias(LAGS),
+        *[newest[c].alias(c) for c in covariates],
+        n.cast("int").alias("n_lags"),
+    )
+
+
 def last_rows(df: DataFrame, key: str = schema.KEY, time: str = schema.TIME) -> DataFrame:
     return last_per_series(df, key, time)
 

@@ -19,14 +19,16 @@ def prediction_inputs(
     seq_len: int = schema.SEQ_LEN,
     lookback_days: int = 29,
     covariates: list[str] | None = None,
+    **clock,
 ) -> tuple[DataFrame, DataFrame]:
     """Lag arrays that are long enough, and the zones whose history is too short.
 
-    The scan is cut to the lookback range first, and at most ``seq_len`` rows per zone are shuffled.
+    The scan is cut to the lookback range first, and at most ``seq_len`` rows per zone are shuffled. ``clock`` are the
+    ``lag_mode`` and ``grain_seconds`` that the model was trained with.
     """
     hour = F.date_trunc("hour", as_of)
     recent = as_of_range_or_tail(features, hour, lookback_days, tail=seq_len)
-    latest = latest_windows(recent, seq_len, covariates=covariates).withColumnRenamed(schema.TIME, "feature_time")
+    latest = latest_windows(recent, seq_len, covariates=covariates, **clock).withColumnRenamed(schema.TIME, "feature_time")
     stamped = stage(latest.withColumn(schema.TIME, hour), "latest-windows")  # one row per zone, read twice
     return stamped.where(F.col("n_lags") >= seq_len), stamped.where(F.col("n_lags") < seq_len)
 
@@ -39,12 +41,13 @@ def predict_next(
     lookback_days: int = 29,
     covariates: list[str] | None = None,
     grain: str = "1 hour",
+    **clock,
 ) -> DataFrame:
     """(sub_region_code, predicted_demand, date) plus the hour the features are from and the hour they point at.
 
     ``date`` is the hour of ``as_of``; predictions are whole megawatts, halves to even.
     """
-    ready, _ = prediction_inputs(features, as_of, seq_len, lookback_days, covariates)
+    ready, _ = prediction_inputs(features, as_of, seq_len, lookback_days, covariates, **clock)
     return score_inputs(ready, model, grain)
 
 

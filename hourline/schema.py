@@ -68,3 +68,6 @@ def zones(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         ZONES, "sub_region_code bigint, subba string, zone_name string, latitude double, longitude double"
     )
+
+# How the windows of a stored model were cut; null fields stand for the defaults.
+MODEL_OPTIONS_DDL = "covariates array<string>, lag_mode string, grain_seconds long"

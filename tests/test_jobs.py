@@ -63,5 +63,16 @@ def test_jobs_end_to_end(spark, at):
     assert jobs.run_inference(spark, at, F.lit("2025-02-13 06:10:00").cast("timestamp"), 28, keep_history=False).count() == 2
 
 
+def test_inference_windows_like_the_training(spark, at):
+    jobs.run_features(spark, at)
+    grids = {"XGBoost": {"n_estimators": [1], "max_depth": [1]}}
+    options = {"covariates": ["hour"], "lag_mode": "time", "grain_seconds": 3600}
+    jobs.run_training(spark, at, 28, 5, holdout_days=10, drift_days=(40, 10, 9), folds=2, grids=grids, season=7, **options)
+    stored = sources.read_document(spark, at.model_options, schema.MODEL_OPTIONS_DDL).first().asDict()
+    assert stored == options
+    predicted = jobs.run_inference(spark, at, F.lit("2025-02-13 05:10:00").cast("timestamp"), 28, keep_history=False)
+    assert predicted.count() == 2
+
+
 def test_landing_range(spark, at):
     assert sources.landed_demand(spark, at.demand, "2025-01-02", "2025-01-03").count() == 2 * 48

@@ -91,6 +91,15 @@ def test_several_rows_in_a_clock_step(spark, chunk):
     assert [r[schema.TARGET] for r in got] == [3.0, 4.0, 50.0, 6.0, 7.0]
 
 
+def test_latest_on_the_clock(spark):
+    t = hours("2025-01-01", 8)
+    rows = [(t[i], 0, float(i)) for i in range(8) if i != 5] + [(t[7], 1, 1.0), (t[6], 0, 9.0)]
+    got = windows.latest_windows(spark.createDataFrame(rows, SMALL), 4, covariates=[], lag_mode="time").orderBy(schema.KEY).collect()
+    assert [(r["demand_lags"], r["n_lags"]) for r in got] == [([4.0, None, 9.0, 7.0], 4), ([1.0], 1)]
+    with pytest.raises(ValueError, match="lag_mode"):
+        windows.latest_windows(spark.createDataFrame(rows, SMALL), 4, covariates=[], lag_mode="other")
+
+
 def test_short_series_give_nothing(spark):
     rows = [(t, 0, 1.0) for t in hours("2025-01-01", 10)] + [(t, 1, 1.0) for t in hours("2025-01-01", 11)]
     got = windows.lag_windows(spark.createDataFrame(rows, SMALL), 10, covariates=[])
