@@ -22,7 +22,7 @@ def model(spark, table):
     return learn.get_pipeline("XGBoost", SEASON, n_estimators=3, max_depth=3).fit(windows.lag_windows(table, SEQ))
 
 
-def test_families():
+def test_families(spark):
     xgb = learn.get_pipeline("XGBoost", n_estimators=50, max_depth=3).getStages()[-1]
     assert isinstance(xgb, GBTRegressor) and (xgb.getMaxIter(), xgb.getMaxDepth()) == (50, 3)
     for leaves, depth in ((50, 6), (100, 7), (31, 5)):
