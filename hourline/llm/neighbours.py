@@ -2,9 +2,11 @@
 
 Equal vectors of one label are one node. Each node starts with neighbours from a few random-hyperplane buckets; then
 rounds of neighbours-of-neighbours joins refine the lists: every node brings its neighbours (and those that list it)
-together, which are compared with each other, and each keeps its best. A list whose last entry still reaches the
-threshold is saturated: it is enlarged to all of its linked part, counted in blocks, so that no list is ever cut. A
-sample of nodes is then searched by brute force in blocks; while the links found fall short of the audit's aim, the graph
+together, which are compared with each other, and each keeps its best. Every pair met at the threshold joins its two nodes,
+also where the lists have no place for it: ties, written apart, hold what the pairs met in a bucket or a round connect. A
+list whose last entry still reaches the threshold is saturated. Parts with such a list are cut into cells of a small
+radius, cells of different parts that may link are compared in full, and the lists are then enlarged to all of their
+linked part, counted in blocks. A sample of nodes is then searched by brute force in blocks; while the links found fall short of the audit's aim, the graph
 is refined further with more buckets and longer lists. Links are pairs of the graph at the threshold or above.
 """
 
@@ -66,35 +68,58 @@ def _pairs(a, b, s) -> pa.RecordBatch:
 PAIRS = "u long, v long, s double"
 
 
-def _best_of_buckets(k: int):
-    """The k best neighbours of every row among the rows of its bucket; buckets are compared BUCKET rows at a time."""
+def _hang(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root`` (the least place of each place's part) after places x and y of every pair are joined."""
+    while True:
+        a, b = root[x], root[y]
+        apart = a != b
+        if not apart.any():
+            return root
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _ties(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    """Pairs without a cosine that connect what ``u`` and ``v`` connect, at most one for each node."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root = _hang(np.arange(len(ids)), at[: len(u)], at[len(u) :])
+    on = np.flatnonzero(root != np.arange(len(ids)))
+    return pa.RecordBatch.from_arrays([pa.array(ids[on], pa.int64()), pa.array(ids[root[on]], pa.int64()), pa.nulls(len(on), pa.float64())], names=["u", "v", "s"])
+
+
+def _best_of_buckets(k: int, threshold: float):
+    """The k best neighbours of every row among all rows of its bucket, and ties; BUCKET rows are compared at a time."""
 
     def run(batches):
         for table, cuts in _runs(batches, 0):
             ids = np.asarray(table.column(1).combine_chunks())
             vectors = table.column(2).combine_chunks()
-            a, b, s = [], [], []
+            a, b, s, tied = [], [], [], np.arange(len(ids))
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                for x in range(lo, hi, BUCKET):
-                    y = min(hi, x + BUCKET)
-                    if y - x < 2 and x > lo:
-                        x = max(lo, y - BUCKET)
-                    if y - x < 2:
-                        continue
-                    m = _matrix(vectors.slice(x, y - x))
-                    sims = m @ m.T
-                    np.fill_diagonal(sims, -2.0)
-                    n = min(k, y - x - 1)
+                if hi - lo < 2:
+                    continue
+                m, own, n = _matrix(vectors.slice(lo, hi - lo)), ids[lo:hi], min(k, hi - lo - 1)
+                root = np.arange(hi - lo)
+                for x in range(0, hi - lo, BUCKET):
+                    sims = m[x : x + BUCKET] @ m.T
+                    here = np.arange(len(sims))
+                    sims[here, x + here] = -2.0
                     top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-                    a.append(np.repeat(ids[x:y], n))
-                    b.append(ids[x:y][top].ravel())
+                    a.append(np.repeat(own[x : x + BUCKET], n))
+                    b.append(own[top].ravel())
                     s.append(np.take_along_axis(sims, top, 1).ravel())
+                    at, to = np.nonzero(sims >= threshold)
+                    root = _hang(root, x + at, to)
+                tied[lo:hi] = lo + root
             yield _pairs(a, b, s)
+            yield _ties(ids, ids[tied])
 
     return run
 
 
-def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int) -> DataFrame:
+def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int, threshold: float) -> DataFrame:
     """Neighbours from ``tables`` hyperplane codes with so many bits that a bucket of even data holds BUCKET nodes.
     Larger buckets are dealt into parts by digest, so that none is a single task's work."""
     bits, n = max(1, min(60, int(np.ceil(np.log2(max(2, count / BUCKET)))))), shuffle_partitions(nodes.sparkSession)
@@ -118,19 +143,19 @@ def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int) -
     bucket = F.xxhash64("grp", "t", "code", F.pmod(F.xxhash64("id", "t"), "parts"))
     placed = coded.join(sizes, ["grp", "t", "code"]).select(F.xxhash64(bucket, "grp").alias("bucket"), "id")
     rows = placed.join(nodes.select("id", "vector"), "id").select("bucket", "id", "vector")
-    return rows.repartition(n, "bucket").sortWithinPartitions("bucket", "id").mapInArrow(_best_of_buckets(k), PAIRS)
+    return rows.repartition(n, "bucket").sortWithinPartitions("bucket", "id").mapInArrow(_best_of_buckets(k, threshold), PAIRS)
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best of each list. Spark trims each task's share of a list before it is shuffled."""
-    pairs = pairs.groupBy("u", "v").agg(F.max("s").alias("s"))
+    """The k best of each list, ties left out. Spark trims each task's share of a list before it is shuffled."""
+    pairs = pairs.where(F.col("s").isNotNull()).groupBy("u", "v").agg(F.max("s").alias("s"))
     place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
     return pairs.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
-def _meet(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def _meet(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> DataFrame:
     """One round: the neighbours of every node, listed by it or listing it, are compared with each other. What comes back
-    are pairs that would enter the list of one of the two."""
+    are pairs that would enter the list of one of the two, and ties of all that reach the threshold."""
     back = _best(lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "s"), k)
     both = lists.select("u", "v").unionByName(back.select("u", "v")).distinct()
     worst = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
@@ -141,7 +166,7 @@ def _meet(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
         for table, cuts in _runs(batches, 0):
             ids, least = np.asarray(table.column(1).combine_chunks()), np.asarray(table.column(2).combine_chunks())
             vectors = table.column(3).combine_chunks()
-            a, b, s = [], [], []
+            a, b, s, near, to = [], [], [], [], []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 m = _matrix(vectors.slice(lo, hi - lo))
                 sims = m @ m.T
@@ -150,7 +175,11 @@ def _meet(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                 a.append(ids[lo:hi][x])
                 b.append(ids[lo:hi][y])
                 s.append(sims[x, y])
+                x, y = np.nonzero(sims >= threshold)
+                near.append(ids[lo:hi][x])
+                to.append(ids[lo:hi][y])
             yield _best_here(*_pairs(a, b, s).columns, k)
+            yield _ties(np.concatenate(near), np.concatenate(to))
 
     return brought.select("u", "v", "least", "vector").mapInArrow(compare, PAIRS)
 
@@ -193,21 +222,121 @@ def _block_counts(threshold: float):
     return run
 
 
+def _saturated(lists: DataFrame, roots: DataFrame, threshold: float, k: int) -> DataFrame:
+    """root, node: all nodes of the linked parts with a saturated list."""
+    full = lists.where(F.col("s") >= threshold).groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    return roots.join(full.join(roots, full["u"] == roots["node"]).select("root").distinct(), "root")
+
+
+def _dealt(members: DataFrame, part: str) -> DataFrame:
+    """The members (part, node), each in one of the blocks of about BLOCK nodes that a part is dealt into by digest."""
+    sizes = members.groupBy(part).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return members.join(sizes, part).select(part, "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
+
+
+def _block_pairs(members: DataFrame, part: str) -> DataFrame:
+    """pair, node, side: every two blocks of a part, and every block with itself (side 1), under one number."""
+    other = _dealt(members, part).select(part, "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
+    pair = F.xxhash64(part, F.least("own", "other"), F.greatest("own", "other"))
+    return other.select(pair.alias("pair"), "node", side.cast("int").alias("side"))
+
+
+def _cells(threshold: float):
+    """Blocks of a part in cells: a leader and the members within half the angle of the threshold that no cell before has.
+    ``least`` is the cosine of the leader with the farthest of them."""
+    inside = np.cos(np.arccos(threshold) / 2)
+
+    def run(batches):
+        for table, cuts in _runs(batches, 0):
+            ids, root, grp = (np.asarray(table.column(i).combine_chunks()) for i in (1, 2, 3))
+            vectors = table.column(4).combine_chunks()
+            cell, least = np.zeros(len(ids), np.int64), np.zeros(len(ids))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                m, free = _matrix(vectors.slice(lo, hi - lo)), np.ones(hi - lo, bool)
+                while free.any():
+                    first = int(np.argmax(free))
+                    sims = m @ m[first]
+                    mine = free & (sims >= inside)
+                    mine[first] = True
+                    cell[lo:hi][mine], least[lo:hi][mine] = ids[lo + first], sims[mine].min()
+                    free &= ~mine
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, root, grp, cell, least)], names=["node", "root", "grp", "cell", "least"])
+
+    return run
+
+
+def _cells_that_may_link(threshold: float):
+    """a, b: cells of different parts whose leaders are no farther apart than both radii and the threshold allow."""
+
+    def run(batches):
+        for table, cuts in _runs(batches, 0):
+            ids, side, root, least = (np.asarray(table.column(i).combine_chunks()) for i in (1, 2, 3, 4))
+            vectors, reach = table.column(5).combine_chunks(), np.arccos(np.clip(least, -1.0, 1.0))
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                left, right = np.flatnonzero(side[lo:hi] <= 1), np.flatnonzero(side[lo:hi] >= 1)
+                m = _matrix(vectors.slice(lo, hi - lo))
+                angle = np.arccos(np.clip(m[left] @ m[right].T, -1.0, 1.0))
+                left, right = left + lo, right + lo
+                may = (angle <= reach[left][:, None] + reach[right] + np.arccos(threshold) + 1e-6) & (root[left][:, None] != root[right])
+                x, y = np.nonzero(np.triu(may) if (side[lo:hi] == 1).all() else may)
+                a.append(ids[left[x]])
+                b.append(ids[right[y]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return run
+
+
+def _one_link(threshold: float):
+    """u, v: one link of every two cells that have any."""
+
+    def run(batches):
+        for table, cuts in _runs(batches, 0):
+            ids, side = (np.asarray(table.column(i).combine_chunks()) for i in (1, 2))
+            vectors, u, v = table.column(3).combine_chunks(), [], []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                left, right = np.flatnonzero(side[lo:hi] == 0), np.flatnonzero(side[lo:hi] == 2)
+                m = _matrix(vectors.slice(lo, hi - lo))
+                near = m[left] @ m[right].T >= threshold
+                if near.any():
+                    x, y = np.unravel_index(np.argmax(near), near.shape)
+                    u.append(ids[lo + left[x]])
+                    v.append(ids[lo + right[y]])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _across(lists: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: float, k: int) -> DataFrame:
+    """u, v: links between different linked parts with saturated lists, whose lists have no place for each other; one for
+    every two cells that link, so that no two such parts stay apart.
+
+    Leaders of cells meet in blocks, those of one label with each other; two cells are compared in full only if they may
+    link. Work grows with the pairs of leaders and of cells that may link; a task has two blocks or two cells at a time.
+    """
+    n, vector = shuffle_partitions(nodes.sparkSession), nodes.select(F.col("id").alias("node"), "grp", "vector")
+    dealt = _dealt(_saturated(lists, roots, threshold, k), "root")
+    rows = dealt.join(vector, "node").select(F.xxhash64("root", "own").alias("block"), "node", "root", "grp", "vector")
+    rows = rows.repartition(n, "block").sortWithinPartitions("block", "node")
+    cells = stage(rows.mapInArrow(_cells(threshold), "node long, root long, grp long, cell long, least double"), "cells")
+    leaders = cells.where(F.col("node") == F.col("cell"))
+    rows = _block_pairs(leaders.select("grp", "node"), "grp").join(leaders.select("node", "root", "least"), "node").join(vector, "node")
+    rows = rows.select("pair", "node", "side", "root", "least", "vector").repartition(n, "pair").sortWithinPartitions("pair", "node")
+    may = stage(rows.mapInArrow(_cells_that_may_link(threshold), "a long, b long"), "cells-that-may-link")
+    two = F.array(F.struct(F.col("a").alias("cell"), F.lit(0).alias("side")), F.struct(F.col("b").alias("cell"), F.lit(2).alias("side")))
+    sides = may.select(F.xxhash64("a", "b").alias("pair"), F.inline(two))
+    rows = sides.join(cells.select("cell", "node"), "cell").join(vector, "node").select("pair", "node", "side", "vector")
+    return rows.repartition(n, "pair").sortWithinPartitions("pair", "node").mapInArrow(_one_link(threshold), "u long, v long")
+
+
 def _enlarged(lists: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: float, k: int) -> DataFrame:
     """u, n: the weighted links of every node in a linked part with a saturated list, counted over all of that part.
 
     A part is dealt into blocks of about BLOCK nodes by digest, and every two blocks meet in one task; only counts leave
     it. Work grows with the pairs of the part, as the number of links does; memory and what is moved per task do not.
     """
-    full = lists.where(F.col("s") >= threshold).groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= k)
-    parts = full.join(roots, full["u"] == roots["node"]).select("root").distinct()
-    members = roots.join(parts, "root")
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "root").select("root", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
-    other = dealt.select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
-    pair = F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))
-    placed = other.select(pair.alias("pair"), "node", side.cast("int").alias("side"))
+    placed = _block_pairs(_saturated(lists, roots, threshold, k), "root")
     rows = placed.join(nodes.select(F.col("id").alias("node"), "weight", "vector"), "node").select("pair", "node", "side", "weight", "vector")
     rows = rows.repartition(shuffle_partitions(nodes.sparkSession), "pair").sortWithinPartitions("pair", "node")
     return rows.mapInArrow(_block_counts(threshold), "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
@@ -254,15 +383,24 @@ def link_vectors(
     member = good.join(nodes.select(F.col("id").alias("node"), "label", "vector", "weight"), ["label", "vector"]).select("id", "node", "weight")
     member = stage(member, "classes")
     count = nodes.count()
-    lists, links, roots, size, tables = None, None, None, k, TABLES
+    lists, links, roots, ties, size, tables = None, None, None, None, k, TABLES
     for turn in range(AUDIT_TURNS if count > 1 else 0):
-        first = _first_lists(nodes, count, size, tables, turn)
-        lists = stage(_best(first if lists is None else first.unionByName(lists), size), "lists")
+        met = stage(_first_lists(nodes, count, size, tables, turn, threshold), "met")
+        lists = stage(_best(met if lists is None else met.unionByName(lists), size), "lists")
+        tied = met.where(F.col("s").isNull()).select("u", "v")
+        ties = tied if ties is None else ties.unionByName(tied)
         for _ in range(ROUNDS):
-            lists = stage(_best(_meet(lists, nodes, size).unionByName(lists), size), "lists")
+            met = stage(_meet(lists, nodes, size, threshold), "met")
+            lists = stage(_best(met.unionByName(lists), size), "lists")
+            ties = ties.unionByName(met.where(F.col("s").isNull()).select("u", "v"))
         near = lists.where(F.col("s") >= threshold)
         near = stage(near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")).groupBy("u", "v").agg(F.max("s").alias("s")), "near")
-        roots = stage(components(near, "u", "v"), "vector-roots")
+        joined = ties.unionByName(near.select("u", "v"))
+        roots = stage(components(joined, "u", "v"), "vector-roots")
+        across = stage(_across(lists, nodes, roots, threshold, size), "across")
+        if not across.isEmpty():
+            ties = ties.unionByName(across)
+            roots = stage(components(joined.unionByName(across), "u", "v"), "vector-roots")
         listed = near.join(nodes.select(F.col("id").alias("v"), "weight"), "v").groupBy("u").agg(F.sum("weight").cast("long").alias("n"))
         whole = stage(_enlarged(lists, nodes, roots, threshold, size), "enlarged")
         links = stage(listed.join(whole.select("u"), "u", "left_anti").unionByName(whole), "vector-links")

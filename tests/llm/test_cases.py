@@ -334,6 +334,38 @@ def test_neighbours(spark, monkeypatch, bucket, block):
     assert neighbours.link_vectors(df.limit(0)).count() == 0
 
 
+VECTORS = "vec_id long, embedding array<double>, label string"
+
+
+def tight_groups(sizes, cosine, seed=6, dims=64):
+    """Groups of distinct vectors inside 0.999 of their centres, which have about ``cosine`` with the first centre."""
+    rng = np.random.default_rng(seed)
+    axes = np.linalg.qr(rng.normal(size=(dims, len(sizes))))[0].T
+    centres = [axes[0]] + [cosine * axes[0] + np.sqrt(1 - cosine**2) * x for x in axes[1:]]
+    near = [(c + rng.normal(scale=0.001, size=dims)).tolist() for c, n in zip(centres, sizes) for _ in range(n)]
+    return [(i, v, "x") for i, v in enumerate(near)]
+
+
+def test_neighbours_joins_tight_groups(spark):
+    """No list of the k best has a place for the links between the groups."""
+    rows = tight_groups([60, 60], 0.985)
+    found = neighbours.link_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    assert {r.n_links for r in found} == {119} and {r.component_id for r in found} == {0}
+
+
+@pytest.mark.parametrize("cosine,block", [(0.985, 1024), (0.985, 16), (0.97, 16)])
+def test_neighbours_across_parts(spark, monkeypatch, cosine, block):
+    """Parts whose members never met are joined if, and only if, they link."""
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rows = tight_groups([30, 30], cosine) + [(100 + i, v, "y") for i, v, _ in tight_groups([30], cosine)]
+    df = spark.createDataFrame([(i, {"x": 1, "y": 2}[x], 1.0, v) for i, v, x in rows], "id long, grp long, weight double, vector array<double>")
+    part = lambda i: min(i // 30 * 30, 100) if i < 100 else 100
+    roots = spark.createDataFrame([(r[0], part(r[0])) for r in rows], "node long, root long")
+    lists = spark.createDataFrame([(r[0], part(r[0]) + j, 0.999) for r in rows for j in range(9) if part(r[0]) + j != r[0]], "u long, v long, s double")
+    found = neighbours._across(lists, df, roots, 0.98, 8).collect()
+    assert {(part(min(r)), part(max(r))) for r in found} == ({(0, 30)} if cosine > 0.98 else set())
+
+
 def test_revisits(spark, monkeypatch):
     monkeypatch.setattr(revisits, "SLICE_ROWS", 20)
     rng = random.Random(9)
