@@ -6,8 +6,10 @@ together, which are compared with each other, and each keeps its best. Every pai
 also where the lists have no place for it: ties, written apart, hold what the pairs met in a bucket or a round connect. A
 list whose last entry still reaches the threshold is saturated. Parts with such a list are cut into cells of a small
 radius, cells of different parts that may link are compared in full, and the lists are then enlarged to all of their
-linked part, counted in blocks. A sample of nodes is then searched by brute force in blocks; while the links found fall short of the audit's aim, the graph
-is refined further with more buckets and longer lists. Links are pairs of the graph at the threshold or above.
+linked part, counted in blocks. A sample of nodes is searched by brute force in blocks; while the share of their links
+found, a mean over nodes, falls short of the audit's aim for nodes with few links or for those with many, the graph is
+refined further with more buckets and longer lists. A graph that changes no more and falls short is an error. Links are
+pairs of the graph at the threshold or above.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import logging
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +28,9 @@ from hourline.session import shuffle_partitions, stage
 
 THRESHOLD, NEIGHBOURS, TABLES, ROUNDS = 0.98, 8, 4, 2
 BUCKET, BLOCK = 256, 1024
-AUDIT_NODES, AUDIT_RECALL, AUDIT_TURNS = 100, 0.97, 3
+AUDIT_RECALL, AUDIT_TURNS = 0.97, 3
+#: Nodes searched by brute force: so many at first, then four times as many until AUDIT_LINKED of them have few links.
+AUDIT_NODES, AUDIT_MOST, AUDIT_LINKED = 400, 6_400, 30
 log = logging.getLogger(__name__)
 
 
@@ -119,10 +124,21 @@ def _best_of_buckets(k: int, threshold: float):
     return run
 
 
-def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int, threshold: float) -> DataFrame:
-    """Neighbours from ``tables`` hyperplane codes with so many bits that a bucket of even data holds BUCKET nodes.
-    Larger buckets are dealt into parts by digest, so that none is a single task's work."""
-    bits, n = max(1, min(60, int(np.ceil(np.log2(max(2, count / BUCKET)))))), shuffle_partitions(nodes.sparkSession)
+def _bits(count: int) -> int:
+    """Bits of a code: a bucket of even data holds BUCKET nodes."""
+    return max(1, min(60, int(np.ceil(np.log2(max(2, count / BUCKET))))))
+
+
+def _tables(bits: int, threshold: float) -> int:
+    """TABLES, or as many that a pair at the threshold shares a bucket of one of them as often as the audit asks."""
+    one = (1.0 - np.arccos(threshold) / np.pi) ** bits
+    return max(TABLES, int(np.ceil(np.log(1.0 - AUDIT_RECALL) / np.log1p(-min(one, 0.999)))))
+
+
+def _first_lists(nodes: DataFrame, bits: int, k: int, numbers: range, turn: int, threshold: float) -> DataFrame:
+    """Neighbours from one hyperplane code of so many bits for each of the table ``numbers``. Large buckets are dealt into
+    parts by digest, so that none is a single task's work."""
+    n, tables = shuffle_partitions(nodes.sparkSession), len(numbers)
 
     def code(batches):
         for batch in batches:
@@ -132,7 +148,7 @@ def _first_lists(nodes: DataFrame, count: int, k: int, tables: int, turn: int, t
                 at = np.flatnonzero(lengths == dim)
                 m = _matrix(batch.column(1).take(pa.array(at)))
                 for t in range(tables):
-                    planes = np.random.default_rng([turn, t, dim]).standard_normal((dim, bits))
+                    planes = np.random.default_rng([turn, numbers[t], dim]).standard_normal((dim, bits))
                     codes[t, at] = (m @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64))
             table = np.repeat(np.arange(tables, dtype=np.int32), len(ids))
             yield pa.RecordBatch.from_arrays([pa.array(np.tile(ids, tables)), pa.array(table), pa.array(codes.ravel())], names=["id", "t", "code"])
@@ -342,27 +358,51 @@ def _enlarged(lists: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: f
     return rows.mapInArrow(_block_counts(threshold), "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
 
 
-def _audit(nodes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Share of the true links of AUDIT_NODES nodes, drawn by digest, that ``links`` (u, n) counts."""
-    asked = nodes.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDIT_NODES).select("id", "grp", "weight", "vector").toPandas()
-    if asked.empty:
-        return 1.0
+def _digest(lists: DataFrame, threshold: float, k: int) -> tuple:
+    """Number and digest of the links of lists that are not saturated."""
+    own = lists.where(F.col("s") >= threshold).groupBy("u").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    return tuple(own.where(F.col("n") < k).agg(F.sum("n"), F.sum("h")).first())
+
+
+def _search(asked: pd.DataFrame, nodes: DataFrame, threshold: float) -> pd.DataFrame:
+    """id, true, links: the weighted and the plain number of links of the asked nodes that have any, by brute force."""
+    asked = [(g, x["id"].to_numpy(), _matrix(pa.array(x["vector"].tolist()))) for g, x in asked.groupby("grp")]
 
     def search(batches):
         for batch in batches:
             ids, grp, weight = (np.asarray(batch.column(i)) for i in range(3))
-            lengths = np.asarray(pc.list_value_length(batch.column(3)))
-            for r in asked.itertuples():
-                on = np.flatnonzero((grp == r.grp) & (lengths == len(r.vector)) & (ids != r.id))
+            for g, own, q in asked:
+                on = np.flatnonzero(grp == g)
                 if len(on):
-                    m = _matrix(batch.column(3).take(pa.array(on)))
-                    q = _matrix(pa.array([r.vector]))
-                    near = (m @ q[0] >= threshold) @ weight[on]
-                    yield pa.RecordBatch.from_arrays([pa.array([r.id]), pa.array([int(near)])], names=["id", "n"])
+                    near = (_matrix(batch.column(3).take(pa.array(on))) @ q.T >= threshold) & (ids[on][:, None] != own)
+                    some = near.any(axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array((weight[on] @ near)[some].astype(np.int64)), pa.array(near.sum(axis=0)[some])], names=["id", "true", "links"])
+
+    found = nodes.select("id", "grp", "weight", "vector").mapInArrow(search, "id long, true long, links long")
+    return found.groupBy("id").agg(F.sum("true").alias("true"), F.sum("links").alias("links")).toPandas()
+
+
+def _truth(nodes: DataFrame, count: int, threshold: float, k: int) -> pd.DataFrame:
+    """The search of nodes drawn by digest, more of them until AUDIT_LINKED have at least one
+    link and fewer than k, all nodes are drawn, or AUDIT_MOST."""
+    most = AUDIT_NODES
+    while True:
+        drawn = F.pmod(F.xxhash64("id", F.lit("audit")), F.lit(1 << 30)) < int(np.ceil(min(1.0, most / count) * (1 << 30)))
+        found = _search(nodes.where(drawn).select("id", "grp", "vector").toPandas(), nodes, threshold)
+        if (found["links"] < k).sum() >= AUDIT_LINKED or most >= min(count, AUDIT_MOST):
+            return found
+        most *= 4
+
 
-    true = nodes.select("id", "grp", "weight", "vector").mapInArrow(search, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    seen = true.join(links.withColumnRenamed("u", "id"), "id", "left").agg(F.sum("true").alias("t"), F.sum(F.least(F.coalesce("n", F.lit(0)), "true")).alias("f")).first()
-    return 1.0 if not seen["t"] else seen["f"] / seen["t"]
+def _recall(truth: pd.DataFrame, links: DataFrame, k: int) -> dict[str, tuple[float, int]]:
+    """Mean over the searched nodes of the share of their links that ``links`` (u, n) counts, and their number; nodes with
+    fewer than k links apart from the others."""
+    if truth.empty:
+        return {}
+    asked = links.sparkSession.createDataFrame(truth[["id"]])
+    n = links.join(F.broadcast(asked), links["u"] == asked["id"]).select("id", "n").toPandas().set_index("id")["n"]
+    share = (truth["id"].map(n).fillna(0) / truth["true"]).clip(upper=1.0)
+    return {name: (float(share[on].mean()), int(on.sum())) for name, on in (("few", truth["links"] < k), ("many", truth["links"] >= k)) if on.any()}
 
 
 def link_vectors(
@@ -383,16 +423,21 @@ def link_vectors(
     member = good.join(nodes.select(F.col("id").alias("node"), "label", "vector", "weight"), ["label", "vector"]).select("id", "node", "weight")
     member = stage(member, "classes")
     count = nodes.count()
-    lists, links, roots, ties, size, tables = None, None, None, None, k, TABLES
-    for turn in range(AUDIT_TURNS if count > 1 else 0):
-        met = stage(_first_lists(nodes, count, size, tables, turn, threshold), "met")
-        lists = stage(_best(met if lists is None else met.unionByName(lists), size), "lists")
-        tied = met.where(F.col("s").isNull()).select("u", "v")
-        ties = tied if ties is None else ties.unionByName(tied)
-        for _ in range(ROUNDS):
+    lists, links, roots, ties, size, turn, before = None, None, None, None, k, 0, None
+    bits = _bits(count)
+    tables, truth = _tables(bits, threshold), _truth(nodes, count, threshold, k) if count > 1 else None
+    while count > 1:
+        for start in range(0, tables, TABLES):  # some tables at a time, as each moves all vectors
+            met = stage(_first_lists(nodes, bits, size, range(start, min(tables, start + TABLES)), turn, threshold), "met")
+            lists = stage(_best(met if lists is None else met.unionByName(lists), size), "lists")
+            tied = met.where(F.col("s").isNull()).select("u", "v")
+            ties = tied if ties is None else ties.unionByName(tied)
+        rounds, last, now = 0, None, _digest(lists, threshold, size)
+        while rounds < ROUNDS or now != last:
             met = stage(_meet(lists, nodes, size, threshold), "met")
             lists = stage(_best(met.unionByName(lists), size), "lists")
             ties = ties.unionByName(met.where(F.col("s").isNull()).select("u", "v"))
+            rounds, last, now = rounds + 1, now, _digest(lists, threshold, size)
         near = lists.where(F.col("s") >= threshold)
         near = stage(near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")).groupBy("u", "v").agg(F.max("s").alias("s")), "near")
         joined = ties.unionByName(near.select("u", "v"))
@@ -404,11 +449,14 @@ def link_vectors(
         listed = near.join(nodes.select(F.col("id").alias("v"), "weight"), "v").groupBy("u").agg(F.sum("weight").cast("long").alias("n"))
         whole = stage(_enlarged(lists, nodes, roots, threshold, size), "enlarged")
         links = stage(listed.join(whole.select("u"), "u", "left_anti").unionByName(whole), "vector-links")
-        recall = _audit(nodes, links, threshold)
-        log.info("links found of those of the audited nodes: %.4f", recall)
-        if recall >= AUDIT_RECALL:
+        recall = _recall(truth, links, k)
+        log.info("mean share of their links found of the audited nodes, and these nodes: %s", recall)
+        if all(share >= AUDIT_RECALL for share, _ in recall.values()):
             break
-        size, tables = size * 2, tables * 2
+        if turn + 1 >= AUDIT_TURNS and now == before:
+            raise RuntimeError(f"the links change no more, but the audit finds {recall}, below {AUDIT_RECALL}")
+        turn, tables, before = turn + 1, tables * 2, now
+        size *= 2 if turn < AUDIT_TURNS else 1
     if links is None:
         found = member.select("id", (F.col("weight") - 1).cast("long").alias("n_links"), F.col("node").alias("component_id"))
     else:

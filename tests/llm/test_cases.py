@@ -366,6 +366,32 @@ def test_neighbours_across_parts(spark, monkeypatch, cosine, block):
     assert {(part(min(r)), part(max(r))) for r in found} == ({(0, 30)} if cosine > 0.98 else set())
 
 
+def test_neighbours_audit_sees_few_links(spark, monkeypatch):
+    """A large cluster does not hide that the pairs were lost: they are found in a further turn."""
+    rng, first, calls = np.random.default_rng(8), neighbours._first_lists, []
+    ones = [rng.normal(size=64) for _ in range(40)]
+    pairs = [(1000 + 2 * i + j, (v + j * rng.normal(scale=0.001, size=64)).tolist(), "x") for i, v in enumerate(ones) for j in (0, 1)]
+
+    def lossy(*args):
+        calls.append(1)
+        found = first(*args)
+        return found.where("u < 1000 and v < 1000") if len(calls) == 1 else found
+
+    monkeypatch.setattr(neighbours, "_first_lists", lossy)
+    found = neighbours.link_vectors(spark.createDataFrame(tight_groups([150], 0.99) + pairs, VECTORS)).collect()
+    assert len(calls) > 1 and {r.n_links for r in found if r.vec_id >= 1000} == {1} and {r.n_links for r in found if r.vec_id < 1000} == {149}
+
+
+def test_neighbours_audit_error(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_recall", lambda *args: {"few": (0.5, 40)})
+    with pytest.raises(RuntimeError, match="audit"):
+        neighbours.link_vectors(spark.createDataFrame(tight_groups([3], 0.99), VECTORS))
+
+
+def test_neighbours_tables_grow():
+    assert neighbours._tables(8, 0.98) == neighbours.TABLES < neighbours._tables(19, 0.98) < neighbours._tables(60, 0.98)
+
+
 def test_revisits(spark, monkeypatch):
     monkeypatch.setattr(revisits, "SLICE_ROWS", 20)
     rng = random.Random(9)
