@@ -299,6 +299,15 @@ def test_site_lines(spark, odd, none):
     assert site_lines.line_report(none, "doc_id").count() == 0
 
 
+def test_site_lines_of_copies(spark):
+    """Copies alone make no line boilerplate of what goes on to the next stage; the report counts them as pages."""
+    pages = [(i, "menu\ncopied one\ncopied two", "s") for i in range(20)] + [(20 + i, f"menu\ntext {i}", "s") for i in range(30)]
+    df = spark.createDataFrame(pages, "doc_id long, text string, source string")
+    clean = {r.doc_id: r.text for r in site_lines.drop_boilerplate(df).collect()}
+    assert clean == {i: "copied one\ncopied two" if i < 20 else f"text {i - 20}" for i in range(50)}
+    assert {r.text for r in site_lines.line_report(df, "doc_id").collect() if r.doc_id < 20} == {""}
+
+
 def brute_links(rows, threshold=0.98):
     n = dict.fromkeys([r[0] for r in rows], 0)
     good = [r for r in rows if r[2] is not None and r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
