@@ -99,11 +99,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Learn from the texts of labelled ids: ``most`` ids at most, those of the smallest digests.
 
     Null ids and null labels teach nothing; of several labels of an id the largest counts; an id that several rows carry
-    teaches with each. Without a label, or without a positive one, every score is the share of positives seen.
+    teaches with one of them, that of the smallest digest of its text, so that no more than ``most`` rows are learned and
+    no id outweighs the others. Without a label, or without a positive one, every score is the share of positives seen.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg((F.max(label) > 0).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     hashed = add_columns(rows, "text", [T.StructField("at", T.ArrayType(T.IntegerType()))], lambda: _feature_lists, keep_text=False)
     shards = max(1, math.ceil(chosen.count() / SHARD_DOCS))
 

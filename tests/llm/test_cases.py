@@ -289,6 +289,16 @@ def test_simhash_cases(odd, none):
     assert simhash.near_duplicate_documents(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+def test_toxicity_of_a_hot_id(spark):
+    """An id that many rows carry teaches once."""
+    texts = [f"plain words number {i} here" for i in range(60)] + [f"you awful thing number {i}" for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 60)) for i in range(90)], "doc_id long, toxic int")
+    hot = spark.range(200).join(docs.where("doc_id = 5")).select("doc_id", "text")
+    one, many = toxicity.train(docs, labels), toxicity.train(docs.unionByName(hot), labels)
+    assert one.bias == many.bias and len(one.at) == len(many.at) and (one.at == many.at).all() and (one.weights == many.weights).all()
+
+
 def test_site_lines(spark, odd, none):
     pages = [(i, "menu\ntext %d\n\n menu " % i, "s") for i in range(10)] + [(20, "menu\nown", "t"), (21, None, "s"), (22, "menu", None)]
     df = spark.createDataFrame(pages, "doc_id long, text string, source string")
