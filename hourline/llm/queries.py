@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline.llm import bpe, blocks, language, neighbours, packing, records, revisits, simhash, site_lines, toxicity
+from hourline.llm import bpe, blocks, language, merkle, neighbours, packing, records, revisits, simhash, site_lines, toxicity
 from hourline.llm.common import held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -143,6 +143,49 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(*values)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf_digest(*[F.col(v) for v in values[:-1]], lowered))
+    made = merkle.build(docs, values, carry=[F.col("doc_id"), tampered.alias("tampered")])
+    held = merkle.prove(made).select("carried.*", F.col("digest").alias("leaf"), "subroot", "left", "right")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("left"), F.col("right"))
+    root = F.lit(made.root).cast("string")
+    found = held.select("doc_id", "leaf", "subroot", root.alias("root"), merkle.siblings_digest(F.col("left"), F.col("right")).alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_BYTES = "list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INT), 1)))"
+_STEP = "list_reduce(list_concat([xor(a, CAST(b AS BIGINT))], CAST(range(8) AS BIGINT[])), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))"
+#: crc32 of the decimal id, for lists that hold a bit pattern each.
+CRC_SQL = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], CAST({_BYTES} AS BIGINT[])), lambda a, b: {_STEP}), 4294967295)"
+_FRAMED = [f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || {v}, '-')" for v in ("doc_id", "source", "lang", "n_chars")]
+_LEAF = lambda text: "sha256(" + " || ".join([*_FRAMED, f"coalesce(strlen({text}) || ':' || {text}, '-')"]) + ")"
+_RUNS = """SELECT tree, level + 1 AS level, place // 16 AS place, (size + 15) // 16 AS size, sha256(string_agg(digest, '' ORDER BY place)) AS digest
+  FROM {0} WHERE size > 1 GROUP BY tree, level, place // 16, size"""
+OP11_SQL = rf"""
+WITH RECURSIVE leaf_ AS (SELECT doc_id, source, {_LEAF("text")} AS leaf,
+  CASE WHEN {CRC_SQL} % 5 = 0 THEN {_LEAF("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered FROM documents),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) AS tree, count(*) OVER (PARTITION BY source) AS size,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaf_),
+below AS (SELECT tree, 0 AS level, place, size, leaf AS digest FROM placed UNION ALL {_RUNS.format("below")}),
+subs AS (SELECT tree, digest FROM below WHERE size = 1),
+above AS (SELECT CAST(0 AS BIGINT) AS tree, 0 AS level, tree - 1 AS place, (SELECT count(*) FROM subs) AS size, digest FROM subs UNION ALL {_RUNS.format("above")}),
+runs AS (SELECT tree, level, place // 16 AS run, size, list(digest ORDER BY place) AS held FROM (FROM below UNION ALL FROM above) GROUP BY ALL HAVING size > 1),
+path AS (
+  SELECT doc_id, leaf, tree AS own, tree, 0 AS level, place, size, '' AS proof, coalesce(tampered, leaf) AS folded FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, own, CASE WHEN p.size = 1 THEN 0 ELSE p.tree END, CASE WHEN p.size = 1 THEN 0 ELSE p.level + 1 END,
+    CASE WHEN p.size = 1 THEN own - 1 ELSE p.place // 16 END, CASE WHEN p.size = 1 THEN (SELECT count(*) FROM subs) ELSE (p.size + 15) // 16 END,
+    CASE WHEN p.size = 1 THEN proof ELSE proof || array_to_string(held[:p.place % 16], '') || array_to_string(held[p.place % 16 + 2:], '') END,
+    CASE WHEN p.size = 1 THEN folded ELSE sha256(array_to_string(held[:p.place % 16], '') || folded || array_to_string(held[p.place % 16 + 2:], '')) END
+  FROM path p LEFT JOIN runs r ON p.tree = r.tree AND p.level = r.level AND p.place // 16 = r.run WHERE p.tree > 0 OR p.size > 1)
+SELECT doc_id, leaf, s.digest AS subroot, a.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = a.digest AS verified
+FROM path p JOIN subs s ON s.tree = p.own JOIN above a ON a.size = 1 WHERE p.tree = 0 AND p.size = 1
+"""
+
+
 QUERIES = {
     "op1_language": (op1_language, None),
     "op2_records": (op2_records, None),
@@ -154,4 +197,5 @@ QUERIES = {
     "op8_site_lines": (op8_site_lines, OP8_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_manifest": (op11_manifest, OP11_SQL),
 }
