@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline.llm import bpe, blocks, language, merkle, neighbours, packing, records, revisits, simhash, site_lines, toxicity
-from hourline.llm.common import held_out, table
+from hourline.llm import bpe, blocks, language, merkle, neighbours, packing, periods, quality, records, revisits, simhash, site_lines, toxicity
+from hourline.llm.common import WS, held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -186,6 +186,74 @@ FROM path p JOIN subs s ON s.tree = p.own JOIN above a ON a.size = 1 WHERE p.tre
 """
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.clean_lines(_documents(spark, sf_dir), keep_text=False)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *base, *quality.COUNTS[5:], F.sha2("cleaned", 256).alias("cleaned_sha256"))
+
+
+_QUOTED = lambda text: text.replace("'", "''")
+_LINE_WORDS = rf"len(regexp_extract_all(line, '[^{WS}]+'))"
+_LINE_CHARS = rf"length(regexp_replace(line, '[{WS}]+', '', 'g'))"
+_SYMBOL_COUNT = lambda text: f"length({text}) - length(regexp_replace({text}, '[{quality.SYMBOLS}]', '', 'g'))"
+OP12_SQL = rf"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^{WS}]+') AS w, string_split(text, chr(10)) AS ls FROM docs),
+at_line AS (SELECT r, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM split),
+judged AS (SELECT r, i, line, {_LINE_WORDS} AS n, {_LINE_CHARS} AS chars, row_number() OVER (PARTITION BY r, line ORDER BY i) AS nth,
+  CASE WHEN {_LINE_WORDS} = 0 THEN NULL
+    WHEN 100 * len(list_filter(regexp_extract_all(line, '[^{WS}]+'), lambda x: regexp_full_match(x, '{quality.SEPARATOR}'))) > {quality.MOST_SEPARATORS} * {_LINE_WORDS} THEN 'navigation'
+    WHEN {_LINE_WORDS} <= {quality.BOILERPLATE_WORDS}
+      AND regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{"|".join(quality.BOILERPLATE)}') THEN 'boilerplate'
+    WHEN NOT regexp_matches(line, '{_QUOTED(quality.SENTENCE_END)}') OR 100 * ({_SYMBOL_COUNT("line")}) > {quality.MOST_SYMBOLS} * {_LINE_WORDS} THEN 'punctuation' END AS fault FROM at_line),
+by_line AS (SELECT r, count(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines, count(*) FILTER (fault = 'navigation') AS navigation,
+  count(*) FILTER (fault = 'boilerplate') AS boilerplate, count(*) FILTER (fault = 'punctuation') AS punctuation,
+  CAST(coalesce(sum(chars) FILTER (fault IS NOT NULL), 0) AS BIGINT) AS lost_chars,
+  coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (fault IS NULL), '') AS cleaned FROM judged GROUP BY r),
+wide AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM split WHERE len(w) >= 5),
+named AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM wide),
+again AS (SELECT r, i FROM named QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM again, range(5) AS s(k) GROUP BY r),
+counted AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, {_SYMBOL_COUNT("text")} AS n_symbols,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, b.* FROM split s JOIN by_line b USING (r) LEFT JOIN covered c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, navigation, boilerplate, punctuation, lost_chars,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT base_failed AND 100 * lost_chars <= {quality.MOST_LOST} * word_chars AS kept,
+  sha256(cleaned) AS cleaned_sha256 FROM counted
+"""
+
+
+def repeating(text: Column, doc_id: Column) -> Column:
+    """The text of every tenth id by digest with its last words replaced by copies of the first few of them; others as they are."""
+    digest = F.crc32(doc_id.cast("string"))
+    g = F.floor(digest / 10)
+
+    def again(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        copies = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(copies, F.lit(1), n - a)), " "))
+
+    # A function of an array of one: the words are taken once, however often they are named.
+    made = F.transform(F.array(F.regexp_extract_all(text, F.lit(f"([^{WS}]+)"), F.lit(1))), again)[0]
+    return F.when(digest % 10 == 0, F.coalesce(made, text)).otherwise(text)
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    made = docs.select("doc_id", repeating(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periods.find_runs(made, keep_text=False)
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    found = found.withColumns({"first": first, "runs_sha256": F.sha2(listed, 256), "collapsed_sha256": F.sha2("collapsed", 256)})
+    length, period = -F.col("first.less"), F.col("first.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "first.start", length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_language": (op1_language, None),
     "op2_records": (op2_records, None),
@@ -198,4 +266,6 @@ QUERIES = {
     "op9_simhash": (op9_simhash, None),
     "op10_toxicity": (op10_toxicity, None),
     "op11_manifest": (op11_manifest, OP11_SQL),
+    "op12_quality": (op12_quality, OP12_SQL),
+    "op13_runs": (op13_runs, None),
 }
