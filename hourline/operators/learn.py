@@ -112,6 +112,19 @@ def get_pipeline(model_type: str, season: int = schema.SEASON, covariates: list[
     return Pipeline(stages=[*preparation(season, covariates), regressor(model_type, **params)])
 
 
+def lags_of(model: PipelineModel) -> int:
+    """How many lags a fitted pipeline was trained on: its features without the scalars of its vector step."""
+    scalars = next(len(s.getOrDefault(s.scalars)) for s in model.stages if isinstance(s, LagVector))
+    return model.stages[-1].numFeatures - scalars
+
+
+def check_lags(model: PipelineModel, seq_len: int) -> None:
+    """Trees find features by their place, so windows of another length would be scored without a word."""
+    trained = lags_of(model)
+    if seq_len != trained:
+        raise ValueError(f"The model was trained on windows of {trained} lags and cannot score windows of {seq_len}")
+
+
 def candidates(grids: dict[str, dict[str, list]]) -> list[tuple[str, dict]]:
     """Every parameter combination of every family, families in their given order."""
     out = []

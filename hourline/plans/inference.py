@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hourline import schema
 from hourline.functions import round_half_even
 from hourline.operators.clean import as_of_range_or_tail, require_rows
+from hourline.operators.learn import check_lags
 from hourline.operators.windows import latest_windows
 from hourline.session import stage
 
@@ -47,6 +48,7 @@ def predict_next(
 
     ``date`` is the hour of ``as_of``; predictions are whole megawatts, halves to even.
     """
+    check_lags(model, seq_len)
     ready, _ = prediction_inputs(features, as_of, seq_len, lookback_days, covariates, **clock)
     return score_inputs(ready, model, grain)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from hourline import schema
 from hourline.operators.clean import holdout_split, require_columns, require_rows
-from hourline.operators.learn import grid_search, trainable
+from hourline.operators.learn import check_lags, grid_search, trainable
 from hourline.operators.metrics import regression_metrics
 from hourline.operators.windows import check_parameters, check_seq_len, expanding_folds, lag_windows
 from hourline.session import stage
@@ -60,6 +60,7 @@ def evaluate(
     The first ``seq_len`` rows of the holdout only serve as lags. With ``warmup=True`` the lags may reach back into the
     training part, so every holdout row is a target.
     """
+    check_lags(model, seq_len)
     require_rows(features, "There are no features to work on")
     _, test_part = holdout_split(features, holdout_days)
     require_rows(test_part, "The holdout has no rows")

@@ -70,4 +70,4 @@ def zones(spark: SparkSession) -> DataFrame:
     )
 
 # How the windows of a stored model were cut; null fields stand for the defaults.
-MODEL_OPTIONS_DDL = "covariates array<string>, lag_mode string, grain_seconds long"
+MODEL_OPTIONS_DDL = "covariates array<string>, lag_mode string, grain_seconds long, seq_len int"

@@ -54,9 +54,11 @@ def test_jobs_end_to_end(spark, at):
 
     # Predictions of the hours before, then the day after they are compared with what came.
     for hour in ("2025-02-13 05:10:00", "2025-02-13 06:10:00"):
-        predicted = jobs.run_inference(spark, at, F.lit(hour).cast("timestamp"), 28)
+        predicted = jobs.run_inference(spark, at, F.lit(hour).cast("timestamp"))
     assert predicted.count() == 4
     assert jobs.run_inference(spark, at, F.lit("2025-02-13 06:10:00").cast("timestamp"), 28).count() == 4  # a repeated run
+    with pytest.raises(ValueError, match="windows of 28 lags"):
+        jobs.run_inference(spark, at, F.lit("2025-02-13 06:10:00").cast("timestamp"), 12)
     assert spark.read.parquet(at.prediction_rejects).count() == 0
     monitored = jobs.run_monitoring(spark, at, F.lit("2025-02-14 03:00:00").cast("timestamp"))
     assert monitored.count() == 4 and monitored.columns == ["sub_region_code", "predicted_demand", "date", "demand"]
@@ -69,8 +71,8 @@ def test_inference_windows_like_the_training(spark, at):
     options = {"covariates": ["hour"], "lag_mode": "time", "grain_seconds": 3600}
     jobs.run_training(spark, at, 28, 5, holdout_days=10, drift_days=(40, 10, 9), folds=2, grids=grids, season=7, **options)
     stored = sources.read_document(spark, at.model_options, schema.MODEL_OPTIONS_DDL).first().asDict()
-    assert stored == options
-    predicted = jobs.run_inference(spark, at, F.lit("2025-02-13 05:10:00").cast("timestamp"), 28, keep_history=False)
+    assert stored == options | {"seq_len": 28}
+    predicted = jobs.run_inference(spark, at, F.lit("2025-02-13 05:10:00").cast("timestamp"), keep_history=False)
     assert predicted.count() == 2
 
 
