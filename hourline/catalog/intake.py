@@ -116,6 +116,51 @@ def refresh_days(spark, sf_dir):
     return sources.refresh_plan(items.select(F.to_date("l_shipdate").alias("day")).distinct(), as_of)
 
 
+REFRESHED = f"""{RECORDS}, now AS (SELECT max(date) + INTERVAL 36 HOUR AS t FROM hourly),
+  aged AS (SELECT r.*, floor((epoch(t) - epoch(day)) / 86400) AS days_old, day(day) % 10 = 0 AS late FROM records r, now)"""
+
+
+def _refreshed(spark, sf_dir):
+    """Every tenth day of a month is missing when the days land; a day and a half after the last hour the source serves
+    doubled values and all days."""
+    root, ledger = scratch_path(spark, "landed"), scratch_path(spark, "landed-days")
+    source = records(spark, sf_dir)
+    ends = source.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+    spine = sources.day_spine(spark, str(ends["a"]), str(ends["b"]))
+    first = newest(hourly(spark, sf_dir))
+    plan = sources.days_to_read(spine, sources.landed_days(spark, ledger), first)
+    sinks.refresh_landed(source.where(F.dayofmonth("day") % 10 != 0), root, ledger, plan, first)
+    doubled = source.withColumn("value", (F.col("value").cast("decimal(18,2)") * 2).cast("string"))
+    again = first + F.expr("INTERVAL 36 HOURS")
+    plan = sources.days_to_read(spine, sources.landed_days(spark, ledger), again)
+    return root, ledger, sinks.refresh_landed(doubled, root, ledger, plan, again)
+
+
+@query(
+    "a5_refresh_landed",
+    f"""WITH {REFRESHED} SELECT day, period, subba, CASE WHEN days_old < 2 OR late THEN value * 2 ELSE value END AS value FROM aged""",
+)
+def refresh_landed(spark, sf_dir):
+    """The landed days after unsettled and missing ones were read again."""
+    root, _, _ = _refreshed(spark, sf_dir)
+    return sources.landed_demand(spark, root).select("day", "period", "subba", F.col("value").cast("double").alias("value"))
+
+
+@query(
+    "a5_refresh_actions",
+    f"""WITH {REFRESHED}, spine AS (
+      SELECT CAST(unnest(generate_series((SELECT min(day) FROM records), (SELECT max(day) FROM records), INTERVAL 1 DAY)) AS TIMESTAMP) AS day),
+    days AS (SELECT day, any_value(late) AS late, count(*) AS n FROM aged GROUP BY 1)
+    SELECT s.day, CAST(floor((epoch(t) - epoch(s.day)) / 86400) AS BIGINT) AS days_old,
+      CASE WHEN n IS NULL THEN 'none' WHEN late THEN 'landed' WHEN floor((epoch(t) - epoch(s.day)) / 86400) < 2 THEN 'replaced' ELSE 'kept' END AS action,
+      CASE WHEN late OR floor((epoch(t) - epoch(s.day)) / 86400) < 2 THEN coalesce(n, 0) ELSE 0 END AS rows
+    FROM spine s LEFT JOIN days USING (day), now""",
+)
+def refresh_actions(spark, sf_dir):
+    """What the second run did with every day."""
+    return _refreshed(spark, sf_dir)[2]
+
+
 SLOTS = """means AS (
   SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS v FROM events GROUP BY 1)"""
@@ -330,6 +375,28 @@ def keyed_upsert(spark, sf_dir):
     return sinks.upsert_keyed(fresh, path, keys)
 
 
+DOUBLED = """fresh AS (
+      SELECT sub_region_code, date, demand * 2 AS demand FROM hourly WHERE date >= (SELECT max(date) FROM hourly) - INTERVAL 5 DAY),
+    merged AS (SELECT coalesce(f.sub_region_code, h.sub_region_code) AS sub_region_code, coalesce(f.date, h.date) AS date,
+           coalesce(f.demand, h.demand) AS demand
+    FROM hourly h FULL JOIN fresh f ON h.sub_region_code = f.sub_region_code AND h.date = f.date)"""
+
+
+@query("s5_stream_upsert", f"WITH {HOURLY}, {DOUBLED} SELECT *, date_trunc('day', date)::TIMESTAMP AS day FROM merged")
+def stream_upsert(spark, sf_dir):
+    """All hours arrive, then the last five days with doubled values; then the first batch is sent once more."""
+    landing, path, state = (scratch_path(spark, n) for n in ("incoming", "readings", "intake"))
+    ddl, keys = "sub_region_code string, date timestamp, demand double", ["sub_region_code", "date"]
+    base = hourly(spark, sf_dir)
+    base.write.mode("append").parquet(landing)
+    streaming.keep_keyed(streaming.read_stream(spark, landing, ddl), path, state, keys)
+    fresh = base.where(F.col("date") >= newest(base) - F.expr("INTERVAL 5 DAYS")).withColumn("demand", F.col("demand") * 2)
+    fresh.write.mode("append").parquet(landing)
+    streaming.keep_keyed(streaming.read_stream(spark, landing, ddl), path, state, keys)
+    streaming.keyed_writer(path, f"{state}/ledger", keys)(base, 0)
+    return spark.read.parquet(path)
+
+
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 

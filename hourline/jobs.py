@@ -1,4 +1,4 @@
-"""The runs as jobs over stored tables: ``python -m hourline.jobs features|training|inference|monitoring --root PATH``.
+"""The runs as jobs over stored tables: ``python -m hourline.jobs features|intake|training|inference|monitoring --root PATH``.
 
 Every job reads its inputs from and writes its results to fixed places below one root folder, so each can run on its
 own, and can run again.
@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline import plans, schema, sinks, sources
+from hourline import plans, schema, sinks, sources, streaming
+from hourline.functions import parse_utc
 from hourline.operators.clean import require_rows, split_rejects
-from hourline.operators.learn import best_per_family, load_model, save_model
+from hourline.operators.learn import best_per_family, check_lags, lags_of, load_model, save_model
 from hourline.operators.quality import quality_report, require_valid, validation_status
 from hourline.session import configure, stage, use_utc
 
@@ -43,13 +44,23 @@ def run_features(
     holiday_mode: str = "midnight",
     expected: dict[str, str] | None = None,
     valid_only: bool = False,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """``demand`` (landed envelopes by day) and ``weather`` (CSV) → ``processed``, ``validation_status``, ``features``."""
+    """``demand`` (landed envelopes by day) and ``weather`` → ``processed``, ``validation_status``, ``features``, ``rejects``
+    and ``bad_documents``, the landed documents that could not be read.
+
+    Weather is a CSV, or the blocks of two providers, ``weather_archive`` and ``weather_forecast``, where those are there.
+    Where there is a source of envelopes, ``arrivals``, the days of the range that have not landed or are not settled at
+    ``as_of`` are landed from it first.
+    """
     use_utc(spark)
+    as_of = F.current_timestamp() if as_of is None else as_of
+    if _exists(spark, at.arrivals):
+        refresh_demand(spark, at, start, end, as_of)
     sources.require_source(spark, at.demand, "Demand")
-    sources.require_source(spark, at.weather, "Weather")
-    raw = sources.landed_demand(spark, at.demand, start, end)
-    weather = sources.read_weather_csv(spark, at.weather)
+    raw, broken = sources.landed_documents(spark, at.demand, start, end)
+    sinks.write_table(broken.select("day", "file", F.col("_corrupt_record").alias("document")), at.bad_documents)
+    weather = stored_weather(spark, at, as_of)
     merged = stage(plans.merge_demand_weather(raw, weather, dedupe), "merged")
     sinks.write_table(require_rows(merged, "Nothing landed in the range; the tables stay as they are"), at.processed)
     processed = spark.read.parquet(at.processed)
@@ -62,6 +73,49 @@ def run_features(
     return sources.read_table(spark, at.features, schema.FEATURES_DDL)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        sources.require_source(spark, path, "Source")
+    except FileNotFoundError:
+        return False
+    return True
+
+
+def refresh_demand(spark: SparkSession, at: Locations, start: str | None, end: str | None, as_of: Column) -> DataFrame:
+    """``arrivals`` (envelopes by day, as the source serves them) → ``demand`` and ``landed_days``, its ledger.
+
+    Without a range it goes over the year up to ``as_of``. Returns what was done with each day.
+    """
+    today = F.to_date(as_of)
+    ends = spark.range(1).select(F.date_sub(today, 365).cast("string").alias("a"), today.cast("string").alias("b")).first()
+    spine = sources.day_spine(spark, start or ends["a"], end or ends["b"])
+    days = sources.days_to_read(spine, sources.landed_days(spark, at.landed_days), as_of)
+    arrived = sources.landed_demand(spark, at.arrivals, start or ends["a"], end or ends["b"])
+    return sinks.refresh_landed(arrived, at.demand, at.landed_days, days, as_of)
+
+
+def stored_weather(spark: SparkSession, at: Locations, as_of: Column) -> DataFrame:
+    """Archive and forecast blocks put together, one of them if the other is not there, or the CSV without either."""
+    past, coming = _exists(spark, at.weather_archive), _exists(spark, at.weather_forecast)
+    if past and coming:
+        return sources.combine_sources(sources.read_blocks(spark, at.weather_archive), sources.read_blocks(spark, at.weather_forecast), as_of)
+    if past or coming:
+        return sources.read_blocks(spark, at.weather_archive if past else at.weather_forecast)
+    sources.require_source(spark, at.weather, "Weather")
+    return sources.read_weather_csv(spark, at.weather)
+
+
+def run_intake(spark: SparkSession, at: Locations) -> DataFrame:
+    """``incoming`` (a growing folder of envelopes) → ``readings``, one row per zone and hour, the version that came last.
+
+    Goes on where the last call ended; ``intake_state`` holds Spark's checkpoint and the ledger of batches.
+    """
+    use_utc(spark)
+    documents = streaming.read_stream(spark, at.incoming, schema.ENVELOPE_DDL, "json")
+    readings = sources.unwrap(documents)[0].withColumn(schema.TIME, parse_utc(F.col("period"))).where(F.col(schema.TIME).isNotNull())
+    return streaming.keep_keyed(readings, at.readings, at.intake_state, ["subba", schema.TIME])
+
+
 def stored_features(spark: SparkSession, at: Locations) -> DataFrame:
     return sources.read_table(spark, at.features, schema.FEATURES_DDL, what="Preprocessed data")
 
@@ -81,7 +135,7 @@ def run_training(
     model, scores, best = plans.train(features, seq_len, step, holdout_days=holdout_days, **search)
     save_model(model, at.model)
     windowing = {k: v for k, v in search.items() if k in WINDOW_OPTIONS}
-    options = (windowing.get("covariates"), windowing.get("lag_mode"), windowing.get("grain_seconds"))
+    options = (windowing.get("covariates"), windowing.get("lag_mode"), windowing.get("grain_seconds"), seq_len)
     sinks.write_document(spark.createDataFrame([options], schema.MODEL_OPTIONS_DDL), at.model_options)
     sinks.append_runs(
         best_per_family(scores).select(
@@ -110,19 +164,24 @@ def run_training(
 
 
 def run_inference(
-    spark: SparkSession, at: Locations, as_of: Column | None = None, seq_len: int = schema.SEQ_LEN, keep_history: bool = True
+    spark: SparkSession, at: Locations, as_of: Column | None = None, seq_len: int | None = None, keep_history: bool = True
 ) -> DataFrame:
     """``features``, ``model`` and the window options stored with it → ``predictions``, kept by key and day or, without history, overwritten, and
-    ``prediction_rejects``, the zones whose history is too short."""
+    ``prediction_rejects``, the zones whose history is too short.
+
+    Windows have the length the model was trained on; a ``seq_len`` that differs from it is refused."""
     use_utc(spark)
     sources.require_source(spark, at.model, "Model")
     features = stored_features(spark, at)
     as_of = F.current_timestamp() if as_of is None else as_of
     stored = sources.read_document(spark, at.model_options, schema.MODEL_OPTIONS_DDL, "Window options of the model").first()
     options = {k: v for k, v in stored.asDict().items() if v is not None}
-    ready, short = plans.prediction_inputs(features, as_of, seq_len, **options)
+    model = load_model(at.model)
+    trained = options.pop("seq_len", None) or lags_of(model)
+    check_lags(model, trained if seq_len is None else seq_len)
+    ready, short = plans.prediction_inputs(features, as_of, trained, **options)
     sinks.write_table(short.select(schema.KEY, schema.TIME, "feature_time", "n_lags"), at.prediction_rejects)
-    predicted = plans.score_inputs(ready, load_model(at.model), f"{options.get('grain_seconds', 3600)} seconds")
+    predicted = plans.score_inputs(ready, model, f"{options.get('grain_seconds', 3600)} seconds")
     if keep_history:
         sinks.keep_predictions(predicted, at.predictions)
     else:
@@ -142,7 +201,7 @@ def run_monitoring(spark: SparkSession, at: Locations, as_of: Column | None = No
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["features", "training", "inference", "monitoring"])
+    parser.add_argument("job", choices=["features", "intake", "training", "inference", "monitoring"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--as-of", help="UTC time that stands for now")
     parser.add_argument("--start", help="first landing day")
@@ -152,7 +211,9 @@ def main() -> None:
     at = Locations(args.root)
     as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else None
     if args.job == "features":
-        run_features(spark, at, args.start, args.end)
+        run_features(spark, at, args.start, args.end, as_of=as_of)
+    elif args.job == "intake":
+        run_intake(spark, at)
     elif args.job == "training":
         print(run_training(spark, at))
     elif args.job == "inference":

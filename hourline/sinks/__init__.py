@@ -3,6 +3,7 @@
 from hourline.sinks.tables import (
     keep_predictions,
     append_runs,
+    refresh_landed,
     run_row,
     upsert_keyed,
     write_document,
@@ -14,6 +15,7 @@ from hourline.sinks.tables import (
 __all__ = [
     "keep_predictions",
     "append_runs",
+    "refresh_landed",
     "run_row",
     "upsert_keyed",
     "write_document",

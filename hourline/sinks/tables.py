@@ -34,6 +34,29 @@ def write_landed_demand(records: DataFrame, root: str, day: str = "day") -> None
     )
 
 
+def refresh_landed(
+    records: DataFrame, root: str, ledger: str, days: DataFrame, landed_at: Column, day: str = "day"
+) -> DataFrame:
+    """Land the readings of the days marked ``read`` (see ``sources.days_to_read``), leaving all others as they lie.
+
+    Exactly the days that are asked for and have readings are replaced, and the ledger gets an entry for each, after they
+    are written: a run that stops before that reads them again. ``records`` are cut to those days where they are scanned.
+    Returns the plan with ``action`` (kept, landed, replaced, none where a day asked for has no readings) and ``rows``.
+    """
+    plan = stage(days, "days-to-read")
+    wanted = plan.where("read").select(F.col("day").alias(day))
+    # One row per calendar day of the range.
+    fresh = stage(records.join(F.broadcast(wanted), day, "left_semi"), "fresh-days")
+    counts = stage(fresh.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("rows")), "fresh-counts")
+    if not counts.isEmpty():
+        write_landed_demand(fresh, root, day)
+        counts.select("day", landed_at.cast("timestamp").alias("landed_at"), "rows").coalesce(1).write.mode("append").parquet(ledger)
+    action = (
+        F.when(~F.col("read"), "kept").when(F.col("rows").isNull(), "none").when(F.col("landed_before"), "replaced").otherwise("landed")
+    )
+    return plan.join(F.broadcast(counts), "day", "left").select("day", "days_old", action.alias("action"), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Whole-table write as Parquet or as CSV with a header."""
     writer = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)

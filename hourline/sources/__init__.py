@@ -2,7 +2,10 @@
 
 from hourline.sources.demand import (
     day_spine,
+    days_to_read,
+    landed_days,
     landed_demand,
+    landed_documents,
     landed_files,
     read_envelopes,
     refresh_plan,
@@ -10,15 +13,19 @@ from hourline.sources.demand import (
     unwrap,
 )
 from hourline.sources.tables import read_document, read_table, require_source
-from hourline.sources.weather import combine_sources, current_weather, expand_blocks, read_weather_csv
+from hourline.sources.weather import combine_sources, current_weather, expand_blocks, read_blocks, read_weather_csv
 
 __all__ = [
     "combine_sources",
     "current_weather",
     "day_spine",
+    "days_to_read",
     "expand_blocks",
+    "landed_days",
     "landed_demand",
+    "landed_documents",
     "landed_files",
+    "read_blocks",
     "read_document",
     "read_envelopes",
     "read_table",

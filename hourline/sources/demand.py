@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from hourline.operators.ordered import top_n
 # Fixed values of the day request.
 PARENT = "NYIS"
 SETTLED_DAYS = 2
+LANDED_DDL = "day date, landed_at timestamp, rows long"
 
 
 def day_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -56,12 +58,17 @@ def unwrap(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def landed_demand(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Records landed under ``root/day=yyyy-MM-dd``; only the folders of the closed day range are read."""
+    return landed_documents(spark, root, start, end)[0]
+
+
+def landed_documents(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The records of ``landed_demand``, and the landed documents that could not be read, with their day and file."""
     docs = read_envelopes(spark, root, extra="day date")
     if start is not None:
         docs = docs.where(F.col("day") >= F.to_date(F.lit(start)))
     if end is not None:
         docs = docs.where(F.col("day") <= F.to_date(F.lit(end)))
-    return unwrap(docs)[0]
+    return unwrap(docs)
 
 
 def landed_files(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -91,6 +98,26 @@ def request_filter(df: DataFrame, period: str = "period", parent: str = PARENT,
     return top_n(asked, ["day"], [t.desc(), *ties], rows)
 
 
+def landed_days(spark: SparkSession, ledger: str) -> DataFrame:
+    """(day, landed_at, rows): the newest entry of every day of a landing ledger; empty where none was written."""
+    try:
+        entries = spark.read.schema(LANDED_DDL).parquet(ledger)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        entries = spark.createDataFrame([], LANDED_DDL)
+    newest = F.max_by(F.struct("landed_at", "rows"), F.struct("landed_at", "rows")).alias("_e")
+    return entries.groupBy("day").agg(newest).select("day", "_e.landed_at", "_e.rows")
+
+
+def days_to_read(spine: DataFrame, landed: DataFrame, as_of: Column, settled_days: int = SETTLED_DAYS) -> DataFrame:
+    """Every day of ``spine`` with its age, ``landed_before`` and ``read``: true for a day that is under ``settled_days``
+    old or has not landed, so that its readings must be asked for."""
+    known = refresh_plan(spine, as_of, settled_days).join(landed.select("day", F.lit(True).alias("landed_before")), "day", "left")
+    before = F.coalesce("landed_before", F.lit(False))
+    return known.select("day", "days_old", before.alias("landed_before"), (~F.col("use_landed") | ~before).alias("read"))
+
+
 def refresh_plan(days: DataFrame, as_of: Column, settled_days: int = SETTLED_DAYS) -> DataFrame:
     """Per day its age and whether the landed copy is final (at least two days old) or must be read again."""
     age = days_between(as_of, F.col("day").cast("timestamp"))

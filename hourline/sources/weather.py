@@ -21,6 +21,11 @@ def expand_blocks(blocks: DataFrame) -> DataFrame:
     return rows.where(F.col("_steps").isNotNull()).select(from_epoch(F.col("_steps")).alias("date"), *MEASURES)
 
 
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Weather blocks as the provider delivers them, one JSON document a line, as one row per step."""
+    return expand_blocks(spark.read.schema(schema.WEATHER_BLOCK_DDL).json(path))
+
+
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.RAW_WEATHER_DDL).csv(path, header=True)
 

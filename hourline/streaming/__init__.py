@@ -1,19 +1,25 @@
 """Live intake and monitoring with Structured Streaming."""
 
 from hourline.streaming.intake import (
+    batch_is_kept,
     drain,
     drop_duplicate_readings,
     enrich_stream,
     hourly_totals,
+    keep_keyed,
+    keyed_writer,
     match_predictions,
     read_stream,
 )
 
 __all__ = [
+    "batch_is_kept",
     "drain",
     "drop_duplicate_readings",
     "enrich_stream",
     "hourly_totals",
+    "keep_keyed",
+    "keyed_writer",
     "match_predictions",
     "read_stream",
 ]

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourline import schema
 from hourline.functions import exact_sum
 from hourline.operators.joins import lookup_join
-from hourline.session import scratch_path
+from hourline.session import scratch_path, stage
+from hourline.sinks import upsert_keyed
 
 LATE = "2 days"
 SPREAD = 16
+LEDGER_DDL = "name string, batch long, rows long, days long, written_at timestamp"
 
 
 def read_stream(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
@@ -72,6 +77,51 @@ def hourly_totals(
     )
 
 
+def keyed_writer(path: str, ledger: str, keys: list[str], event_time: str = schema.TIME, name: str = "intake") -> Callable[[DataFrame, int], None]:
+    """The function that puts a micro-batch into a keyed table, once.
+
+    The ledger has a row for every batch that is whole in the table. A batch found there, which Spark sends again after a
+    stop between the write and its own commit, changes nothing; one that stopped before its ledger row is merged again,
+    which gives the same table, as a key's newer version wins and equal versions are equal.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_is_kept(spark, ledger, batch_id, name):
+            return
+        rows = stage(batch, f"{name}-batch")
+        seen = rows.agg(F.count("*").alias("rows"), F.countDistinct(F.to_date(event_time)).alias("days"))
+        if seen.first()["rows"]:
+            upsert_keyed(rows, path, keys, event_time)
+        row = seen.select(F.lit(name).alias("name"), F.lit(batch_id).cast("long").alias("batch"), "rows", "days", F.current_timestamp().alias("written_at"))
+        row.write.mode("append").parquet(ledger)
+
+    return write
+
+
+def batch_is_kept(spark: SparkSession, ledger: str, batch_id: int, name: str = "intake") -> bool:
+    try:
+        rows = spark.read.schema(LEDGER_DDL).parquet(ledger)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return not rows.where((F.col("name") == name) & (F.col("batch") == batch_id)).isEmpty()
+
+
+def keep_keyed(
+    readings: DataFrame, path: str, state: str, keys: list[str] | None = None, event_time: str = schema.TIME, name: str = "intake"
+) -> DataFrame:
+    """Drain a stream into a keyed table below ``path`` and read the table.
+
+    ``state`` holds Spark's checkpoint and the ledger; the next call with the same goes on where this one ended.
+    """
+    write = keyed_writer(path, f"{state}/ledger", keys or [schema.KEY, schema.TIME], event_time, name)
+    query = readings.writeStream.foreachBatch(write).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return readings.sparkSession.read.parquet(path)
+
+
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream over everything that is there now, into Parquet below the shared folder, and read the result."""
     spark = stream.sparkSession
