@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from hourline.catalog.common import FEATURES, features, query, table
 from hourline.operators import drift
 from hourline.operators.ordered import quantiles
-from hourline.plans import detect_drift
-from hourline.session import stage
+from hourline.plans import detect_drift, roll_drift
+from hourline.session import scratch_path, stage
 
 COLUMNS = ["demand", "temperature_2m", "hour", "day_of_week", "month", "is_weekend", "is_holiday"]
 
@@ -175,6 +177,35 @@ def dataset(spark, sf_dir):
     return drift.dataset_drift(full).withColumn("share_of_drifted_columns", F.round("share_of_drifted_columns", 6))
 
 
+def _days(spark, sf_dir):
+    rows = stage(features(spark, sf_dir), "features")
+    last = rows.agg(F.to_date(F.max("date"))).first()[0]
+    return rows, last
+
+
+@query("l8_rolled_counts", f'WITH {COUNTS} SELECT "column", x, n_ref, n_cur FROM counts')
+def rolled_counts(spark, sf_dir):
+    """Value counts of the periods a day, then forty days, before the newest one, moved on to it by daily counts."""
+    rows, last = _days(spark, sf_dir)
+    daily = stage(drift.daily_counts(rows, COLUMNS), "daily-counts")
+    day = lambda n: str(last - timedelta(days=n))
+    counts = drift.period_counts(daily, day(41))
+    for before, after in ((41, 1), (1, 0)):
+        counts = stage(drift.roll_counts(counts, daily, day(before), day(after)), "period-counts")
+    return counts
+
+
+@query("l8_rolled_report", f'WITH {REPORT} SELECT "column", method, round(score, 6) AS score, score >= 0.1 AS drifted FROM report')
+def rolled_report(spark, sf_dir):
+    """The report as of the day before, kept, then moved on with the rows of the newest day alone."""
+    rows, last = _days(spark, sf_dir)
+    root = scratch_path(spark, "drift-days")
+    newest_day = F.to_date("date") == F.lit(last)
+    roll_drift(spark, rows.where(~newest_day), COLUMNS, root, str(last - timedelta(days=1)))
+    out = roll_drift(spark, rows.where(newest_day), COLUMNS, root, str(last))
+    return out.select("column", "method", F.round("score", 6).alias("score"), "drifted")
+
+
 SUMMARY = """SELECT period, count(*) AS n_values, 0::BIGINT AS n_missing, count(DISTINCT demand) AS n_distinct, min(demand) AS min,
   round(quantile_cont(demand, 0.25), 6) AS p25, round(quantile_cont(demand, 0.5), 6) AS p50, round(quantile_cont(demand, 0.75), 6) AS p75,
   max(demand) AS max, round(avg(demand), 6) AS mean, round(stddev_samp(demand), 6) AS stddev FROM labelled GROUP BY 1"""

@@ -35,12 +35,19 @@ def label_periods(
     reference_days: int = 365,
     gap_days: int = 30,
     current_days: int = 29,
+    whole_days: bool = False,
 ) -> DataFrame:
-    """Add ``period``: ``ref`` for [max−365d, max−30d], ``cur`` for [max−29d, max]; rows in neither are left out."""
+    """Add ``period``: ``ref`` for [max−365d, max−30d], ``cur`` for [max−29d, max]; rows in neither are left out.
+
+    With ``whole_days`` the times are days, so that a day lies in one period or in none.
+    """
     last = newest(df, time)
     days = lambda n: F.make_dt_interval(F.lit(n))
-    period = F.when(F.col(time).between(last - days(reference_days), last - days(gap_days)), "ref").when(
-        F.col(time) >= last - days(current_days), "cur"
+    at = F.col(time)
+    if whole_days:
+        at, last = F.date_trunc("day", at), F.date_trunc("day", last)
+    period = F.when(at.between(last - days(reference_days), last - days(gap_days)), "ref").when(
+        at >= last - days(current_days), "cur"
     )
     return df.withColumn("period", period).where(F.col("period").isNotNull())
 
@@ -68,6 +75,56 @@ def value_counts(df: DataFrame, columns: list[str], kind: str = "double") -> Dat
     )
 
 
+def daily_counts(df: DataFrame, columns: list[str], time: str = schema.TIME, kind: str = "double") -> DataFrame:
+    """(day, column, x, n): the value counts of every day; missing and infinite values are left out.
+
+    Counts of days add up to the counts of any period of whole days, so that a period that moves on needs the days that
+    enter and leave it and no rows.
+    """
+    days = df.withColumn("day", F.to_date(time)).where(F.col("day").isNotNull())
+    long = days.select("day", *[F.col(c).cast(kind).alias(c) for c in columns]).unpivot("day", columns, "column", "x")
+    usable = F.col("x").isNotNull()
+    if kind == "double":
+        usable = usable & ~F.isnan("x") & (F.abs("x") != F.lit(float("inf")))
+    return long.where(usable).groupBy("day", "column", "x").agg(F.count("*").alias("n"))
+
+
+def _period_of(day: Column, last: str, reference_days: int, gap_days: int, current_days: int) -> Column:
+    age = F.date_diff(F.lit(last).cast("date"), day)
+    return F.when(age.between(gap_days, reference_days), "ref").when(age.between(0, current_days), "cur")
+
+
+def period_counts(daily: DataFrame, last: str, reference_days: int = 365, gap_days: int = 30, current_days: int = 29) -> DataFrame:
+    """(column, x, n_ref, n_cur) of the two periods that end with the day ``last``, summed over daily counts."""
+    in_range = F.col("day").between(F.date_sub(F.lit(last).cast("date"), reference_days), F.lit(last).cast("date"))
+    return _signed(daily.where(in_range), _period_of(F.col("day"), last, reference_days, gap_days, current_days), F.lit(None))
+
+
+def roll_counts(
+    counts: DataFrame, daily: DataFrame, before: str, last: str, reference_days: int = 365, gap_days: int = 30, current_days: int = 29
+) -> DataFrame:
+    """The period counts that end with ``last``, from those that ended with ``before``: days that enter a period are added,
+    days that leave it taken off. Only those days' counts are read, as many at each end of a period as it moved on by."""
+    old, new = (_period_of(F.col("day"), d, reference_days, gap_days, current_days) for d in (before, last))
+    # The days that changed, as ranges that reach the scan: at each end of a period those it moved over, either way.
+    moved = lambda n, by: F.col("day").between(F.date_sub(F.least(a, b), n + by), F.date_sub(F.greatest(a, b), n))
+    a, b = F.lit(before).cast("date"), F.lit(last).cast("date")
+    near = moved(reference_days, 1) | moved(gap_days, 1) | moved(current_days, 1) | moved(-1, 1)
+    changed = daily.where(near).where(~old.eqNullSafe(new))
+    delta = _signed(changed, new, old)
+    both = counts.select("column", "x", "n_ref", "n_cur").unionByName(delta)
+    summed = both.groupBy("column", "x").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    return summed.where("n_ref <> 0 OR n_cur <> 0")
+
+
+def _signed(daily: DataFrame, entered: Column, left: Column) -> DataFrame:
+    """Counts of the days by the period they have entered, less those by the period they have left."""
+    n = F.col("n")
+    part = lambda p: F.sum(F.when(entered == p, n).otherwise(0) - F.when(left == p, n).otherwise(0))
+    out = daily.groupBy("column", "x").agg(part("ref").cast("long").alias("n_ref"), part("cur").cast("long").alias("n_cur"))
+    return out.where("n_ref <> 0 OR n_cur <> 0")
+
+
 def _with_totals(counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("column").agg(
         F.sum("n_ref").alias("total_ref"),
@@ -186,13 +243,21 @@ def drift_report(
     found_numeric, found_text = typed_columns(labelled)
     numeric = found_numeric if numeric is None else numeric
     categorical = found_text if categorical is None else categorical
+    numbers = stage(value_counts(labelled, numeric), "value-counts") if numeric else None
+    return counts_report(numbers, value_counts(labelled, categorical, "string") if categorical else None, tests, splits)
+
+
+def counts_report(numbers: DataFrame | None, texts: DataFrame | None = None, tests: str = "distance", splits: int | None = None) -> DataFrame:
+    """The report of ``drift_report`` from value counts of number and of text columns, which may come from daily counts.
+
+    ``numbers`` is read more than once: give a written table.
+    """
     parts = []
-    if numeric:
-        counts = stage(value_counts(labelled, numeric), "value-counts")
+    if numbers is not None:
         # Both sides have one row per column of the table.
-        parts.append(category_distances(counts).join(numeric_distances(counts, splits), "column", "left"))
-    if categorical:
-        text = category_distances(value_counts(labelled, categorical, "string"))
+        parts.append(category_distances(numbers).join(numeric_distances(numbers, splits), "column", "left"))
+    if texts is not None:
+        text = category_distances(texts)
         parts.append(text.withColumns({"ks": F.lit(None).cast("double"), "wasserstein_normed": F.lit(None).cast("double")}))
     stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 

@@ -2,7 +2,7 @@
 
 from hourline.plans.features import build_features, feature_table, feature_view, merge_demand_weather
 from hourline.plans.inference import predict_next, prediction_inputs, score_inputs
-from hourline.plans.monitoring import detect_drift, monitor, monitoring_errors
+from hourline.plans.monitoring import detect_drift, monitor, monitoring_errors, roll_drift
 from hourline.plans.training import evaluate, train
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "monitoring_errors",
     "predict_next",
     "prediction_inputs",
+    "roll_drift",
     "score_inputs",
     "train",
 ]

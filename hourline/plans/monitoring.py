@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourline import schema
-from hourline.operators.drift import column_summary, dataset_drift, drift_document, drift_report, label_periods
+from hourline.operators.drift import (
+    column_summary,
+    counts_report,
+    daily_counts,
+    dataset_drift,
+    drift_document,
+    drift_report,
+    label_periods,
+    period_counts,
+    roll_counts,
+)
 from hourline.operators.joins import predictions_vs_actuals
 from hourline.operators.metrics import regression_metrics
 from hourline.session import stage
+from hourline.sinks import write_daily
 
 
 def monitor(predictions: DataFrame, features: DataFrame, as_of: Column, days: int = 1) -> DataFrame:
@@ -33,6 +45,53 @@ def monitoring_errors(monitored: DataFrame, by_zone: bool = True) -> DataFrame:
     return regression_metrics(monitored, schema.VALUE, "predicted_demand", [schema.KEY] if by_zone else None)
 
 
+def roll_drift(
+    spark: SparkSession,
+    fresh: DataFrame,
+    columns: list[str],
+    root: str,
+    last: str,
+    reference_days: int = 365,
+    gap_days: int = 30,
+    current_days: int = 29,
+    tests: str = "distance",
+) -> DataFrame:
+    """The drift report of the periods that end with the day ``last``, from daily counts kept below ``root``.
+
+    ``fresh`` are the feature rows of the days that are new or have changed since the last call; no other row is read. The
+    period counts of the last call are moved on by the days between; a day that changed inside them is replaced, so the
+    periods are then summed anew from the days. Days older than the periods reach are not kept, so ``last`` only moves on.
+    """
+    days, periods = f"{root}/days", f"{root}/periods"
+    # The day before the oldest one is the last to leave.
+    since = F.date_sub(F.lit(last).cast("date"), reference_days + 1)
+    counted = stage(daily_counts(fresh.where(F.to_date(schema.TIME) >= since), columns), "fresh-days")
+    known = _stored(spark, days)
+    state = _stored(spark, periods)
+    touched = known is not None and not known.select("day").join(F.broadcast(counted.select("day").distinct()), "day", "left_semi").isEmpty()
+    write_daily(counted, days)
+    daily = spark.read.parquet(days)
+    span = {"reference_days": reference_days, "gap_days": gap_days, "current_days": current_days}
+    if state is None or touched:
+        counts = period_counts(daily, last, **span)
+    else:
+        before = str(state.agg(F.max("last")).first()[0])
+        own = stage(state.where(F.col("last") == F.lit(before).cast("date")).select("column", "x", "n_ref", "n_cur"), "periods-before")
+        counts = roll_counts(own, daily, before, last, **span)
+    counts = stage(counts, "periods")
+    write_daily(counts.withColumn("last", F.lit(last).cast("date")), periods, "last")
+    return counts_report(counts, tests=tests)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def detect_drift(
     features: DataFrame, reference_days: int = 365, gap_days: int = 30, current_days: int = 29, tests: str = "distance"
 ) -> tuple[bool, DataFrame, DataFrame]:

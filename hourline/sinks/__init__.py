@@ -6,6 +6,7 @@ from hourline.sinks.tables import (
     refresh_landed,
     run_row,
     upsert_keyed,
+    write_daily,
     write_document,
     write_features,
     write_landed_demand,
@@ -18,6 +19,7 @@ __all__ = [
     "refresh_landed",
     "run_row",
     "upsert_keyed",
+    "write_daily",
     "write_document",
     "write_features",
     "write_landed_demand",

@@ -69,6 +69,11 @@ def write_features(df: DataFrame, path: str, time: str = schema.TIME, key: str =
     write_table(ordered, path, fmt)
 
 
+def write_daily(df: DataFrame, path: str, day: str = "day") -> None:
+    """Rows by day, replacing exactly the days that occur."""
+    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """A one-row table as a JSON document."""
     df.coalesce(1).write.mode("overwrite").json(path)
