@@ -117,7 +117,7 @@ def ks(spark, sf_dir):
     counts = staged_counts(spark, sf_dir)
     sizes = drift.category_distances(counts).select("column", "total_ref", "total_cur", "categories")
     out = drift.numeric_distances(counts).join(sizes, "column")
-    p = drift._p_value(F.lit("ks"), F.col("ks"), F.col("total_ref"), F.col("total_cur"), F.col("categories"))
+    p = drift._p_value(F.lit("ks_asymptotic"), F.col("ks"), F.col("total_ref"), F.col("total_cur"), F.col("categories"))
     return out.select("column", F.round("ks", 6).alias("ks"), F.round(p, 6).alias("p_value"))
 
 

@@ -52,6 +52,50 @@ def grid(spark, sf_dir):
     return scores.withColumn("rmse", F.round("rmse", 4))
 
 
+def _fold_sql(folds: int) -> str:
+    return f"""{FEATURES}, train AS (SELECT *, row_number() OVER (PARTITION BY sub_region_code ORDER BY date) AS rn
+      FROM features WHERE date < (SELECT max(date) - INTERVAL 90 DAY FROM features)),
+    placed AS (SELECT row_number() OVER (ORDER BY date, sub_region_code) - 1 AS ordinal, count(*) OVER () AS n FROM train WHERE rn > {SEQ_LEN}),
+    folded AS (SELECT greatest(0, CAST(floor((ordinal - (n - (n // {folds + 1}) * {folds})) / (n // {folds + 1})) AS BIGINT) + 1) AS fold FROM placed),
+    sizes AS (SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_scored, CAST(sum(count(*)) OVER (ORDER BY fold) - count(*) AS BIGINT) AS n_train
+      FROM folded GROUP BY fold)"""
+
+
+TREE_GRID = {"XGBoost": {"n_estimators": [2, 4], "max_depth": [2, 3], "learning_rate": [0.3]}, "LightGBM": {"num_leaves": [4], "n_estimators": [3]}}
+
+
+@query(
+    "k3_scored_folds",
+    f"""WITH {_fold_sql(3)}, c AS (
+      SELECT CAST(2 * (i // 2) + j AS INTEGER) AS candidate, 'XGBoost' AS family, CAST(2 + i // 2 * 2 AS VARCHAR) AS n_estimators, CAST(2 + j AS VARCHAR) AS max_depth
+        FROM (VALUES (0), (2)) a(i), (VALUES (0), (1)) b(j)
+      UNION ALL SELECT 4, 'LightGBM', '3', NULL)
+    SELECT candidate, family, n_estimators, max_depth, fold, n_train, n_scored, TRUE AS scored FROM c, sizes WHERE fold > 0""",
+)
+def scored_folds(spark, sf_dir):
+    """Which candidates are scored on which rows, from shared fits."""
+    _, scores, _ = plans.train(features(spark, sf_dir), SEQ_LEN, folds=3, grids=TREE_GRID, season=SEASON)
+    given = F.from_json("params", "map<string,string>")
+    return scores.select(
+        "candidate", "family", given["n_estimators"].alias("n_estimators"), given["max_depth"].alias("max_depth"), "fold", "n_train", "n_scored",
+        (F.col("rmse") > 0).alias("scored"),
+    )
+
+
+@query(
+    "k1_scored_keys",
+    f"""WITH {FEATURES}, train AS (SELECT *, row_number() OVER (PARTITION BY sub_region_code ORDER BY date) AS rn
+      FROM features WHERE date < (SELECT max(date) - INTERVAL 90 DAY FROM features))
+    SELECT family, sub_region_code, date, demand AS target_demand_next_hour, TRUE AS scored
+    FROM train, (VALUES ('XGBoost'), ('LightGBM')) f(family) WHERE rn > {SEQ_LEN}""",
+)
+def family_keys(spark, sf_dir):
+    """Both families score every training window with a number."""
+    scored = families(spark, sf_dir)
+    number = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return scored.select("family", schema.KEY, schema.TIME, schema.TARGET, number.alias("scored"))
+
+
 @query("k8_batch_scores")
 def batch_scores(spark, sf_dir):
     _, test = holdout_split(features(spark, sf_dir))
@@ -122,6 +166,23 @@ def evaluate(spark, sf_dir):
     return plans.evaluate(features(spark, sf_dir), quick_model(spark, sf_dir), SEQ_LEN)
 
 
+@query(
+    "k10_identities",
+    f"""WITH {HOLDOUT_WINDOWS} SELECT count(*) AS n_samples, TRUE AS rmse_is_root, TRUE AS r2_fits_mse, TRUE AS improvement_fits, TRUE AS errors_in_order FROM windows""",
+)
+def evaluation_identities(spark, sf_dir):
+    """The sample of an evaluation, and what must hold between its metrics and the targets, whatever the model."""
+    base = features(spark, sf_dir)
+    m = plans.evaluate(base, quick_model(spark, sf_dir), SEQ_LEN)
+    _, test = holdout_split(base)
+    spread = windows.lag_windows(test, SEQ_LEN).agg(F.var_pop(schema.TARGET)).scalar()
+    near = lambda a, b: F.abs(a - b) <= 1e-9 * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
+    return m.withColumn("v", spread).select(
+        "n_samples", near(F.col("rmse") * F.col("rmse"), F.col("mse")).alias("rmse_is_root"), near(F.col("r2_score"), 1 - F.col("mse") / F.col("v")).alias("r2_fits_mse"),
+        near(F.col("forecast_improvement_percent"), (10 - F.col("mape")) * 10).alias("improvement_fits"), (F.col("mae") <= F.col("rmse")).alias("errors_in_order"),
+    )
+
+
 @query("b10_model_roundtrip", f"WITH {HOLDOUT_WINDOWS} SELECT count(*) AS n, count(*) AS equal FROM windows")
 def model_roundtrip(spark, sf_dir):
     """Predictions of a model before and after it was stored."""

@@ -10,7 +10,7 @@ from hourline.functions import color_scale, exact_sum
 from hourline.operators import present
 from hourline.operators.clean import newest
 from hourline.operators.joins import predictions_vs_actuals
-from hourline.operators.metrics import regression_metrics
+from hourline.operators.metrics import regression_cube, regression_metrics
 from hourline.operators.windows import seasonal_naive
 from hourline.plans import monitor, monitoring_errors
 
@@ -55,6 +55,19 @@ def metrics_by_zone(spark, sf_dir):
     return rounded(out).drop("baseline_mape", "forecast_improvement_percent")
 
 
+@query(
+    "f4_rollup",
+    f"""WITH {NAIVE}, m AS (SELECT *, CAST(month(date) AS BIGINT) AS month FROM pairs)
+    SELECT sub_region_code, month, CAST(GROUPING_ID(sub_region_code, month) AS BIGINT) AS grouping_id, {METRICS}, count(*) AS n_samples
+    FROM m GROUP BY CUBE (sub_region_code, month)""",
+)
+def metrics_cube(spark, sf_dir):
+    """Errors by zone and month, by zone, by month and over all."""
+    by_month = pairs(spark, sf_dir).withColumn("month", F.month("date").cast("bigint"))
+    out = regression_cube(by_month, "demand", "predicted_demand", ["sub_region_code", "month"])
+    return rounded(out).drop("baseline_mape", "forecast_improvement_percent")
+
+
 @query(
     "f5_improvement",
     f"""WITH {NAIVE}, m AS (SELECT avg(abs(demand - predicted_demand) / greatest(abs(demand), 2.220446049250313e-16)) * 100 AS mape, count(*) AS n FROM pairs)

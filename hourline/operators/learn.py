@@ -8,7 +8,6 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
@@ -152,18 +151,43 @@ def trainable(windows: DataFrame, covariates: list[str] | None = None) -> DataFr
     return windows.dropna(subset=[schema.TARGET, *(schema.COVARIATES if covariates is None else covariates)])
 
 
+def shared_fits(listed: list[tuple[str, dict]]) -> list[tuple[str, dict, dict[int, int]]]:
+    """Candidates that differ only in their number of trees, as one fit each: (family, parameters of the largest,
+    {candidate: trees}). The first trees of a boosted ensemble are those of a smaller one."""
+    groups: dict[tuple, dict[int, int]] = {}
+    for number, (family, params) in enumerate(listed):
+        rest = tuple(sorted((k, v) for k, v in params.items() if k != "n_estimators"))
+        groups.setdefault((family, rest), {})[number] = params.get("n_estimators", DEFAULTS[family]["n_estimators"])
+    return [(family, {**dict(rest), "n_estimators": max(trees.values())}, trees) for (family, rest), trees in groups.items()]
+
+
+def stopped_at(curve: list[float], patience: int) -> int:
+    """The number of trees with the lowest score before the first ``patience`` trees in a row that bring no lower one."""
+    best = 0
+    for k, value in enumerate(curve):
+        if value < curve[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 def grid_search(
     folded: DataFrame,
     grids: dict[str, dict[str, list]] | None = None,
     season: int = schema.SEASON,
     covariates: list[str] | None = None,
     parallelism: int = 4,
+    patience: int | None = None,
 ) -> tuple[PipelineModel, DataFrame, dict]:
     """Search all candidates over the expanding folds, then fit the best one on all rows.
 
     ``folded`` carries a ``fold`` column (see ``expanding_folds``). Fold j is scored by a model that saw the smaller
     fold numbers only. The vectors are built once and written to the shared folder; fits of different candidates and
-    folds run side by side. Returns the fitted model, the scores and a description of the winner.
+    folds run side by side. Candidates that differ only in their number of trees share one fit, scored after each of its
+    trees. With ``patience`` each such fit adds one candidate more, with the number of trees at which the mean over the
+    folds last fell before so many trees that did not lower it. Returns the fitted model, the scores, with the rows that
+    each fold was trained and scored on, and a description of the winner.
     """
     require_numeric(folded, [LAGS, schema.TARGET, *(schema.COVARIATES if covariates is None else covariates)])
     grids = grids or GRIDS
@@ -172,23 +196,34 @@ def grid_search(
     for step in steps:
         vectors = step.transform(vectors)
     vectors = stage(vectors.select("fold", "features", schema.TARGET), "train-vectors")
-    folds = sorted(r["fold"] for r in vectors.select("fold").distinct().collect() if r["fold"] > 0)
+    # One row per fold.
+    sizes = {r["fold"]: r["count"] for r in vectors.groupBy("fold").count().collect()}
+    folds = sorted(f for f in sizes if f > 0)
     listed = candidates(grids)
-    rmse = RegressionEvaluator(labelCol=schema.TARGET, predictionCol="prediction", metricName="rmse")
+    fits = shared_fits(listed)
 
-    def score(task: tuple[int, int]) -> tuple:
-        number, fold = task
-        family, params = listed[number]
-        model = regressor(family, **params).fit(vectors.where(F.col("fold") < fold))
-        value = rmse.evaluate(model.transform(vectors.where(F.col("fold") == fold)))
-        return number, family, {k: str(v) for k, v in params.items()}, fold, float(value)
+    def curve(task: tuple[int, int]) -> list[float]:
+        """RMSE of the fold after each tree."""
+        family, params, _ = fits[task[0]]
+        model = regressor(family, **params).fit(vectors.where(F.col("fold") < task[1]))
+        return [math.sqrt(e) for e in model.evaluateEachIteration(vectors.where(F.col("fold") == task[1]), "squared")]
 
-    tasks = [(n, f) for n in range(len(listed)) for f in folds]
+    tasks = [(n, f) for n in range(len(fits)) for f in folds]
     with ThreadPool(processes=min(parallelism, len(tasks))) as pool:
-        rows = pool.map(inheritable_thread_target(folded.sparkSession)(score), tasks)
+        curves = dict(zip(tasks, pool.map(inheritable_thread_target(folded.sparkSession)(curve), tasks)))
+    rows = []
+    for n, (family, params, trees) in enumerate(fits):
+        if patience is not None:
+            mean = [sum(values) / len(folds) for values in zip(*(curves[n, f] for f in folds))]
+            trees = {**trees, len(listed): stopped_at(mean, patience)}
+            listed.append((family, {**params, "n_estimators": trees[len(listed)]}))
+        for number, k in trees.items():
+            named = {key: str(v) for key, v in listed[number][1].items()}
+            for f in folds:
+                rows.append((number, family, named, f, curves[n, f][k - 1], sum(s for g, s in sizes.items() if g < f), sizes[f]))
     spark = folded.sparkSession
     scores = spark.createDataFrame(
-        rows, "candidate int, family string, params map<string,string>, fold int, rmse double"
+        rows, "candidate int, family string, params map<string,string>, fold int, rmse double, n_train long, n_scored long"
     )
     # A map cannot be a grouping key, the candidate number stands for it.
     named = scores.withColumn("params", F.to_json("params"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from hourline import schema
@@ -23,10 +23,24 @@ def regression_metrics(
     R² of a constant actual is 1 for exact predictions and 0 otherwise. ``n_samples`` counts the pairs used; pairs with a
     null on one side take part in nothing.
     """
+    return _metrics(df.groupBy(*(by or [])), by or [], actual, predicted, baseline_mape)
+
+
+def regression_cube(df: DataFrame, actual: str, predicted: str, by: list[str], baseline_mape: float = schema.BASELINE_MAPE) -> DataFrame:
+    """The same metrics for every combination of ``by``, for each of them alone and over all, in one pass.
+
+    ``grouping_id`` has a bit for each column, the first one highest, that is set where a row is over all its values; the
+    column is null there, and null too where the value itself is.
+    """
+    return _metrics(df.cube(*by), by, actual, predicted, baseline_mape, [F.grouping_id(*by).alias("grouping_id")])
+
+
+def _metrics(grouped: GroupedData, by: list[str], actual: str, predicted: str, baseline_mape: float, more: list[Column] = ()) -> DataFrame:
     p = F.col(predicted).cast("double")
     y = F.when(p.isNotNull(), F.col(actual).cast("double"))
     error = y - p
-    sums = df.groupBy(*(by or [])).agg(
+    sums = grouped.agg(
+        *more,
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
         (F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(EPS))) * 100).alias("mape"),
@@ -41,7 +55,8 @@ def regression_metrics(
     )
     base = F.lit(float(baseline_mape))
     return sums.select(
-        *(by or []),
+        *by,
+        *["grouping_id" for _ in more],
         "mse",
         "mae",
         "mape",

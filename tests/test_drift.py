@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -32,6 +33,25 @@ def ks(a, b):
     return float(np.max(np.abs(fa - fb)))
 
 
+def test_exact_small_sample_p_value():
+    """Equal to counting every order of two samples of up to eight values; far out equal to the asymptotic one."""
+    for n in range(1, 9):
+        for m in range(1, 9):
+            seen = []
+            for chosen in itertools.combinations(range(n + m), n):
+                a = b = 0
+                most, own = 0, set(chosen)
+                for i in range(n + m):
+                    a, b = a + (i in own), b + (i not in own)
+                    most = max(most, abs(a * m - b * n))
+                seen.append(most)
+            for d in {0, *seen}:
+                share = sum(x >= d for x in seen) / len(seen)
+                assert drift.ks_exact(d / (n * m), n, m) == pytest.approx(share, abs=1e-9)
+    assert drift.ks_exact(0.08, 900, 700) == pytest.approx(drift.ks_tail(0.08, 900, 700), rel=0.05)
+    assert drift.ks_exact(1.0, 900, 5000) == pytest.approx(0.0, abs=1e-9) and drift.ks_exact(0.0, 3, 4) == 1.0
+
+
 @pytest.mark.parametrize("splits", [1, 3, 20])
 def test_numeric_distances(spark, splits):
     ref, cur = np.round(RNG.normal(10, 2, 400), 2), np.round(RNG.normal(11, 3, 150), 2)

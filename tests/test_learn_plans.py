@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hourline import plans, schema, sinks
 from hourline.operators import learn, windows
+from hourline.operators.clean import holdout_split
 from tests.helpers import at, hours, series, values
 
 SEQ, SEASON = 28, 7
@@ -66,6 +67,34 @@ def test_grid_search_picks_the_lowest_mean(spark, table):
     assert warm["n_samples"] == 2 * (2 * 24 + 1)
 
 
+def test_tree_counts_share_a_fit(spark, table, monkeypatch):
+    """Scores of shared fits are those of a fit for each candidate, and a family of tree counts is fitted once a fold."""
+    grids = {"XGBoost": {"n_estimators": [1, 4, 2], "max_depth": [1, 2], "learning_rate": [0.3]}, "LightGBM": {"num_leaves": [4], "n_estimators": [3]}}
+    listed = learn.candidates(grids)
+    assert len(listed) == 7 and [sorted(t.values()) for _, _, t in learn.shared_fits(listed)] == [[1, 2, 4], [1, 2, 4], [3]]
+    train, _ = holdout_split(table, 2)
+    folded = windows.expanding_folds(learn.trainable(windows.lag_windows(train, SEQ, 4)), 2)
+    fitted, fit = [], learn.GBTRegressor.fit
+    monkeypatch.setattr(learn.GBTRegressor, "fit", lambda self, *a, **k: fitted.append(self.getMaxIter()) or fit(self, *a, **k))
+    _, scores, best = learn.grid_search(folded, grids, SEASON, patience=1)
+    assert sorted(fitted[:-1]) == [3, 3, 4, 4, 4, 4] and fitted[-1] == best["params"]["n_estimators"]
+    got = {(r["candidate"], r["fold"]): r for r in scores.collect()}
+    assert len(got) == (7 + 3) * 2 and all(r["n_train"] + r["n_scored"] <= folded.count() for r in got.values())
+    vectors = folded
+    for step in learn.preparation(SEASON):
+        vectors = step.transform(vectors)
+    for number, (family, params) in enumerate(listed):
+        model = learn.regressor(family, **params).fit(vectors.where("fold < 2"))
+        rows = model.transform(vectors.where("fold = 2")).select(schema.TARGET, "prediction").collect()
+        plain = (sum((a - b) ** 2 for a, b in rows) / len(rows)) ** 0.5
+        assert got[number, 2]["rmse"] == pytest.approx(plain) and got[number, 2]["n_scored"] == len(rows)
+
+
+def test_where_a_curve_stops():
+    assert learn.stopped_at([5, 4, 3, 3.5, 3.4, 2], 2) == 3 and learn.stopped_at([5, 4, 3, 3.5, 3.4, 2], 3) == 6
+    assert learn.stopped_at([1.0], 1) == 1 and learn.stopped_at([2, 2, 2], 5) == 1
+
+
 def test_first_candidate_wins_ties(spark):
     rows = [(2, "b", "{}", 1, 5.0), (1, "a", "{}", 1, 4.0), (1, "a", "{}", 2, 6.0), (3, "c", "{}", 1, 5.5)]
     scores = spark.createDataFrame(rows, "candidate int, family string, params string, fold int, rmse double")

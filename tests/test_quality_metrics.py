@@ -16,6 +16,16 @@ def pairs(spark, y, p):
     return spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double")
 
 
+def test_metrics_of_every_grouping(spark):
+    rows = [("a", 1, 10.0, 8.0), ("a", 2, 10.0, 10.0), ("b", 1, 20.0, 21.0), (None, 1, 5.0, 5.0), ("b", 2, None, 1.0)]
+    df = spark.createDataFrame(rows, "zone string, month int, y double, p double")
+    got = {(r["zone"], r["month"], r["grouping_id"]): r for r in regression_cube(df, "y", "p", ["zone", "month"]).collect()}
+    assert len(got) == 5 + 3 + 2 + 1
+    assert got["a", None, 1]["mse"] == 2.0 and got[None, None, 3]["n_samples"] == 4 and got[None, None, 1]["n_samples"] == 1
+    plain = {r["month"]: r for r in regression_metrics(df, "y", "p", ["month"]).collect()}
+    assert all(got[None, k, 2][c] == plain[k][c] for k in plain for c in ("mse", "mae", "mape", "rmse", "n_samples"))
+
+
 @pytest.mark.parametrize("y,p", METRIC_CASES)
 def test_metrics(spark, y, p):
     got = metrics.regression_metrics(pairs(spark, y, p), "y", "p").first()
