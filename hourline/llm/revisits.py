@@ -2,8 +2,8 @@
 
 A revisit has no payload of its own. It is joined, as of its time, to the latest earlier full response of the same
 canonical URL; where the validators agree it gets that response's payload and headers, the permitted headers of the
-revisit put over the stored ones. Only ids, times and validators are sorted; payloads move once, to the revisits that
-were resolved.
+revisit put over the stored ones. Only ids, times, validators and digests of contents are sorted; payloads are moved for
+the responses that were chosen alone.
 """
 
 from __future__ import annotations
@@ -33,8 +33,13 @@ def _tag(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
+def _content() -> Column:
+    return F.xxhash64("payload", F.to_json(F.array_sort(F.map_entries("headers"))))
+
+
 def _latest_full(rows: DataFrame) -> DataFrame:
-    """``rows`` and ``full``, the latest earlier full response of their URL (id breaks ties of time).
+    """``rows`` and ``full``, the latest full response of their URL before their time; of several of one time that of the
+    largest id, then validators and content.
 
     Time is cut into slices of about SLICE_ROWS rows. Inside a slice the last full response is a window's; the last one
     of earlier slices is carried over from one row per URL and slice. So the captures of one URL are many tasks' work.
@@ -46,8 +51,10 @@ def _latest_full(rows: DataFrame) -> DataFrame:
         cuts = rows.agg(F.percentile_approx("time", [i / slices for i in range(1, slices)]).alias("cuts")).first()["cuts"]
         number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("time")))
     rows = rows.withColumn("slice", number)
-    full = F.when(F.col("kind") == "response", F.struct("time", "id", "etag", "last_modified", "digest"))
-    inside = Window.partitionBy("key", "slice").orderBy("time", "id").rowsBetween(Window.unboundedPreceding, -1)
+    full = F.when(F.col("kind") == "response", F.struct("time", "id", "etag", "last_modified", "digest", "content"))
+    # Revisits stand before the responses of their own time, so that what comes before them is earlier.
+    order = ["time", F.desc("kind"), "id", "etag", "last_modified", "digest", "content"]
+    inside = Window.partitionBy("key", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     heads = rows.groupBy("key", "slice").agg(F.max(full).alias("head"))
     heads = heads.select("key", "slice", F.last("head", ignorenulls=True).over(earlier).alias("carried"))
@@ -62,10 +69,12 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     with lower-case names), payload. Status: ``resolved``; ``no_url`` (null url); ``no_earlier_response``;
     ``no_validator``; ``mismatch``. The first validator that both sides have decides: etag by weak comparison, then
     last_modified, then digest. What is not resolved has null source, payload and its own headers. A null time counts
-    as earliest, other kinds are passed over, repeated revisits give repeated rows, ids tell responses apart.
+    as earliest, other kinds are passed over, repeated revisits give repeated rows. A response at the very time of a
+    revisit is not earlier. Responses may share an id: the one at the latest time counts, then that of the greatest
+    validators and content digest; copies alike in all of that are one.
     """
     known = captures.where(F.col("kind").isin("response", "revisit"))
-    rows = known.select("id", canonical_url(F.col("url")).alias("key"), "time", "kind", "etag", "last_modified", "digest", F.when(F.col("kind") == "revisit", F.col("headers")).alias("headers"))
+    rows = known.select("id", canonical_url(F.col("url")).alias("key"), "time", "kind", "etag", "last_modified", "digest", F.when(F.col("kind") == "revisit", F.col("headers")).alias("headers"), F.when(F.col("kind") == "response", _content()).alias("content"))
     rows = stage(rows, "captures")
     found = _latest_full(rows.where(F.col("key").isNotNull()))
     same, both = F.lit(None).cast("boolean"), []
@@ -74,12 +83,17 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     same = F.coalesce(*both)
     status = F.when(F.col("full").isNull(), "no_earlier_response").when(same.isNull(), "no_validator").when(same, "resolved").otherwise("mismatch")
     found = found.withColumn("status", status).select(
-        "id", "key", "time", "status", F.when(F.col("status") == "resolved", F.col("full.id")).alias("source_id"), F.col("headers").alias("own")
+        "id", "key", "time", "status", F.when(F.col("status") == "resolved", F.col("full")).alias("full"), F.col("headers").alias("own")
     )
     none = rows.where(F.col("key").isNull() & (F.col("kind") == "revisit"))
-    none = none.select("id", "key", "time", F.lit("no_url").alias("status"), F.lit(None).cast("long").alias("source_id"), F.col("headers").alias("own"))
-    sources = known.where("kind = 'response'").dropDuplicates(["id"]).select(F.col("id").alias("source_id"), F.col("headers").alias("stored"), "payload")
-    held = found.unionByName(none).join(sources, "source_id", "left")
+    none = none.select("id", "key", "time", F.lit("no_url").alias("status"), F.lit(None).cast(found.schema["full"].dataType).alias("full"), F.col("headers").alias("own"))
+    name = F.xxhash64("full.id", "full.time", "full.content")  # tells apart the contents that share an id
+    found = stage(found.unionByName(none).withColumn("source", F.when(F.col("full").isNotNull(), name)), "resolved")
+    chosen = stage(found.where(F.col("full").isNotNull()).select("source").distinct(), "chosen")
+    sources = known.where("kind = 'response'").select(F.xxhash64("id", "time", _content()).alias("source"), F.col("headers").alias("stored"), "payload")
+    # Written, so that Spark can split the join of a response with very many revisits.
+    sources = stage(sources.join(chosen, "source", "left_semi").dropDuplicates(["source"]), "sources")
+    held = found.join(sources, "source", "left").withColumn("source_id", F.col("full.id"))
     own = F.coalesce("own", F.create_map().cast("map<string,string>"))
     permitted = F.map_filter(own, lambda name, _: name.isin(PERMITTED))
     stored = F.map_filter("stored", lambda name, _: ~F.map_contains_key(permitted, name))
