@@ -22,9 +22,10 @@ from hourline.session import stage
 
 UNKNOWN = "und"
 ORDERS = (4, 3, 2, 1)
-#: Bounds of the model, documented in the README: labelled documents to learn from, languages, words and grams.
-TRAIN_DOCS, LANGUAGES, WORDS, GRAMS = 20_000, 100, 120_000, 40_000
-REMEMBERED = 200_000
+#: Bounds of the model, for each language, documented in the README: labelled documents to learn from, words, grams of
+#: each length.
+TRAIN_DOCS, WORDS, GRAMS = 20_000, 30_000, 10_000
+REMEMBERED = 50_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -40,61 +41,60 @@ def grams_of(word: str, order: int) -> list[str]:
     return [framed[i : i + order] for i in range(len(framed) - order + 1)]
 
 
+class Counts:
+    """Log frequencies of keys, by language: a base for each language, which a key it has not seen has, and what the keys
+    that were seen have above it. Only those are stored, so that many languages with words of their own stay compact."""
+
+    def __init__(self, keys: list[str], languages: np.ndarray, n: np.ndarray, width: int):
+        """One entry for each key and language that was seen with it."""
+        self.rows: dict[str, int] = {}
+        at = np.fromiter((self.rows.setdefault(k, len(self.rows)) for k in keys), np.int64, len(keys))
+        order = np.argsort(at, kind="stable")
+        self.start = np.searchsorted(at[order], np.arange(len(self.rows) + 1))
+        self.language, self.above = languages[order].astype(np.int32), np.log((n[order] + 0.5) / 0.5).astype(np.float32)
+        total = np.bincount(languages, weights=n, minlength=width) + 0.5 * len(self.rows)
+        self.base = math.log(0.5) - np.log(np.maximum(total, 0.5))
+        self.width = width
+
+    def sums(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For each language the sum of the rows' log frequencies times their weights."""
+        first, size = self.start[rows], self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(size)
+        at = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        return self.base * weights.sum() + np.bincount(self.language[at], weights=self.above[at] * np.repeat(weights, size), minlength=self.width)
+
+
 class Model:
-    """Log frequencies by word and by gram, one column per language."""
+    """Log frequencies of words, and of grams of each length."""
 
-    def __init__(self, languages: list[str], documents: list[int], words: dict[str, dict[int, int]], grams: dict[int, dict[str, dict[int, int]]]):
-        self.languages = languages
+    def __init__(self, languages: list[str], documents: list[int], words: Counts | None, grams: dict[int, Counts]):
+        self.languages, self.words, self.grams = languages, words, grams
         self.prior = np.log(np.array(documents, float) / max(1, sum(documents))) if languages else np.zeros(0)
-        self.word_rows, self.word_logs = self._logs(words)
-        self.gram_rows, self.gram_logs = {}, {}
-        for order, counts in grams.items():
-            self.gram_rows[order], self.gram_logs[order] = self._logs(counts)
-
-    def _logs(self, counts: dict[str, dict[int, int]]) -> tuple[dict[str, int], np.ndarray]:
-        table = np.full((len(counts), len(self.languages)), 0.5)
-        rows = {}
-        for key, by in counts.items():
-            rows[key] = len(rows)
-            for language, n in by.items():
-                table[rows[key], language] += n
-        total = table.sum(axis=0, keepdims=True) if len(counts) else 1.0
-        return rows, np.log(table / total).astype(np.float32)
 
 
-class _Rows(dict):
-    """Row of the table for every word; words that the model lacks are backed off once and remembered up to a bound."""
+class _Unseen(dict):
+    """Place, in ``table``, of every word that the model lacks: backed off once and remembered up to a bound."""
 
     def __init__(self, model: Model):
-        super().__init__(model.word_rows)
-        self.model, self.base = model, len(model.word_rows)
-        self.table = np.concatenate([model.word_logs, np.zeros((REMEMBERED + 1, len(model.languages)), np.float32)])
-        self.end = self.base + 1  # one row of zeros for words without any known gram
-        self.new: list[str] = []
-
-    def forget(self) -> None:
-        for w in self.new:
-            del self[w]
-        self.new, self.end = [], self.base + 1
+        self.model, self.most = model, max(1000, REMEMBERED * 4 // max(1, len(model.languages)))
+        self.table = np.zeros((self.most + 1, len(model.languages)), np.float64)  # first a row of zeros for words without any known gram
 
     def __missing__(self, word: str) -> int:
         for order in ORDERS:
-            rows = self.model.gram_rows.get(order, {})
-            known = [rows[g] for g in grams_of(word, order) if g in rows]
+            counts = self.model.grams.get(order)
+            known = [counts.rows[g] for g in grams_of(word, order) if g in counts.rows] if counts else []
             if known:
-                if self.end >= len(self.table):
-                    self.table = np.concatenate([self.table, np.zeros((REMEMBERED, self.table.shape[1]), np.float32)])
-                self.table[self.end] = self.model.gram_logs[order][known].mean(axis=0)
-                self[word] = self.end
-                self.new.append(word)
-                self.end += 1
-                return self.end - 1
-        return self.base
+                if len(self) >= len(self.table) - 1:
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[len(self) + 1] = counts.sums(np.array(known), np.full(len(known), 1.0 / len(known)))
+                self[word] = len(self) + 1
+                return len(self)
+        return 0
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.rows = model, _Rows(model)
+        self.model, self.unseen = model, _Unseen(model)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         counts = words_of(text)
@@ -102,27 +102,38 @@ class Scorer:
             return UNKNOWN, 0.0
         if not self.model.languages:
             return UNKNOWN, 0.0
-        if len(self.rows.new) > REMEMBERED:
-            self.rows.forget()
-        at = np.fromiter(map(self.rows.__getitem__, counts), np.int64, len(counts))
-        weight = np.fromiter(counts.values(), np.float64, len(counts))
-        logs = self.model.prior + weight @ self.rows.table[at].astype(np.float64)
+        if len(self.unseen) > self.unseen.most:
+            self.unseen = _Unseen(self.model)
+        rows = self.model.words.rows
+        seen = [w for w in counts if w in rows]
+        logs = self.model.prior + self.model.words.sums(np.fromiter(map(rows.__getitem__, seen), np.int64, len(seen)), np.fromiter(map(counts.__getitem__, seen), np.float64, len(seen)))
+        rest = [w for w in counts if w not in rows]
+        if rest:
+            places = list(map(self.unseen.__getitem__, rest))
+            logs = logs + np.fromiter(map(counts.__getitem__, rest), np.float64, len(rest)) @ self.unseen.table[places]
         best = int(np.argmax(logs))
         return self.model.languages[best], 1.0 / float(np.exp(logs - logs[best]).sum())
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", most: int = TRAIN_DOCS) -> Model:
-    """Count words and grams of labelled documents: ``most`` of them at most per language, those of the smallest digests
-    of id and text. Rows without a label are no use; null and empty texts count as documents without words."""
-    rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).cast("string").alias("id"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    """Count words and grams of labelled documents, ``most`` different ones (by id and text) of each language at most: those
+    of the smallest digests. Documents that repeat one of them count as often as they stand. Rows without a label are no
+    use; null and empty texts count as documents without words. Every labelled language is learned."""
+    rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string"), text).alias("digest"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("digest").alias("texts")).orderBy("lang").collect()
     if not sizes:
-        return Model([], [], {}, {})
-    languages = sorted(r["lang"] for r in sizes)
+        return Model([], [], None, {})
+    languages = [r["lang"] for r in sizes]
     number, n = {x: i for i, x in enumerate(languages)}, {r["lang"]: r["n"] for r in sizes}
-    share = {x: min(1.0, most / n[x]) for x in languages}
-    drawn = F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 20)) < F.create_map(*[F.lit(v) for x in languages for v in (x, math.ceil(share[x] * (1 << 20)))])[F.col("lang")]
-    sample = rows.where(drawn)
+    # Somewhat more than ``most`` by their digests, then the smallest of those: a rank over a bounded number for a language.
+    spark = docs.sparkSession
+    shares = [(r["lang"], math.ceil(min(1.0, (1.5 * most + 50) / max(1, r["texts"])) * (1 << 30))) for r in sizes]
+    shares = F.broadcast(spark.createDataFrame(shares, "lang string, share long"))  # a row for each language
+    mixed = F.xxhash64("digest", F.lit("drawn"))
+    near = rows.select("lang", "digest").join(shares, "lang").where(F.pmod(mixed, F.lit(1 << 30)) < F.col("share")).select("lang", "digest").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(mixed, F.lit(1 << 30)), "digest"))
+    chosen = stage(near.withColumn("place", place).where(F.col("place") <= most).select("lang", "digest"), "language-sample")
+    sample = rows.join(chosen, ["lang", "digest"], "left_semi").select("lang", "text")
 
     def count(batches):
         for batch in batches:
@@ -147,12 +158,23 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
 
     grams = words.mapInArrow(split, "k int, o int, w string, n long").groupBy("k", "o", "w").agg(F.sum("n").alias("n"))
     counted = words.select("k", F.lit(0).alias("o"), "w", "n").unionByName(grams)
-    # The most frequent words and grams of each language and length; a bounded model reaches the driver.
-    place = F.row_number().over(Window.partitionBy("k", "o").orderBy(F.desc("n"), "w"))
-    top = counted.withColumn("place", place).where(F.col("place") <= F.when(F.col("o") == 0, WORDS // len(languages)).otherwise(GRAMS // len(languages)))
-    tables: dict[int, dict[str, dict[int, int]]] = {o: {} for o in (0, *ORDERS)}
-    for r in top.select("k", "o", "w", "n").collect():
-        tables[r["o"]].setdefault(r["w"], {})[r["k"]] = r["n"]
+    # The most frequent words and grams of each language and length; a bounded model reaches the driver. How many have each
+    # frequency tells the last frequency that has a place, and the share of its keys that fits, taken by digest.
+    counted = stage(counted, "language-counts")
+    classes = counted.groupBy("k", "o", "n").agg(F.count("*").alias("keys"))
+    upto = F.sum("keys").over(Window.partitionBy("k", "o").orderBy(F.desc("n")))
+    bound = F.when(F.col("o") == 0, WORDS).otherwise(GRAMS)
+    last = classes.withColumn("upto", upto).where(F.col("upto") > bound).groupBy("k", "o").agg(
+        F.max("n").alias("last"), F.max_by((bound - F.col("upto") + F.col("keys")) / F.col("keys"), "n").alias("share")
+    )
+    cut = counted.join(F.broadcast(last), ["k", "o"], "left")  # a row for each language and length
+    drawn = F.pmod(F.xxhash64("w"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    top = cut.where(F.col("last").isNull() | (F.col("n") > F.col("last")) | ((F.col("n") == F.col("last")) & drawn)).select("k", "o", "w", "n").toArrow()
+    of = top.column("o").to_numpy()
+    tables = {}
+    for order in (0, *ORDERS):
+        some = top.filter(pa.array(of == order))
+        tables[order] = Counts(some.column("w").to_pylist(), some.column("k").to_numpy(), some.column("n").to_numpy().astype(float), len(languages))
     return Model(languages, [n[x] for x in languages], tables.pop(0), tables)
 
 
