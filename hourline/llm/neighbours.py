@@ -8,8 +8,9 @@ list whose last entry still reaches the threshold is saturated. Parts with such
 radius, cells of different parts that may link are compared in full, and the lists are then enlarged to all of their
 linked part, counted in blocks. A sample of nodes is searched by brute force in blocks; while the share of their links
 found, a mean over nodes, falls short of the audit's aim for nodes with few links or for those with many, the graph is
-refined further with more buckets and longer lists. A graph that changes no more and falls short is an error. Links are
-pairs of the graph at the threshold or above.
+refined further with more buckets and longer lists. Where links are so rare that the sample has too few nodes with any,
+nodes that the graph links are searched as well, so that an audit without a node to measure means that neither way knows of
+a link. A graph that changes no more and falls short is an error. Links are pairs of the graph at the threshold or above.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourline.llm.common import name_keys
 from hourline.llm.components import components
 from hourline.session import shuffle_partitions, stage
 
 THRESHOLD, NEIGHBOURS, TABLES, ROUNDS = 0.98, 8, 4, 2
 BUCKET, BLOCK = 256, 1024
 AUDIT_RECALL, AUDIT_TURNS = 0.97, 3
-#: Nodes searched by brute force: so many at first, then four times as many until AUDIT_LINKED of them have few links.
+#: Nodes searched by brute force: so many at first, then four times as many until AUDIT_LINKED of them have few links;
+#: beyond AUDIT_MOST, AUDIT_NODES of those that the graph gives few links.
 AUDIT_NODES, AUDIT_MOST, AUDIT_LINKED = 400, 6_400, 30
 log = logging.getLogger(__name__)
 
@@ -394,6 +397,16 @@ def _truth(nodes: DataFrame, count: int, threshold: float, k: int) -> pd.DataFra
         most *= 4
 
 
+def _linked(truth: pd.DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, k: int) -> pd.DataFrame:
+    """The search with AUDIT_NODES nodes more, of those that ``links`` (u, n) gives few links, by digest, where it has too
+    few of them."""
+    if (truth["links"] < k).sum() >= AUDIT_LINKED:
+        return truth
+    few = links.where((F.col("n") > 0) & (F.col("n") < k)).orderBy(F.xxhash64("u", F.lit("audit")), "u").limit(AUDIT_NODES).select(F.col("u").alias("id"))
+    asked = nodes.join(F.broadcast(few), "id").select("id", "grp", "vector").toPandas()
+    return pd.concat([truth, _search(asked, nodes, threshold)]).drop_duplicates("id") if len(asked) else truth
+
+
 def _recall(truth: pd.DataFrame, links: DataFrame, k: int) -> dict[str, tuple[float, int]]:
     """Mean over the searched nodes of the share of their links that ``links`` (u, n) counts, and their number; nodes with
     fewer than k links apart from the others."""
@@ -411,16 +424,19 @@ def link_vectors(
     """One row per input row: vec_id, n_links (other rows linked directly), component_id, kept.
 
     Only rows with equal, non-null labels and equal numbers of dimensions are compared. Rows whose vector is null, empty,
-    zero or holds a null, NaN or infinity link with nothing: n_links 0, their own component. Rows with a null id are
-    left out; rows that repeat an id and its vector count as copies of it.
+    zero or holds a null, NaN or infinity link with nothing: n_links 0, their own component. Rows that repeat an id count
+    each for itself: with the same vector as copies, with another as any other row. A row with a null id is compared too;
+    its component is the smallest id it reaches, null where it reaches none, and it is not kept.
     """
     kind = "array<float>" if rows.select(vector).dtypes[0][1] == "array<float>" else "array<double>"
-    given = rows.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).cast(kind).alias("vector"))
+    given = rows.select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).cast(kind).alias("vector"))
     usable = F.col("label").isNotNull() & F.coalesce(_usable(F.col("vector")), F.lit(False))
     good = given.where(usable).withColumn("grp", F.xxhash64("label", F.size("vector")))
-    classes = good.groupBy("label", "grp", "vector").agg(F.min("id").alias("node"), F.count("*").alias("weight"))
-    nodes = stage(classes.select(F.col("node").alias("id"), "grp", F.col("weight").cast("double").alias("weight"), "label", "vector"), "vectors")
-    member = good.join(nodes.select(F.col("id").alias("node"), "label", "vector", "weight"), ["label", "vector"]).select("id", "node", "weight")
+    classes = good.groupBy("label", "grp", "vector").agg(F.min("id").alias("first"), F.count("*").cast("double").alias("weight"))
+    # Numbered by their smallest ids, so that the smallest node of a component has the component's smallest id.
+    classes = classes.withColumns({"last": F.col("first").isNull(), "digest": F.xxhash64("vector")})
+    nodes = stage(name_keys(classes, ["last", "first", "grp", "digest"], "id", "vector-order").drop("last", "digest"), "vectors")
+    member = good.join(nodes.select(F.col("id").alias("node"), "label", "vector", "weight", "first"), ["label", "vector"]).select("id", "node", "weight", "first")
     member = stage(member, "classes")
     count = nodes.count()
     lists, links, roots, ties, size, turn, before = None, None, None, None, k, 0, None
@@ -449,6 +465,7 @@ def link_vectors(
         listed = near.join(nodes.select(F.col("id").alias("v"), "weight"), "v").groupBy("u").agg(F.sum("weight").cast("long").alias("n"))
         whole = stage(_enlarged(lists, nodes, roots, threshold, size), "enlarged")
         links = stage(listed.join(whole.select("u"), "u", "left_anti").unionByName(whole), "vector-links")
+        truth = _linked(truth, nodes, links, threshold, k)
         recall = _recall(truth, links, k)
         log.info("mean share of their links found of the audited nodes, and these nodes: %s", recall)
         if all(share >= AUDIT_RECALL for share, _ in recall.values()):
@@ -458,9 +475,14 @@ def link_vectors(
         turn, tables, before = turn + 1, tables * 2, now
         size *= 2 if turn < AUDIT_TURNS else 1
     if links is None:
-        found = member.select("id", (F.col("weight") - 1).cast("long").alias("n_links"), F.col("node").alias("component_id"))
+        found = member.select("id", (F.col("weight") - 1).cast("long").alias("n_links"), F.col("first").alias("component_id"))
     else:
-        found = member.join(links, member["node"] == links["u"], "left").join(roots.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-        found = found.select("id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+        # The first id of every root, joined to what hangs on it: one row for each node that is linked.
+        hung = stage(roots.join(nodes.select(F.col("id").alias("root"), F.col("first").alias("component")), "root").select(F.col("node").alias("member"), "component"), "vector-components")
+        found = member.join(links, member["node"] == links["u"], "left").join(hung, F.col("node") == F.col("member"), "left")
+        found = found.select(
+            "id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),
+            F.when(F.col("member").isNull(), F.col("first")).otherwise(F.col("component")).alias("component_id"),
+        )
     rest = given.where(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return found.unionByName(rest).select(F.col("id").alias(id), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return found.unionByName(rest).select(F.col("id").alias(id), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
