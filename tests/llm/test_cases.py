@@ -89,6 +89,16 @@ def test_chunks_are_forgotten_without_harm(monkeypatch):
         assert len(e.known) <= 20 + 12 + 1
 
 
+def test_texts_encoded_together(monkeypatch):
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 60)
+    monkeypatch.setattr(tokens, "KNOWN_CHUNKS", 30)
+    rng, e = random.Random(8), tokens.LibraryEncoder(WORD)
+    texts = [rng.choice(["", None, "a\x0bb c", "x" * 300, "<|endoftext|> y"]) if rng.random() < 0.2 else " ".join(f"W{rng.randrange(90)}," for _ in range(rng.randrange(20))) for _ in range(80)]
+    t = Tokenizer.from_file(WORD)
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode_all(texts)] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert e.encode_all([]) == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\xa0'sable1")), max_size=40))
 def test_any_text(text):
@@ -216,11 +226,39 @@ def test_language(spark, odd, none):
 
 
 def test_language_backs_off():
-    model = language.Model(["a", "b"], [1, 1], {"known": {0: 5}}, {4: {"<unk": {1: 3}, "abcd": {0: 3}}, 1: {"z": {0: 1}, "q": {1: 1}}})
+    counts = lambda *rows: language.Counts([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float), 2)
+    model = language.Model(["a", "b"], [1, 1], counts(("known", 0, 5)), {4: counts(("<unk", 1, 3), ("abcd", 0, 3)), 1: counts(("z", 0, 1), ("q", 1, 1))})
     score = language.Scorer(model)
     assert score("known")[0] == "a" and score("unkxx")[0] == "b" and score("zz")[0] == "a"
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} common " * 3, f"l{i:03d}") for i in range(120)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.languages) == 120
+    found = language.identify(docs, model).select("lang", "lang_pred").collect()
+    assert all(r.lang == r.lang_pred for r in found)
+
+
+def test_language_sample_of_one_id(spark):
+    """An id on all rows is sampled by its texts; copies of a chosen document all count."""
+    docs = spark.createDataFrame([(7, f"word{chr(97 + i % 20)}{chr(97 + i // 20)}", "en") for i in range(200)] + [(7, "ein satz", "de")] * 50, "doc_id long, text string, lang string")
+    model = language.train(docs, most=10)
+    rows = model.words.rows
+    assert len([w for w in rows if w.startswith("word")]) == 10 and rows.keys() >= {"ein", "satz"}
+    at = rows["ein"]
+    assert round(float(np.exp(model.words.above[model.words.start[at]]) * 0.5 - 0.5)) == 50
+
+
+def test_language_bounds(spark, monkeypatch):
+    monkeypatch.setattr(language, "WORDS", 40)
+    monkeypatch.setattr(language, "GRAMS", 15)
+    text = " ".join(w for i in range(300) for w in ["x" + chr(97 + i % 17) + chr(97 + i // 17)] * (5 if i < 20 else 2))
+    model = language.train(spark.createDataFrame([(1, text, "a"), (2, "few words", "b")], "doc_id long, text string, lang string"))
+    assert 20 <= len(model.words.rows) - 2 <= 60 and {"few", "words", "xaa"} <= model.words.rows.keys()
+
+
 def test_toxicity(spark, odd, none):
     texts = [f"plain words number {i} here" for i in range(60)] + [f"you awful thing number {i}" for i in range(30)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -394,13 +432,33 @@ def test_neighbours_audit_sees_few_links(spark, monkeypatch):
     def lossy(*args):
         calls.append(1)
         found = first(*args)
-        return found.where("u < 1000 and v < 1000") if len(calls) == 1 else found
+        return found.where("u <= 150 and v <= 150") if len(calls) == 1 else found
 
     monkeypatch.setattr(neighbours, "_first_lists", lossy)
     found = neighbours.link_vectors(spark.createDataFrame(tight_groups([150], 0.99) + pairs, VECTORS)).collect()
     assert len(calls) > 1 and {r.n_links for r in found if r.vec_id >= 1000} == {1} and {r.n_links for r in found if r.vec_id < 1000} == {149}
 
 
+def test_neighbours_of_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0], "x"), (1, [0.0, 1.0], "x"), (2, [1.0, 0.001], "x"), (3, [0.001, 1.0], "x"), (None, [1.0, 0.002], "x"), (None, [-1.0, 0.0], "x"), (None, None, "x"), (4, [-1.0, 0.0], "x"), (4, [-1.0, 0.0], "x"), (5, [0.0, -1.0], "x")]
+    found = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in neighbours.link_vectors(spark.createDataFrame(rows, VECTORS)).collect()), key=repr)
+    want = [(1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False), (None, 2, 1, False), (None, 2, 4, False), (None, 0, None, False), (4, 2, 4, True), (4, 2, 4, True), (5, 0, 5, True)]
+    assert found == sorted(want, key=repr)
+
+
+def test_neighbours_audit_measures_rare_links(spark, monkeypatch):
+    """Where the random sample holds no linked node, those that the graph links are searched."""
+    monkeypatch.setattr(neighbours, "AUDIT_NODES", 4)
+    monkeypatch.setattr(neighbours, "AUDIT_MOST", 4)
+    seen, recall = [], neighbours._recall
+    monkeypatch.setattr(neighbours, "_recall", lambda truth, links, k: seen.append((len(truth), recall(truth, links, k))) or seen[-1][1])
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=32).tolist(), "x") for i in range(600)]
+    rows += [(1000 + i, (np.array(rows[i][1]) + rng.normal(scale=0.001, size=32)).tolist(), "x") for i in range(3)]
+    found = neighbours.link_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    assert sum(r.n_links for r in found) == 6 and seen[-1][0] >= 4 and seen[-1][1]["few"] == (1.0, seen[-1][0])
+
+
 def test_neighbours_audit_error(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "_recall", lambda *args: {"few": (0.5, 40)})
     with pytest.raises(RuntimeError, match="audit"):
@@ -428,7 +486,7 @@ def test_revisits(spark, monkeypatch):
             assert i not in found
             continue
         r = found[i]
-        full = max((x for x in rows if x[3] == "response" and url and keys[x[1]] == keys[url] and (x[2], x[0]) < (time, i)), key=lambda x: (x[2], x[0]), default=None)
+        full = max((x for x in rows if x[3] == "response" and url and keys[x[1]] == keys[url] and x[2] < time), key=lambda x: (x[2], x[0]), default=None)
         assert r.key == keys[url]
         if url is None or full is None:
             assert r.status == ("no_url" if url is None else "no_earlier_response") and r.payload is None
@@ -442,6 +500,18 @@ def test_revisits(spark, monkeypatch):
     assert revisits.resolve_revisits(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_revisits_of_equal_times_and_ids(spark):
+    schema = "id long, url string, time long, kind string, etag string, last_modified string, digest string, headers map<string,string>, payload string"
+    row = lambda i, time, kind, payload=None, tag="t": (i, "http://a.org/x", time, kind, tag, None, None, {"date": str(time)}, payload)
+    rows = [row(5, 10, "response", "five"), row(9, 10, "revisit"), row(1, 10, "revisit"), row(5, 10, "revisit"), row(2, 11, "revisit"), row(3, None, "revisit")]
+    found = {(r.id, r.status, r.payload) for r in revisits.resolve_revisits(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {(9, "no_earlier_response", None), (1, "no_earlier_response", None), (5, "no_earlier_response", None), (3, "no_earlier_response", None), (2, "resolved", "five")}
+    # Responses that share an id: the latest before the revisit counts, with its own payload; copies are one.
+    rows = [row(5, 10, "response", "old"), row(5, 20, "response", "new"), row(5, 20, "response", "new"), row(7, 15, "revisit"), row(7, 15, "revisit"), row(8, 30, "revisit"), row(4, None, "response", "undated"), row(6, 1, "revisit")]
+    found = sorted((r.id, r.source_id, r.payload) for r in revisits.resolve_revisits(spark.createDataFrame(rows, schema)).collect())
+    assert found == [(6, 4, "undated"), (7, 5, "old"), (7, 5, "old"), (8, 5, "new")]
+
+
 def test_stages_take_odd_rows(spark, odd, none, tmp_path):
     odd.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(3, 0), (6, 0), (8, None)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -1,8 +1,11 @@
 """Registered queries on whole tables against brute force."""
 
+import functools
 import hashlib
+import math
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -47,6 +50,50 @@ def test_language(spark, docs):
     assert right[found.held_out].mean() > 0.97
 
 
+def test_language_by_brute_force(spark, docs, monkeypatch):
+    """Without its bounds, the model, learned from the whole table, scores as plain counting does (every seventh document)."""
+    from hourline.llm import language
+
+    monkeypatch.setattr(language, "WORDS", 1 << 40)
+    monkeypatch.setattr(language, "GRAMS", 1 << 40)
+    found = rows(spark, "op1_language")
+    learned = [(d, t, x) for d, (t, x) in docs.items() if zlib.crc32(str(d).encode()) % 3 != 1 and x]
+    names = sorted({x for _, _, x in learned})
+    words, grams = {x: Counter() for x in names}, {(o, x): Counter() for o in range(1, 5) for x in names}
+    for _, t, x in learned:
+        words[x].update(re.findall(r"[^\W\d_]+", t.lower()))
+    pieces = lambda w, o: list(w) if o == 1 else [f"<{w}>"[i : i + o] for i in range(len(w) + 3 - o)]
+    for x in names:
+        for w, n in words[x].items():
+            for o in range(1, 5):
+                for g in pieces(w, o):
+                    grams[o, x][g] += n
+    keys = {o: set().union(*(grams[o, x] for x in names)) for o in range(1, 5)}
+    vocabulary = set().union(*words.values())
+    logs = lambda counts, size, key: math.log((counts[key] + 0.5) / (sum(counts.values()) + 0.5 * size))
+    cached = functools.cache(lambda w: [sum_of(w, x) for x in names])
+
+    def sum_of(w, x):
+        if w in vocabulary:
+            return logs(words[x], len(vocabulary), w)
+        for o in (4, 3, 2, 1):
+            known = [g for g in pieces(w, o) if g in keys[o]]
+            if known:
+                return sum(logs(grams[o, x], len(keys[o]), g) for g in known) / len(known)
+        return 0.0
+
+    totals = Counter(x for _, _, x in learned)
+    for r in found[::7].itertuples():
+        text = docs[r.doc_id][0]
+        score = np.array([math.log(totals[x] / len(learned)) for x in names])
+        for w, n in Counter(re.findall(r"[^\W\d_]+", text.lower())).items():
+            score += n * np.array(cached(w))
+        if not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        assert r.lang_pred == names[int(score.argmax())] and r.score == pytest.approx(1 / np.exp(score - score.max()).sum(), abs=1e-4)
+
+
 def ids_of(docs, name, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     order = sorted(docs)
