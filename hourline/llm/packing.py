@@ -86,8 +86,8 @@ def pack(
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 rows = []
-                for d, t in zip(part.column(0).to_pylist(), texts):
-                    ids = encoder.encode(t) + end
+                for d, ids in zip(part.column(0).to_pylist(), encoder.encode_all(texts)):
+                    ids += end
                     n = len(ids) // 4
                     for at in range(0, n, size):
                         own = ids[4 * at : 4 * (at + size)]

@@ -172,7 +172,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str, doc
         shards.fs.create_dir(shards.root, recursive=True)
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                ids = [encoder.encode(t) + end for t in texts]
+                ids = [x + end for x in encoder.encode_all(texts)]
                 data = [serialise(d, x, shards.width) for d, x in zip(part.column(0).to_pylist(), ids)]
                 shards.add(frame(data), [len(x) // 4 for x in ids])
         shards.close()
@@ -235,5 +235,6 @@ def record_digests(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "
     rows = read_records(manifest, folder).select(
         "task", "shard", "doc_id", "before", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
-    return rows.join(starts, ["task", "shard"]).select("doc_id", (F.col("files_before") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    # One row per file of up to 64 MB.
+    return rows.join(F.broadcast(starts), ["task", "shard"]).select("doc_id", (F.col("files_before") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse, islice
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 
@@ -18,6 +18,7 @@ CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
 KNOWN_CHUNKS = 1_200_000
 LONG_CHUNK = 200
+GROUP_CHARS = 200_000
 
 _encoders: dict[str, LibraryEncoder] = {}
 
@@ -31,6 +32,12 @@ class ChunkEncoder:
     def chunks(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
 
+    def forget(self) -> None:
+        """Where too many are remembered: the chunks met first are the frequent ones; half of the bound, met last, go."""
+        if len(self.known) > KNOWN_CHUNKS:
+            for c in list(islice(reversed(self.known), KNOWN_CHUNKS // 2)):
+                del self.known[c]
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -40,9 +47,7 @@ class ChunkEncoder:
         known = self.known
         new = list(set(filterfalse(known.__contains__, parts)))
         if new and len(known) > KNOWN_CHUNKS:
-            # The chunks met first are the frequent ones; those met last go.
-            for c in list(islice(reversed(known), KNOWN_CHUNKS // 2)):
-                del known[c]
+            self.forget()
             new = list(set(filterfalse(known.__contains__, parts)))
         if new:
             known.update(zip(new, self.chunks(new)))
@@ -66,6 +71,32 @@ class LibraryEncoder(ChunkEncoder):
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.between = special[-1] if special else None
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """``encode`` of each text, in groups of about GROUP_CHARS characters: a group's new chunks go to the library together."""
+        found, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                found += self._encode_group(group)
+                group, size = [], 0
+        return found + self._encode_group(group)
+
+    def _encode_group(self, texts: list[str | None]) -> list[bytes]:
+        whole = {i: t for i, t in enumerate(texts) if t and OTHER_SPACE.search(t)}
+        alone = dict(zip(whole, self.chunks(list(whole.values())))) if whole else {}
+        parts = [CHUNK.findall(t) if t and i not in whole else [] for i, t in enumerate(texts)]
+        self.forget()
+        known = self.known
+        new = list(set(filterfalse(known.__contains__, chain.from_iterable(parts))))
+        if new:
+            known.update(zip(new, self.chunks(new)))
+        found = [alone[i] if i in alone else b"".join(map(known.__getitem__, p)) for i, p in enumerate(parts)]
+        for c in new:
+            if len(c) > LONG_CHUNK:
+                del known[c]
+        return found
+
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
