@@ -25,7 +25,9 @@ ORDERS = (4, 3, 2, 1)
 #: Bounds of the model, for each language, documented in the README: labelled documents to learn from, words, grams of
 #: each length.
 TRAIN_DOCS, WORDS, GRAMS = 20_000, 30_000, 10_000
-REMEMBERED = 50_000
+REMEMBERED = 200_000
+#: Words of the model are written out for each language up to so many numbers, and beyond it stored where they were seen.
+TABLE_CELLS = 8_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -72,29 +74,45 @@ class Model:
         self.prior = np.log(np.array(documents, float) / max(1, sum(documents))) if languages else np.zeros(0)
 
 
-class _Unseen(dict):
-    """Place, in ``table``, of every word that the model lacks: backed off once and remembered up to a bound."""
+class _Places(dict):
+    """Row, in ``table``, of every word. Words of the model are written out in the table where that is small, and else stand
+    under -1 and less in its ``Counts``; words that it lacks are backed off once and remembered up to a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.most = model, max(1000, REMEMBERED * 4 // max(1, len(model.languages)))
-        self.table = np.zeros((self.most + 1, len(model.languages)), np.float64)  # first a row of zeros for words without any known gram
+        words, width = model.words, len(model.languages)
+        self.model, self.most = model, max(1000, REMEMBERED * 4 // max(4, width))
+        known = np.zeros((0, width), np.float32)
+        if len(words.rows) * width <= TABLE_CELLS:
+            super().__init__(words.rows)
+            known = np.repeat(words.base.astype(np.float32)[None, :], len(words.rows), axis=0)
+            known[np.repeat(np.arange(len(words.rows)), np.diff(words.start)), words.language] += words.above
+        else:
+            super().__init__((w, -1 - at) for w, at in words.rows.items())
+        self.none = len(known)  # a row of zeros for words without any known gram
+        self.end = self.none + 1
+        self.table = np.concatenate([known, np.zeros((self.most + 1, width), np.float32)])
+
+    @property
+    def full(self) -> bool:
+        return self.end - self.none > self.most
 
     def __missing__(self, word: str) -> int:
         for order in ORDERS:
             counts = self.model.grams.get(order)
             known = [counts.rows[g] for g in grams_of(word, order) if g in counts.rows] if counts else []
             if known:
-                if len(self) >= len(self.table) - 1:
-                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.table[len(self) + 1] = counts.sums(np.array(known), np.full(len(known), 1.0 / len(known)))
-                self[word] = len(self) + 1
-                return len(self)
-        return 0
+                if self.end >= len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros((self.most, self.table.shape[1]), np.float32)])
+                self.table[self.end] = counts.sums(np.array(known), np.full(len(known), 1.0 / len(known)))
+                self[word] = self.end
+                self.end += 1
+                return self.end - 1
+        return self.none
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.unseen = model, _Unseen(model)
+        self.model, self.places = model, _Places(model) if model.languages else None
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         counts = words_of(text)
@@ -102,15 +120,16 @@ class Scorer:
             return UNKNOWN, 0.0
         if not self.model.languages:
             return UNKNOWN, 0.0
-        if len(self.unseen) > self.unseen.most:
-            self.unseen = _Unseen(self.model)
-        rows = self.model.words.rows
-        seen = [w for w in counts if w in rows]
-        logs = self.model.prior + self.model.words.sums(np.fromiter(map(rows.__getitem__, seen), np.int64, len(seen)), np.fromiter(map(counts.__getitem__, seen), np.float64, len(seen)))
-        rest = [w for w in counts if w not in rows]
-        if rest:
-            places = list(map(self.unseen.__getitem__, rest))
-            logs = logs + np.fromiter(map(counts.__getitem__, rest), np.float64, len(rest)) @ self.unseen.table[places]
+        if self.places.full:
+            self.places = _Places(self.model)
+        at = np.fromiter(map(self.places.__getitem__, counts), np.int64, len(counts))
+        weight = np.fromiter(counts.values(), np.float64, len(counts))
+        logs = self.model.prior
+        if (at < 0).any():
+            apart = at < 0
+            logs = logs + self.model.words.sums(-1 - at[apart], weight[apart])
+            at, weight = at[~apart], weight[~apart]
+        logs = logs + weight @ self.places.table[at].astype(np.float64)
         best = int(np.argmax(logs))
         return self.model.languages[best], 1.0 / float(np.exp(logs - logs[best]).sum())
 
