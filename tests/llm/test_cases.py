@@ -232,13 +232,20 @@ def test_language_backs_off():
     assert score("known")[0] == "a" and score("unkxx")[0] == "b" and score("zz")[0] == "a"
 
 
-def test_every_language_is_learned(spark):
+@pytest.mark.parametrize("cells", [8_000_000, 10])
+def test_every_language_is_learned(spark, monkeypatch, cells):
+    monkeypatch.setattr(language, "TABLE_CELLS", cells)
     rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} common " * 3, f"l{i:03d}") for i in range(120)] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language.train(docs)
     assert len(model.languages) == 120
     found = language.identify(docs, model).select("lang", "lang_pred").collect()
     assert all(r.lang == r.lang_pred for r in found)
+    score = language.Scorer(model)
+    monkeypatch.setattr(language, "TABLE_CELLS", 8_000_018 - cells)  # the other way of keeping words
+    other = language.Scorer(model)
+    for t in ("waa common unheard of", "nothing waa", "common"):
+        assert score(t)[0] == other(t)[0] and score(t)[1] == pytest.approx(other(t)[1], rel=1e-4)
 
 
 def test_language_sample_of_one_id(spark):
