@@ -2,8 +2,8 @@
 
 A revisit has no payload of its own. It is joined, as of its time, to the latest earlier full response of the same
 canonical URL; where the validators agree it gets that response's payload and headers, the permitted headers of the
-revisit put over the stored ones. Only ids, times, validators and digests of contents are sorted; payloads are moved for
-the responses that were chosen alone.
+revisit put over the stored ones. Only ids, times, validators and digests of contents are sorted; payloads are moved once,
+to where the revisits that they answer are joined.
 """
 
 from __future__ import annotations
@@ -88,11 +88,10 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     none = rows.where(F.col("key").isNull() & (F.col("kind") == "revisit"))
     none = none.select("id", "key", "time", F.lit("no_url").alias("status"), F.lit(None).cast(found.schema["full"].dataType).alias("full"), F.col("headers").alias("own"))
     name = F.xxhash64("full.id", "full.time", "full.content")  # tells apart the contents that share an id
-    found = stage(found.unionByName(none).withColumn("source", F.when(F.col("full").isNotNull(), name)), "resolved")
-    chosen = stage(found.where(F.col("full").isNotNull()).select("source").distinct(), "chosen")
+    found = found.unionByName(none).withColumn("source", F.when(F.col("full").isNotNull(), name))
     sources = known.where("kind = 'response'").select(F.xxhash64("id", "time", _content()).alias("source"), F.col("headers").alias("stored"), "payload")
-    # Written, so that Spark can split the join of a response with very many revisits.
-    sources = stage(sources.join(chosen, "source", "left_semi").dropDuplicates(["source"]), "sources")
+    # One shuffle by source serves both steps, so payloads are moved once.
+    sources = sources.dropDuplicates(["source"])
     held = found.join(sources, "source", "left").withColumn("source_id", F.col("full.id"))
     own = F.coalesce("own", F.create_map().cast("map<string,string>"))
     permitted = F.map_filter(own, lambda name, _: name.isin(PERMITTED))
