@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hourline import schema, sinks, sources, streaming
+from hourline import jobs, schema, sinks, sources, streaming
 from hourline.catalog.common import DAILY, HOURLY, WEATHER, daily, hourly, mean_of, query, table, weather
 from hourline.functions import iso_string
 from hourline.operators.clean import fallback, newest
@@ -103,6 +104,21 @@ def topk_large_page(spark, sf_dir):
     return top_n(rows, ["day"], order, 1500)
 
 
+@query(
+    "a4_page_requests",
+    """WITH r AS (SELECT l_shipdate AS period, l_orderkey, l_linenumber, l_partkey FROM lineitem),
+    d AS (SELECT CAST(period AS DATE) AS day, * FROM r UNION ALL SELECT CAST(period AS DATE) - 1, * FROM r),
+    k AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY period DESC, l_orderkey, l_linenumber, l_partkey) AS rn FROM d)
+    SELECT CAST(day AS TIMESTAMP) AS day, period, l_orderkey, l_linenumber, l_partkey FROM k WHERE rn <= 1500""",
+)
+def page_requests(spark, sf_dir):
+    """Day requests over all line items, pages of 1,500; ship days start at midnight and so answer two requests."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").alias("period"), F.lit(sources.demand.PARENT).alias("parent"), "l_orderkey", "l_linenumber", "l_partkey"
+    )
+    return sources.request_filter(rows, rows=1500).drop("parent").select("day", "period", "l_orderkey", "l_linenumber", "l_partkey")
+
+
 @query(
     "a5_refresh_days",
     """WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem),
@@ -288,6 +304,22 @@ def sorted_features(spark, sf_dir):
     return spark.read.parquet(path).orderBy("date", "sub_region_code")
 
 
+@query("b4_stored_order", f"WITH {DAILY} SELECT count(*) AS n_rows, 0::BIGINT AS out_of_order, 0::BIGINT AS overlapping_files FROM daily")
+def stored_order(spark, sf_dir):
+    """The order in which the feature table lies, as it is read, without sorting it again."""
+    path = scratch_path(spark, "features")
+    sinks.write_features(daily(spark, sf_dir), path)
+    at = F.struct("date", "sub_region_code")
+    rows = spark.read.parquet(path).select(at.alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = F.lag("at").over(Window.partitionBy("file").orderBy("row"))
+    files = rows.withColumn("wrong", F.coalesce(before > F.col("at"), F.lit(False))).groupBy("file").agg(
+        F.count("*").alias("n"), F.count_if("wrong").alias("wrong"), F.min("at").alias("first"), F.max("at").alias("last")
+    )
+    # One row per file from here on.
+    files = files.withColumn("late", F.coalesce(F.lag("last").over(Window.orderBy("file")) > F.col("first"), F.lit(False)))
+    return files.agg(F.sum("n").alias("n_rows"), F.sum("wrong").alias("out_of_order"), F.count_if("late").alias("overlapping_files"))
+
+
 @query(
     "b5_status_document",
     """SELECT max(CAST(value IS NULL AS INT)) = 0 AND max(CAST(props IS NULL AS INT)) = 0 AS validation_status FROM events""",
@@ -319,6 +351,25 @@ def metrics_document(spark, sf_dir):
     return read.select(F.round("mse", 3).alias("mse"), F.round("mae", 3).alias("mae"), "n_samples")
 
 
+LINES = """lines AS (SELECT CAST(l_linenumber AS BIGINT) AS sub_region_code, CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS date,
+    CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS demand FROM lineitem GROUP BY 1, 2)"""
+
+
+@query(
+    "b8_monitoring_table",
+    f"""WITH {LINES}, n AS (SELECT *, lag(demand, 7) OVER (PARTITION BY sub_region_code ORDER BY date) AS predicted_demand FROM lines)
+    SELECT sub_region_code, predicted_demand, date, demand FROM n
+    WHERE predicted_demand IS NOT NULL AND date BETWEEN (SELECT max(date) FROM lines) - INTERVAL 400 DAY AND (SELECT max(date) FROM lines)""",
+)
+def monitoring_table(spark, sf_dir):
+    """The monitoring job over stored predictions and features of seven series."""
+    places = jobs.Locations(scratch_path(spark, "monitoring"))
+    base = daily(spark, sf_dir, F.col("l_linenumber").cast("bigint"))
+    sinks.write_features(base, places.features)
+    sinks.write_table(seasonal_naive(base, 7), places.predictions)
+    return jobs.run_monitoring(spark, places, newest(base) + F.expr("INTERVAL 5 HOURS"), days=400)
+
+
 @query(
     "b7_prediction_history",
     f"""WITH {HOURLY}, n AS (SELECT sub_region_code, date,
