@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hourline import jobs, schema, sinks, sources, streaming
+from hourline import jobs, plans, schema, sinks, sources, streaming
 from hourline.catalog.common import DAILY, HOURLY, WEATHER, daily, hourly, mean_of, query, table, weather
 from hourline.functions import iso_string
 from hourline.operators.clean import fallback, newest
@@ -448,6 +448,31 @@ def stream_upsert(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("b4_feature_store", f"WITH {HOURLY}, {DOUBLED} SELECT *, date_trunc('day', date)::TIMESTAMP AS day FROM merged")
+def feature_store(spark, sf_dir):
+    """All hours go into a store by day and bucket, then the last five days arrive again with doubled values."""
+    path = scratch_path(spark, "store")
+    base = hourly(spark, sf_dir)
+    sinks.write_store(base, path)
+    fresh = base.where(F.col("date") >= newest(base) - F.expr("INTERVAL 5 DAYS")).withColumn("demand", F.col("demand") * 2)
+    return sinks.upsert_store(fresh, path)
+
+
+@query(
+    "e2_stored_actuals",
+    f"""WITH {HOURLY}, n AS (SELECT *, lag(demand, 24) OVER (PARTITION BY sub_region_code ORDER BY date) AS predicted_demand FROM hourly)
+    SELECT sub_region_code, predicted_demand, date, demand FROM n WHERE predicted_demand IS NOT NULL
+      AND date BETWEEN date_trunc('day', (SELECT max(date) FROM hourly)) - INTERVAL 12 DAY AND date_trunc('day', (SELECT max(date) FROM hourly))""",
+)
+def stored_actuals(spark, sf_dir):
+    """Predictions and actuals from two stores of the same buckets: no side is shuffled, only the days of the range are read."""
+    actuals, predictions = scratch_path(spark, "actuals"), scratch_path(spark, "predictions")
+    base = hourly(spark, sf_dir)
+    stored = sinks.write_store(base, actuals)
+    predicted = sinks.write_store(seasonal_naive(base, 24), predictions, buckets=sinks.store_buckets(spark, actuals))
+    return plans.monitor(predicted, stored, newest(base), days=12)
+
+
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hourline import plans, schema, sinks, sources, streaming
 from hourline.functions import parse_utc
@@ -45,13 +46,15 @@ def run_features(
     expected: dict[str, str] | None = None,
     valid_only: bool = False,
     as_of: Column | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """``demand`` (landed envelopes by day) and ``weather`` → ``processed``, ``validation_status``, ``features``, ``rejects``
     and ``bad_documents``, the landed documents that could not be read.
 
     Weather is a CSV, or the blocks of two providers, ``weather_archive`` and ``weather_forecast``, where those are there.
     Where there is a source of envelopes, ``arrivals``, the days of the range that have not landed or are not settled at
-    ``as_of`` are landed from it first.
+    ``as_of`` are landed from it first. With ``store`` the days built are also put into ``feature_store``, by zone and time,
+    where they replace what lay there; days not built stay.
     """
     use_utc(spark)
     as_of = F.current_timestamp() if as_of is None else as_of
@@ -70,6 +73,8 @@ def run_features(
     good, bad = split_rejects(plans.feature_table(processed, encoder, holiday_mode), [schema.KEY, schema.TIME])
     sinks.write_features(good, at.features)
     sinks.write_table(bad, at.rejects)
+    if store:
+        sinks.write_store(sources.read_table(spark, at.features, schema.FEATURES_DDL), at.feature_store)
     return sources.read_table(spark, at.features, schema.FEATURES_DDL)
 
 
@@ -167,7 +172,8 @@ def run_inference(
     spark: SparkSession, at: Locations, as_of: Column | None = None, seq_len: int | None = None, keep_history: bool = True
 ) -> DataFrame:
     """``features``, ``model`` and the window options stored with it → ``predictions``, kept by key and day or, without history, overwritten, and
-    ``prediction_rejects``, the zones whose history is too short.
+    ``prediction_rejects``, the zones whose history is too short. Where there is a ``feature_store``, the predictions are also kept in
+    ``prediction_store``, in as many buckets.
 
     Windows have the length the model was trained on; a ``seq_len`` that differs from it is refused."""
     use_utc(spark)
@@ -186,14 +192,20 @@ def run_inference(
         sinks.keep_predictions(predicted, at.predictions)
     else:
         sinks.write_table(predicted, at.predictions)
+    if keep_history and sinks.store_exists(spark, at.feature_store):
+        made = predicted.select(*StructType.fromDDL(schema.PREDICTIONS_DDL).names)
+        sinks.upsert_store(made, at.prediction_store, buckets=sinks.store_buckets(spark, at.feature_store))
     return sources.read_table(spark, at.predictions, schema.PREDICTIONS_DDL)
 
 
 def run_monitoring(spark: SparkSession, at: Locations, as_of: Column | None = None, days: int = 1) -> DataFrame:
-    """``predictions`` and ``features`` → ``monitoring``."""
+    """``predictions`` and ``features`` → ``monitoring``; from ``prediction_store`` and ``feature_store`` where both are there."""
     use_utc(spark)
-    predictions = sources.read_table(spark, at.predictions, schema.PREDICTIONS_DDL, what="Predictions")
-    features = sources.read_table(spark, at.features, schema.FEATURES_DDL, what="Actuals")
+    if sinks.store_exists(spark, at.prediction_store) and sinks.store_exists(spark, at.feature_store):
+        predictions, features = sinks.open_store(spark, at.prediction_store), sinks.open_store(spark, at.feature_store)
+    else:
+        predictions = sources.read_table(spark, at.predictions, schema.PREDICTIONS_DDL, what="Predictions")
+        features = sources.read_table(spark, at.features, schema.FEATURES_DDL, what="Actuals")
     joined = plans.monitor(predictions, features, F.current_timestamp() if as_of is None else as_of, days)
     sinks.write_table(joined.orderBy(schema.KEY, schema.TIME), at.monitoring)
     return sources.read_table(spark, at.monitoring, schema.MONITORING_DDL)

@@ -27,13 +27,16 @@ from hourline.sinks import write_daily
 def monitor(predictions: DataFrame, features: DataFrame, as_of: Column, days: int = 1) -> DataFrame:
     """Predictions joined to actuals between the start of yesterday and the start of today, both ends included.
 
-    Both sides are cut to the range before they are shuffled.
+    Both sides are cut to the range before they are shuffled; two stores of the same buckets (``sinks.write_store``) are not
+    shuffled at all, and only the days of the range are opened.
     """
     today = F.date_trunc("day", as_of)
     start = today - F.make_dt_interval(F.lit(days))
     in_range = F.col(schema.TIME).between(start, today)
-    if "day" in predictions.columns:  # stored by day: only the days of the range are opened
-        predictions = predictions.where(F.col("day").between(F.to_date(start), F.to_date(today)))
+    predictions, features = (
+        side.where(F.col("day").between(F.to_date(start), F.to_date(today))) if "day" in side.columns else side
+        for side in (predictions, features)
+    )
     joined = predictions_vs_actuals(
         predictions.where(in_range).select(schema.KEY, "predicted_demand", schema.TIME), features.where(in_range)
     )

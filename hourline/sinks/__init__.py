@@ -1,5 +1,6 @@
 """Writers; every one of them can be repeated without leaving duplicates behind."""
 
+from hourline.sinks.store import open_store, store_buckets, store_exists, upsert_store, write_store
 from hourline.sinks.tables import (
     keep_predictions,
     append_runs,
@@ -15,6 +16,11 @@ from hourline.sinks.tables import (
 
 __all__ = [
     "keep_predictions",
+    "open_store",
+    "store_buckets",
+    "store_exists",
+    "upsert_store",
+    "write_store",
     "append_runs",
     "refresh_landed",
     "run_row",

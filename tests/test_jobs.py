@@ -1,10 +1,11 @@
 import math
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from hourline import jobs, schema, sinks, sources
-from tests.helpers import hours
+from hourline import jobs, plans, schema, sinks, sources
+from tests.helpers import hours, values
 
 N = 24 * 45
 
@@ -76,5 +77,25 @@ def test_inference_windows_like_the_training(spark, at):
     assert predicted.count() == 2
 
 
+def test_monitoring_from_stores(spark, at, tmp_path):
+    """The stored tables and the plain ones give the same rows; a job that runs again leaves the same stores."""
+    landed, at = at, jobs.Locations(str(tmp_path))
+    shutil.copytree(landed.demand, at.demand)
+    shutil.copytree(landed.weather, at.weather)
+    for _ in range(2):
+        jobs.run_features(spark, at, store=True)
+    assert sinks.open_store(spark, at.feature_store).count() == 2 * N
+    grids = {"XGBoost": {"n_estimators": [1], "max_depth": [1]}}
+    jobs.run_training(spark, at, 28, 5, holdout_days=10, drift_days=(40, 10, 9), folds=2, grids=grids, season=7)
+    for hour in ("2025-02-13 05:10:00", "2025-02-13 06:10:00", "2025-02-13 06:10:00"):
+        jobs.run_inference(spark, at, F.lit(hour).cast("timestamp"))
+    stored = sinks.open_store(spark, at.prediction_store)
+    assert stored.count() == 4 and stored.columns == ["sub_region_code", "predicted_demand", "date", "day"]
+    columns = ("sub_region_code", "date", "demand", "predicted_demand")
+    got = values(jobs.run_monitoring(spark, at, F.lit("2025-02-14 03:00:00").cast("timestamp")), *columns)
+    plain = plans.monitor(stored.drop("day"), sources.read_table(spark, at.features, schema.FEATURES_DDL), F.lit("2025-02-14 03:00:00").cast("timestamp"))
+    assert len(got) == 4 and got == values(plain, *columns)
+
+
 def test_landing_range(spark, at):
     assert sources.landed_demand(spark, at.demand, "2025-01-02", "2025-01-03").count() == 2 * 48
