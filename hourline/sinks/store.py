@@ -3,6 +3,7 @@
 Files lie in ``day=…`` folders, one for each bucket of a day. Two stores with the same keys and number of buckets join
 without a shuffle of either, and a range of days opens the files of those days alone. Buckets of (zone, time) are even
 however many rows one zone holds; buckets of the zone alone also serve groups by zone, and suit many zones of like size.
+Each day costs a folder and a catalog entry, so a store is for days of many rows.
 """
 
 from __future__ import annotations
@@ -82,8 +83,8 @@ def write_store(
     """Put rows into a store, replacing exactly the days that occur in ``df``, and read the store.
 
     The first call fixes keys and columns, and the buckets: as many as the largest day needs at ``bucket_rows`` rows
-    each, a power of two. Later calls follow them. Rows without a time lie in a day of their own. The columns must be those of the first call,
-    in any order; a column named ``day`` is refused.
+    each, a power of two. Later calls follow them. Rows without a time lie in a day of their own, repeated rows and null keys
+    stay. The columns must be those of the first call, in any order; a column named ``day`` is refused.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     if DAY in (c.lower() for c in df.columns):
