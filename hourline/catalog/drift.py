@@ -7,9 +7,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from hourline.catalog.common import FEATURES, features, query, table
-from hourline.operators import drift
+from hourline.operators import drift, sketches
 from hourline.operators.ordered import quantiles
-from hourline.plans import detect_drift, roll_drift
+from hourline.plans import detect_drift, roll_drift, roll_summary
 from hourline.session import scratch_path, stage
 
 COLUMNS = ["demand", "temperature_2m", "hour", "day_of_week", "month", "is_weekend", "is_holiday"]
@@ -236,6 +236,44 @@ def quantiles_sliced(spark, sf_dir):
     return quantiles(counts, "x", "n", [0.25, 0.5, 0.75]).withColumn("quantile", F.round("quantile", 6))
 
 
+SKETCHED = ["l_extendedprice", "l_quantity"]
+
+
+@query(
+    "f10_sketched_summary",
+    """WITH m AS (SELECT CAST(max(l_shipdate) AS DATE) AS last FROM lineitem),
+    labelled AS (SELECT CASE WHEN last - CAST(l_shipdate AS DATE) >= 30 THEN 'ref' ELSE 'cur' END AS period, l_extendedprice, l_quantity
+      FROM lineitem, m),
+    long AS ("""
+    + " UNION ALL ".join(f"""SELECT period, '{c}' AS "column", CAST({c} AS DOUBLE) AS x FROM labelled""" for c in SKETCHED)
+    + """)
+    SELECT period, "column", count(x) AS n_values, count(*) - count(x) AS n_missing, min(x) AS min, max(x) AS max, round(avg(x), 4) AS mean,
+      round(stddev_samp(x), 4) AS stddev, true AS quartiles_within, true AS distinct_within FROM long GROUP BY 1, 2""",
+)
+def sketched_summary(spark, sf_dir):
+    """Prices and quantities by ship day: all but the newest day kept as sketches, then the newest day added.
+
+    The estimates are held against the exact ranks and counts: quartiles within twice the stated rank error, numbers of
+    different values within four standard errors.
+    """
+    items = table(spark, sf_dir, "lineitem").select("l_shipdate", *SKETCHED)
+    last = items.agg(F.to_date(F.max("l_shipdate"))).first()[0]
+    newest_day = F.to_date("l_shipdate") == F.lit(last)
+    root, span = scratch_path(spark, "sketches"), {"time": "l_shipdate", "reference_days": 20_000}
+    roll_summary(spark, items.where(~newest_day), SKETCHED, root, str(last - timedelta(days=1)), **span)
+    found = stage(roll_summary(spark, items.where(newest_day), SKETCHED, root, str(last), **span), "sketched-summary")
+    labelled = items.withColumn("period", drift.period_of(F.to_date("l_shipdate"), str(last), 20_000, 30, 29))
+    gaps = sketches.rank_gaps(found, labelled, SKETCHED).groupBy("period", "column").agg(F.max("gap").alias("gap"))
+    long = labelled.unpivot("period", [F.col(c).cast("double").alias(c) for c in SKETCHED], "column", "x")
+    exact = long.groupBy("period", "column").agg(F.countDistinct("x").alias("exact"))
+    checked = found.join(gaps, ["period", "column"], "left").join(exact, ["period", "column"])
+    return checked.select(
+        "period", "column", "n_values", "n_missing", "min", "max", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+        (F.col("gap") <= 2 * sketches.rank_error()).alias("quartiles_within"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 4 * sketches.distinct_error() * F.col("exact") + 1).alias("distinct_within"),
+    )
+
+
 @query(
     "b9_drift_document",
     f"""WITH {REPORT} SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE score >= 0.1) AS number_of_drifted_columns FROM report""",

@@ -91,7 +91,7 @@ def daily_counts(df: DataFrame, columns: list[str], time: str = schema.TIME, kin
     return long.where(usable).groupBy("day", "column", "x").agg(F.count("*").alias("n"))
 
 
-def _period_of(day: Column, last: str, reference_days: int, gap_days: int, current_days: int) -> Column:
+def period_of(day: Column, last: str, reference_days: int, gap_days: int, current_days: int) -> Column:
     age = F.date_diff(F.lit(last).cast("date"), day)
     return F.when(age.between(gap_days, reference_days), "ref").when(age.between(0, current_days), "cur")
 
@@ -99,7 +99,7 @@ def _period_of(day: Column, last: str, reference_days: int, gap_days: int, curre
 def period_counts(daily: DataFrame, last: str, reference_days: int = 365, gap_days: int = 30, current_days: int = 29) -> DataFrame:
     """(column, x, n_ref, n_cur) of the two periods that end with the day ``last``, summed over daily counts."""
     in_range = F.col("day").between(F.date_sub(F.lit(last).cast("date"), reference_days), F.lit(last).cast("date"))
-    return _signed(daily.where(in_range), _period_of(F.col("day"), last, reference_days, gap_days, current_days), F.lit(None))
+    return _signed(daily.where(in_range), period_of(F.col("day"), last, reference_days, gap_days, current_days), F.lit(None))
 
 
 def roll_counts(
@@ -107,7 +107,7 @@ def roll_counts(
 ) -> DataFrame:
     """The period counts that end with ``last``, from those that ended with ``before``: days that enter a period are added,
     days that leave it taken off. Only those days' counts are read, as many at each end of a period as it moved on by."""
-    old, new = (_period_of(F.col("day"), d, reference_days, gap_days, current_days) for d in (before, last))
+    old, new = (period_of(F.col("day"), d, reference_days, gap_days, current_days) for d in (before, last))
     # The days that changed, as ranges that reach the scan: at each end of a period those it moved over, either way.
     moved = lambda n, by: F.col("day").between(F.date_sub(F.least(a, b), n + by), F.date_sub(F.greatest(a, b), n))
     a, b = F.lit(before).cast("date"), F.lit(last).cast("date")

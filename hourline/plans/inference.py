@@ -29,8 +29,13 @@ def prediction_inputs(
     """
     hour = F.date_trunc("hour", as_of)
     recent = as_of_range_or_tail(features, hour, lookback_days, tail=seq_len)
-    latest = latest_windows(recent, seq_len, covariates=covariates, **clock).withColumnRenamed(schema.TIME, "feature_time")
-    stamped = stage(latest.withColumn(schema.TIME, hour), "latest-windows")  # one row per zone, read twice
+    return vector_inputs(latest_windows(recent, seq_len, covariates=covariates, **clock), as_of, seq_len)
+
+
+def vector_inputs(latest: DataFrame, as_of: Column, seq_len: int = schema.SEQ_LEN) -> tuple[DataFrame, DataFrame]:
+    """The same from latest vectors, such as a stream keeps (``streaming.read_latest``), whatever their age."""
+    renamed = latest.withColumnRenamed(schema.TIME, "feature_time")
+    stamped = stage(renamed.withColumn(schema.TIME, F.date_trunc("hour", as_of)), "latest-windows")  # one row per zone, read twice
     return stamped.where(F.col("n_lags") >= seq_len), stamped.where(F.col("n_lags") < seq_len)
 
 

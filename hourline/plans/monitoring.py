@@ -20,6 +20,7 @@ from hourline.operators.drift import (
 )
 from hourline.operators.joins import predictions_vs_actuals
 from hourline.operators.metrics import regression_metrics
+from hourline.operators.sketches import daily_sketches, period_sketches, sketched_summary
 from hourline.session import stage
 from hourline.sinks import write_daily
 
@@ -86,6 +87,26 @@ def roll_drift(
     return counts_report(counts, tests=tests)
 
 
+def roll_summary(
+    spark: SparkSession,
+    fresh: DataFrame,
+    columns: list[str],
+    root: str,
+    last: str,
+    time: str = schema.TIME,
+    reference_days: int = 365,
+    gap_days: int = 30,
+    current_days: int = 29,
+) -> DataFrame:
+    """Column summaries of the periods that end with the day ``last``, from sketches of days kept below ``root``.
+
+    ``fresh`` are the whole days that are new or have changed since the last call; no other row is read.
+    """
+    path = f"{root}/sketches"
+    write_daily(daily_sketches(fresh, columns, time), path)
+    return sketched_summary(period_sketches(spark.read.parquet(path), last, reference_days, gap_days, current_days))
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

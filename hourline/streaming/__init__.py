@@ -11,6 +11,7 @@ from hourline.streaming.intake import (
     match_predictions,
     read_stream,
 )
+from hourline.streaming.latest import keep_latest, latest_vectors, latest_writer, read_latest, trim_recent
 
 __all__ = [
     "batch_is_kept",
@@ -19,7 +20,12 @@ __all__ = [
     "enrich_stream",
     "hourly_totals",
     "keep_keyed",
+    "keep_latest",
     "keyed_writer",
+    "latest_vectors",
+    "latest_writer",
     "match_predictions",
+    "read_latest",
     "read_stream",
+    "trim_recent",
 ]
