@@ -100,10 +100,17 @@ def roll_summary(
 ) -> DataFrame:
     """Column summaries of the periods that end with the day ``last``, from sketches of days kept below ``root``.
 
-    ``fresh`` are the whole days that are new or have changed since the last call; no other row is read.
+    ``fresh`` are the whole days that are new or have changed since the last call; no other row is read. A day is one row
+    per column, so days lie in folders by month, and the months that change are written anew.
     """
     path = f"{root}/sketches"
-    write_daily(daily_sketches(fresh, columns, time), path)
+    rows = stage(daily_sketches(fresh, columns, time).withColumn("month", F.trunc("day", "month")), "fresh-sketches")
+    known = _stored(spark, path)
+    if known is not None:
+        # One row per month and per day that changes.
+        months, days = (F.broadcast(rows.select(c).distinct()) for c in ("month", "day"))
+        rows = stage(rows.unionByName(known.join(months, "month", "left_semi").join(days, "day", "left_anti")), "changed-months")
+    write_daily(rows, path, "month")
     return sketched_summary(period_sketches(spark.read.parquet(path), last, reference_days, gap_days, current_days))
 
 
