@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from hourline import jobs, plans, schema, sinks, sources, streaming
 from hourline.catalog.common import DAILY, HOURLY, WEATHER, daily, hourly, mean_of, query, table, weather
 from hourline.catalog.series import flat as array_scalars
-from hourline.functions import iso_string
+from hourline.functions import iso_string, naive
 from hourline.operators.clean import fallback, newest
 from hourline.operators.joins import with_zone_names
 from hourline.operators.metrics import regression_metrics
-from hourline.operators.quality import quality_report, validation_status
+from hourline.operators.quality import quality_report, require_valid, validation_status
 from hourline.operators.windows import seasonal_naive
 from hourline.session import scratch_path
 
@@ -409,6 +409,88 @@ def run_log(spark, sf_dir):
     return log.select("run", "step", F.col("params.lag").alias("lag"), F.round("metrics.rmse", 3).alias("rmse"))
 
 
+@query(
+    "b11_repeated_run",
+    f"""WITH {NAIVE}, g AS (SELECT sub_region_code, demand - predicted_demand AS off FROM pairs)
+    SELECT run_id, 'seasonal-naive' AS run, sub_region_code AS step, round(sqrt(avg(off ** 2)), 3) AS rmse
+    FROM g, (VALUES ('first'), ('second')) v(run_id) GROUP BY 1, 3""",
+)
+def repeated_run(spark, sf_dir):
+    """Two runs of the same name; the first stopped after a part of its rows and was then repeated in full."""
+    base = daily(spark, sf_dir)
+    path = scratch_path(spark, "logged-runs")
+    scored = base.join(seasonal_naive(base, 7), ["sub_region_code", "date"])
+    rows = regression_metrics(scored, "demand", "predicted_demand", ["sub_region_code"]).select(
+        F.lit("seasonal-naive").alias("run"),
+        F.col("sub_region_code").alias("step"),
+        F.create_map(F.lit("lag"), F.lit("7")).alias("params"),
+        F.create_map(F.lit("rmse"), F.col("rmse")).alias("metrics"),
+        F.current_timestamp().alias("logged_at"),
+    )
+    sinks.log_runs(rows.where("step <> 'R'"), path, "first")
+    for run_id in ("second", "first"):
+        sinks.log_runs(rows, path, run_id)
+    log = spark.read.schema(schema.RUNS_DDL).parquet(path)
+    return log.select("run_id", "run", "step", F.round("metrics.rmse", 3).alias("rmse"))
+
+
+@query(
+    "b6_metrics_whole",
+    f"""WITH {NAIVE}, e AS (SELECT demand, demand - predicted_demand AS off FROM pairs),
+    m AS (SELECT avg(off ** 2) AS mse, avg(abs(off)) AS mae, avg(abs(off) / greatest(abs(demand), 2.220446049250313e-16)) * 100 AS mape,
+      1 - sum(off ** 2) / (var_pop(demand) * count(*)) AS r2, count(*) AS n FROM e)
+    SELECT round(mse, 3) AS mse, round(mae, 3) AS mae, round(mape, 3) AS mape, round(sqrt(mse), 3) AS rmse, round(r2, 5) AS r2_score,
+      round({schema.BASELINE_MAPE}::DOUBLE, 3) AS baseline_mape,
+      round(({schema.BASELINE_MAPE} - mape) / {schema.BASELINE_MAPE} * 100, 3) AS forecast_improvement_percent, n AS n_samples FROM m""",
+)
+def metrics_whole(spark, sf_dir):
+    """Every key of the written document."""
+    base = daily(spark, sf_dir)
+    path = scratch_path(spark, "metrics")
+    scored = base.join(seasonal_naive(base, 7), ["sub_region_code", "date"])
+    sinks.write_document(regression_metrics(scored, "demand", "predicted_demand"), path)
+    read = sources.read_document(spark, path, schema.METRICS_DDL)
+    places = {"n_samples": 0, "r2_score": 5}
+    return read.select(*[F.round(c, places.get(c, 3)).alias(c) for c in read.columns])
+
+
+GATED = {"documents": "lang", "events": "value", "orders": "o_totalprice", "embeddings": "label"}
+
+
+@query(
+    "q6_status_gate",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS tbl, CASE WHEN avg(CAST({c} IS NULL AS INTEGER)) > 0.05 THEN 'refused' ELSE 'kept' END AS outcome FROM {t}"
+        for t, c in GATED.items()
+    ),
+)
+def status_gate(spark, sf_dir):
+    """Which tables pass the gate that stops a build when a column misses more than 5 % of its values."""
+    outcomes = []
+    for name, column in GATED.items():
+        df = table(spark, sf_dir, name)
+        try:
+            require_valid(df, validation_status(quality_report(df, columns=[column])))
+            outcomes.append((name, "kept"))
+        except ValueError:
+            outcomes.append((name, "refused"))
+    return spark.createDataFrame(outcomes, "tbl string, outcome string")
+
+
+@query(
+    "j12_strip_zone",
+    """SELECT hour(CAST(ts AS TIMESTAMP)) AS wall_hour, 'timestamp_ntz' AS kind, count(*) AS n, min(CAST(ts AS TIMESTAMP)) AS first
+    FROM events GROUP BY 1""",
+)
+def strip_zone(spark, sf_dir):
+    """The UTC wall clock stays as it is when the zone goes."""
+    stripped = table(spark, sf_dir, "events").select(naive(F.col("ts")).alias("wall"))
+    kind = dict(stripped.dtypes)["wall"]
+    return stripped.groupBy(F.hour("wall").cast("long").alias("wall_hour")).agg(
+        F.lit(kind).alias("kind"), F.count("*").alias("n"), F.min("wall").alias("first")
+    )
+
+
 @query(
     "b12_keyed_upsert",
     f"""WITH {HOURLY}, fresh AS (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hourline.catalog.common import DAILY, daily, query, table
 from hourline.catalog.cleaning import ZONE_LIST
 from hourline.functions import color_scale, exact_sum
-from hourline.operators import present
+from hourline.operators import present, profile
 from hourline.operators.clean import newest
 from hourline.operators.joins import predictions_vs_actuals
 from hourline.operators.metrics import regression_cube, regression_metrics
@@ -80,12 +80,12 @@ def improvement(spark, sf_dir):
 
 @query("f2_date_bounds", f"WITH {DAILY} SELECT min(date) AS first, max(date) AS last FROM daily")
 def date_bounds(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    return profile.date_bounds(table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
 @query("f3_distinct_zones", "SELECT DISTINCT event_type AS sub_region_code FROM events")
 def distinct_zones(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("sub_region_code")).distinct()
+    return profile.distinct_keys(table(spark, sf_dir, "events").withColumnRenamed("event_type", "sub_region_code"))
 
 
 @query(
@@ -94,14 +94,18 @@ def distinct_zones(spark, sf_dir):
       count(DISTINCT event_type) AS n_zones FROM events""",
 )
 def table_profile(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return events.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.lit(len(events.columns)).alias("n_columns"),
-        F.min("ts").alias("first"),
-        F.max("ts").alias("last"),
-        F.count_distinct("event_type").alias("n_zones"),
-    )
+    return profile.table_profile(table(spark, sf_dir, "events"), "event_type", "ts")
+
+
+@query(
+    "f9_profile_by_month",
+    """SELECT CAST(date_trunc('month', ts) AS TIMESTAMP) AS month, count(*) AS n_rows, CAST(6 AS INTEGER) AS n_columns, min(ts) AS first,
+      max(ts) AS last, count(DISTINCT user_id) AS n_zones FROM events GROUP BY 1""",
+)
+def profile_by_month(spark, sf_dir):
+    """Each month's rows and users."""
+    months = profile.table_profile(table(spark, sf_dir, "events"), "user_id", "ts", by=[F.date_trunc("month", "ts")])
+    return months.withColumnRenamed("_by0", "month")
 
 
 @query(
@@ -149,7 +153,7 @@ def topk(spark, sf_dir):
     f"WITH {DAILY} SELECT sub_region_code, date, demand FROM daily ORDER BY sub_region_code, date",
 )
 def zone_date_order(spark, sf_dir):
-    return daily(spark, sf_dir).orderBy("sub_region_code", "date")
+    return profile.by_series(daily(spark, sf_dir))
 
 
 @query(

@@ -7,6 +7,7 @@ own, and can run again.
 from __future__ import annotations
 
 import argparse
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,9 +133,15 @@ def run_training(
     step: int = schema.STEP_SIZE,
     holdout_days: int = 90,
     drift_days: tuple[int, int, int] = (365, 30, 29),
+    run_id: str | None = None,
     **search,
 ) -> dict:
-    """``features`` → ``model``, ``model_options``, ``metrics``, ``runs``, ``drift_report``; returns the winner and the drift verdict."""
+    """``features`` → ``model``, ``model_options``, ``metrics``, ``runs``, ``drift_report``; returns the winner and the drift verdict.
+
+    A job that is started again after a failure with the ``run_id`` it had replaces its rows of ``runs``; without one every
+    call is a run of its own.
+    """
+    run_id = run_id or uuid.uuid4().hex
     use_utc(spark)
     features = stored_features(spark, at)
     model, scores, best = plans.train(features, seq_len, step, holdout_days=holdout_days, **search)
@@ -142,7 +149,7 @@ def run_training(
     windowing = {k: v for k, v in search.items() if k in WINDOW_OPTIONS}
     options = (windowing.get("covariates"), windowing.get("lag_mode"), windowing.get("grain_seconds"), seq_len)
     sinks.write_document(spark.createDataFrame([options], schema.MODEL_OPTIONS_DDL), at.model_options)
-    sinks.append_runs(
+    sinks.log_runs(
         best_per_family(scores).select(
             F.lit("tuning").alias("run"),
             F.col("family").alias("step"),
@@ -151,10 +158,11 @@ def run_training(
             F.current_timestamp().alias("logged_at"),
         ),
         at.runs,
+        run_id,
     )
     now = F.current_timestamp()
-    sinks.append_runs(
-        sinks.run_row(spark, "training", best["model_name"], best["params"], {"best_cv_rmse": best["score"]}, now), at.runs
+    sinks.log_runs(
+        sinks.run_row(spark, "training", best["model_name"], best["params"], {"best_cv_rmse": best["score"]}, now), at.runs, run_id
     )
     # The holdout is windowed as the training was.
     metrics = plans.evaluate(features, model, seq_len, step, holdout_days, **windowing)
@@ -162,7 +170,7 @@ def run_training(
     row = sources.read_document(spark, at.metrics, schema.METRICS_DDL).first().asDict()
     logged = {f"val_{k}": row[k] for k in ("mse", "mae", "mape", "rmse", "r2_score")}
     logged["forecast_improvement_percent"] = row["forecast_improvement_percent"]
-    sinks.append_runs(sinks.run_row(spark, "evaluation", best["model_name"], {}, logged, now), at.runs)
+    sinks.log_runs(sinks.run_row(spark, "evaluation", best["model_name"], {}, logged, now), at.runs, run_id)
     drifted, _, document = plans.detect_drift(features, *drift_days)
     sinks.write_document(document, at.drift_report)
     return {**best, "metrics": row, "drift_detected": drifted}

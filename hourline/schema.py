@@ -35,7 +35,7 @@ METRICS_DDL = (
     "forecast_improvement_percent double, n_samples bigint"
 )
 STATUS_DDL = "validation_status boolean"
-RUNS_DDL = "run string, step string, params map<string,string>, metrics map<string,double>, logged_at timestamp"
+RUNS_DDL = "run string, step string, params map<string,string>, metrics map<string,double>, logged_at timestamp, run_id string"
 
 FEATURE_COLUMNS = ["date", "demand", "sub_region_code", *COVARIATES]
 

@@ -3,6 +3,7 @@
 from hourline.sinks.store import open_store, store_buckets, store_exists, upsert_store, write_store
 from hourline.sinks.tables import (
     keep_predictions,
+    log_runs,
     append_runs,
     refresh_landed,
     run_row,
@@ -16,6 +17,7 @@ from hourline.sinks.tables import (
 
 __all__ = [
     "keep_predictions",
+    "log_runs",
     "open_store",
     "store_buckets",
     "store_exists",

@@ -100,6 +100,15 @@ def append_runs(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def log_runs(rows: DataFrame, path: str, run_id: str) -> None:
+    """Log the rows of a run under its id; a run that is repeated with its id replaces what it logged before.
+
+    Steps of one name are replaced together, so they are given in one call. Every (id, run) lies in a folder of its own.
+    """
+    marked = rows.withColumn("run_id", F.lit(run_id))
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "run").parquet(path)
+
+
 def upsert_keyed(new: DataFrame, path: str, keys: list[str], event_time: str = schema.TIME) -> DataFrame:
     """Merge rows into a keyed table partitioned by day of the event time; the newer version of a key wins.
 

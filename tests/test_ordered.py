@@ -27,7 +27,7 @@ def test_dense_series_get_narrow_slots(spark, monkeypatch):
     assert width == 90 * 86400 * 1_000_000 * 100 // 1500
 
 
-@pytest.mark.parametrize("splits", [1, 2, 7, 64])
+@pytest.mark.parametrize("splits", [1, 2, 7, 64, ordered.MAX_SPLITS])
 def test_running_totals(spark, splits):
     df = spark.range(500).select((F.col("id") * 7919 % 500).alias("x"), (F.col("id") % 11).alias("n"))
     got = ordered.running_totals(df, "x", ["n"], following="nx", splits=splits).toPandas().sort_values("x")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourline import schema, session, sinks, sources
+from hourline.operators import profile
 from tests.helpers import at, hours, series, values
 
 RECORDS = "day date, period string, subba string, value string"
@@ -148,6 +149,33 @@ def test_run_log(spark, tmp_path):
     ]
 
 
+def test_a_repeated_run_replaces_its_rows(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    log = lambda run, step, score, run_id: sinks.log_runs(
+        sinks.run_row(spark, run, step, {}, {"rmse": score}, F.current_timestamp()), path, run_id
+    )
+    log("tuning", "a", 1.0, "7")
+    log("training", "a", 2.0, "7")
+    log("tuning", "a", 3.0, "8")
+    log("tuning", "b", 4.0, "7")
+    got = spark.read.schema(schema.RUNS_DDL).parquet(path).select("run_id", "run", "step", F.col("metrics.rmse").alias("rmse"))
+    assert values(got, *got.columns) == [("7", "training", "a", 2.0), ("7", "tuning", "b", 4.0), ("8", "tuning", "a", 3.0)]
+
+
+def test_profile(spark):
+    t = hours("2025-01-31T22:00:00", 4)
+    df = spark.createDataFrame([(0, t[0]), (0, t[1]), (1, t[2]), (1, t[2]), (None, t[3]), (2, None)], "sub_region_code bigint, date timestamp")
+    row = profile.table_profile(df).select("n_rows", "n_columns", "n_zones", F.col("first").cast("string"), F.col("last").cast("string")).first()
+    assert tuple(row) == (6, 2, 3, "2025-01-31 22:00:00", "2025-02-01 01:00:00")
+    months = profile.table_profile(df, by=[F.month("date")])
+    assert values(months, "_by0", "n_rows", "n_zones") == sorted([(1, 2, 1), (2, 3, 1), (None, 1, 1)], key=repr)
+    none = df.limit(0)
+    assert tuple(profile.table_profile(none).first()) == (0, 2, None, None, 0)
+    assert tuple(profile.date_bounds(none).first()) == (None, None) and profile.distinct_keys(none).count() == 0
+    assert values(profile.distinct_keys(df), "sub_region_code") == sorted([(0,), (1,), (2,), (None,)], key=repr)
+    assert [r[0] for r in profile.by_series(df).collect()] == [None, 0, 0, 1, 1, 2]
+
+
 def test_upsert(spark, tmp_path):
     path, ddl = str(tmp_path / "k"), "sub_region_code bigint, date timestamp, demand double"
     t = hours("2025-01-01", 30)
