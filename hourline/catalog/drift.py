@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from hourline import sinks, sources
 from hourline.catalog.common import FEATURES, features, query, table
 from hourline.operators import drift, sketches
 from hourline.operators.ordered import quantiles
@@ -279,15 +280,38 @@ def sketched_summary(spark, sf_dir):
     f"""WITH {REPORT} SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE score >= 0.1) AS number_of_drifted_columns FROM report""",
 )
 def drift_document(spark, sf_dir):
-    from hourline import sinks, sources
-    from hourline.session import scratch_path
+    return _written_document(spark, sf_dir).select("number_of_columns", "number_of_drifted_columns")
 
+
+@query(
+    "b9_document_columns",
+    f"""WITH {REPORT} SELECT "column", method, round(score, 6) AS score, 0.1::DOUBLE AS threshold, score >= 0.1 AS drifted FROM report""",
+)
+def document_columns(spark, sf_dir):
+    """Every column's entry as the written document holds it."""
+    found = _written_document(spark, sf_dir).select(F.inline("columns"))
+    return found.select("column", "method", F.round("score", 6).alias("score"), "threshold", "drifted")
+
+
+@query(
+    "b9_document_summary",
+    f"""WITH {PERIODS}, s AS ({SUMMARY}), c AS (SELECT period, demand, count(*) AS n FROM labelled GROUP BY 1, 2),
+    t AS (SELECT period, demand AS most_common, n AS most_common_count FROM c
+          QUALIFY row_number() OVER (PARTITION BY period ORDER BY n DESC, demand) = 1)
+    SELECT * FROM s JOIN t USING (period)""",
+)
+def document_summary(spark, sf_dir):
+    """The summary of both periods as the written document holds it."""
+    found = _written_document(spark, sf_dir).select(F.inline("summary"))
+    return found.withColumns({c: F.round(c, 6) for c in ("p25", "p50", "p75", "mean", "stddev")})
+
+
+def _written_document(spark, sf_dir):
     path = scratch_path(spark, "drift")
     labelled_rows = labelled(spark, sf_dir)
     full = stage(drift.drift_report(labelled_rows.drop("sub_region_code", "date"), tests="distance"), "drift-report")
     sinks.write_document(drift.drift_document(full, drift.column_summary(labelled_rows, "demand")), path)
-    doc = sources.read_document(spark, path)
-    return doc.select("number_of_columns", "number_of_drifted_columns")
+    return sources.read_document(spark, path)
 
 
 @query("drift_run", f"""WITH {full_report("1000")} SELECT "column", method, statistic, drifted, n_ref, n_cur FROM full_report""")
