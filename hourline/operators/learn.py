@@ -89,7 +89,7 @@ class LagVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 def regressor(model_type: str, **params) -> GBTRegressor:
     """A boosted-tree regressor under the parameter names of either family."""
     if model_type not in DEFAULTS:
-        raise ValueError("model_type must be 'LightGBM' or 'XGBoost'")
+        raise ValueError(f"{schema.MODEL_TYPE} one of {sorted(DEFAULTS)}")
     merged = {**DEFAULTS[model_type], **params}
     leaves = merged.pop("num_leaves", None)
     if leaves:

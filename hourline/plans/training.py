@@ -15,7 +15,7 @@ from hourline.session import stage
 
 def _windows(part: DataFrame, seq_len: int, step: int, options: dict) -> DataFrame:
     return require_rows(
-        stage(lag_windows(part, seq_len, step, **options), "windows"), "No valid time-series sequences generated"
+        stage(lag_windows(part, seq_len, step, **options), "windows"), schema.NO_WINDOWS
     )
 
 
@@ -67,6 +67,6 @@ def evaluate(
     windows = lag_windows(source, seq_len, step, **window_options)
     if warmup:
         windows = windows.join(test_part.select(schema.KEY, schema.TIME), [schema.KEY, schema.TIME], "left_semi")
-    windows = require_rows(stage(windows, "holdout"), "No valid time-series sequences generated")
+    windows = require_rows(stage(windows, "holdout"), schema.NO_WINDOWS)
     check_lags(model, seq_len)
     return regression_metrics(model.transform(windows), schema.TARGET, "prediction", baseline_mape=baseline_mape)

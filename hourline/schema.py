@@ -39,6 +39,13 @@ RUNS_DDL = "run string, step string, params map<string,string>, metrics map<stri
 
 FEATURE_COLUMNS = ["date", "demand", "sub_region_code", *COVARIATES]
 
+# Beginnings and words of messages that callers match on.
+NO_WINDOWS = "No valid time-series sequences"
+NO_COLUMNS = "missing required columns"
+TOO_SHORT = "input_seq_len must be >="
+MODEL_TYPE = "model_type must be"
+TOO_FEW_FOLDS = "cv_folds must be >= 2"
+
 # Zone index, zone code, display name, latitude, longitude.
 ZONES = [
     (0, "ZONA", "West", 42.8864, -78.8784),
