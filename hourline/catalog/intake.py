@@ -635,7 +635,8 @@ def stream_join(spark, sf_dir):
         (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 30 DAYS")).alias("date"),
         F.col("o_totalprice").alias("predicted_demand"),
     )
-    return streaming.drain(streaming.match_predictions(orders, items), "s3")
+    with streaming.state_on_disk(spark):
+        return streaming.drain(streaming.match_predictions(orders, items), "s3")
 
 
 @query(

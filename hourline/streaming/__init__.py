@@ -10,6 +10,7 @@ from hourline.streaming.intake import (
     keyed_writer,
     match_predictions,
     read_stream,
+    state_on_disk,
 )
 from hourline.streaming.latest import keep_latest, latest_vectors, latest_writer, read_latest, trim_recent
 
@@ -27,5 +28,6 @@ __all__ = [
     "match_predictions",
     "read_latest",
     "read_stream",
+    "state_on_disk",
     "trim_recent",
 ]

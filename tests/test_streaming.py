@@ -46,3 +46,25 @@ def test_hours_close_behind_the_watermark(spark, tmp_path):
     stream = streaming.read_stream(spark, path, DDL)
     got = streaming.drain(streaming.hourly_totals(stream, scale=2), "hours")
     assert values(got, "sub_region_code", "date", "demand") == [(0, "2025-01-01 00:00:00", 1.0)]
+
+
+def test_matches_keep_few_state_entries_and_all_pairs(spark, tmp_path):
+    """Many zones at one time, repeats, nulls, and readings that arrive a micro-batch after their predictions."""
+    t = hours("2025-01-01", 3)
+    forecast = [(z, x, float(z)) for z in range(3000) for x in t[:2]] + [(7, t[0], -1.0), (None, t[0], 1.0), (8, None, 1.0)]
+    actual = [(z, x, z + 0.5) for z in range(1000, 4000) for x in t[1:]] + [(7, t[0], 0.5), (7, t[0], 0.6), (None, t[0], 1.0), (8, None, 1.0)]
+    for name, parts in (("p", (forecast[::2], forecast[1::2])), ("a", (actual[:1000], actual[1000:]))):
+        for part in parts:
+            land(spark, str(tmp_path / name), part)
+    p, a = (spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / n)) for n in ("p", "a"))
+    with streaming.state_on_disk(spark):
+        stream = streaming.match_predictions(p.withColumnRenamed("demand", "predicted_demand"), a)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    frames = [spark.createDataFrame(rows, DDL) for rows in (forecast, actual)]
+    want = frames[0].withColumnRenamed("demand", "predicted_demand").join(frames[1], ["sub_region_code", "date"])
+    assert got.columns == want.columns and got.count() == want.count() == 2004
+    assert values(got, *got.columns) == values(want, *want.columns)
+    progress = [s for q in query.recentProgress for s in q["stateOperators"]]
+    assert len(query.recentProgress) >= 2 and 0 < max(s["numRowsTotal"] for s in progress) < 400
