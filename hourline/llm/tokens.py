@@ -2,23 +2,29 @@
 
 The pre-tokenisers of the tables in use never join a character to white space that follows it, so a text splits before
 any white space into chunks that are encoded alone. Chunks are cut at blank, tab, line feed and carriage return; a text
-with any other white space goes to the library whole, since a run of mixed white space must stay together.
+with any other white space goes to the library whole, since a run of mixed white space must stay together. They also end a
+run of letters at the mark that follows it, so a word is one chunk whatever mark it has behind it.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain, filterfalse, islice
+from itertools import chain, compress, filterfalse, islice
 
 import numpy as np
 
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: The other characters that some Unicode version counts as white space.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
+#: Letters that stay one letter in lower case and in composed form, and marks that never combine with one.
+LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿŒœ]", "[.,;:!?]"
+WORD_CHUNK = re.compile(rf"[ \t\n\r]*{LETTERS}++(?={MARKS})|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+PLAIN = re.compile(rf" {LETTERS}+")
+TOGETHER = 200
 KNOWN_CHUNKS = 1_200_000
 LONG_CHUNK = 200
-GROUP_CHARS = 200_000
+GROUP_CHARS = 600_000
 
 _encoders: dict[str, LibraryEncoder] = {}
 
@@ -70,6 +76,8 @@ class LibraryEncoder(ChunkEncoder):
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.between = special[-1] if special else None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cut = CHUNK if any(re.search(LETTERS + MARKS, t) for t in added) else WORD_CHUNK
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """``encode`` of each text, in groups of about GROUP_CHARS characters: a group's new chunks go to the library together."""
@@ -85,29 +93,52 @@ class LibraryEncoder(ChunkEncoder):
     def _encode_group(self, texts: list[str | None]) -> list[bytes]:
         whole = {i: t for i, t in enumerate(texts) if t and OTHER_SPACE.search(t)}
         alone = dict(zip(whole, self.chunks(list(whole.values())))) if whole else {}
-        parts = [CHUNK.findall(t) if t and i not in whole else [] for i, t in enumerate(texts)]
+        parts = [self.cut.findall(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         self.forget()
         known = self.known
-        new = list(set(filterfalse(known.__contains__, chain.from_iterable(parts))))
+        # Looked up once for a group, in a table that is small enough for the processor's caches.
+        met = set(chain.from_iterable(parts))
+        ids = dict(zip(met, map(known.get, met)))
+        new = [c for c, x in ids.items() if x is None]
         if new:
-            known.update(zip(new, self.chunks(new)))
-        found = [alone[i] if i in alone else b"".join(map(known.__getitem__, p)) for i, p in enumerate(parts)]
-        for c in new:
-            if len(c) > LONG_CHUNK:
-                del known[c]
-        return found
+            ids.update(zip(new, self.chunks(new)))
+            known.update((c, ids[c]) for c in new if len(c) <= LONG_CHUNK)
+        return [alone[i] if i in alone else b"".join(map(ids.__getitem__, p)) for i, p in enumerate(parts)]
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def chunks(self, texts: list[str]) -> list[bytes]:
-        """Many chunks go in one text, with a special token between them: the library cuts there before all else."""
+        """Chunks of a blank and letters go in one text as they are, the others with a special token between them: the library
+        cuts there before all else."""
+        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
+        words = iter(self._plain(list(compress(texts, plain))))
+        others = iter(self._apart([t for t, p in zip(texts, plain) if not p]))
+        return [next(words if p else others) for p in plain]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """As chunks are encoded alone and each holds a word at least, as many words as chunks are one word for each."""
+        found = []
+        for i in range(0, len(texts), TOGETHER):
+            part = texts[i : i + TOGETHER]
+            encoded = self.tokenizer.encode("".join(part), add_special_tokens=False)  # the fast form tells no words
+            cuts = np.flatnonzero(np.diff(np.array(encoded.word_ids, np.float64))) + 1
+            if len(cuts) + 1 != len(part):
+                found += self._alone(part)
+                continue
+            data, at = np.array(encoded.ids, "<u4").tobytes(), 0
+            for end in [*(4 * cuts).tolist(), len(data)]:
+                found.append(data[at:end])
+                at = end
+        return found
+
+    def _apart(self, texts: list[str]) -> list[bytes]:
         if self.between is None or len(texts) < 3 or any(self.between[0] in t for t in texts):
             return self._alone(texts)
         token, cut = self.between
         found = []
-        for i in range(0, len(texts), 5000):
-            part = texts[i : i + 5000]
+        for i in range(0, len(texts), TOGETHER):
+            part = texts[i : i + TOGETHER]
             ids = np.array(self.tokenizer.encode_batch_fast([token.join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = [*np.flatnonzero(ids == cut).tolist(), len(ids)]
             if len(ends) != len(part):

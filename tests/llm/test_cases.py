@@ -225,6 +225,22 @@ def test_language(spark, odd, none):
     assert language.keep_identified(odd, model).columns == odd.columns
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_word_is_one_chunk_whatever_mark_follows(path, monkeypatch):
+    t, e = Tokenizer.from_file(path), tokens.LibraryEncoder(path)
+    e.encode_all(["so word, word. word; word! word? word"])
+    assert set(e.known) == {"so", " word", ",", ".", ";", "!", "?"}
+    rng = random.Random(12)
+    pieces = ["word", "Écœ", "ÿ", "İ", "é", "e\u0301", "\u0301", "ﬁ", "'s", "n't", ".", ",", "!?", ":", "<", "<\u0338", "|endoftext|>", "<|endoftext|>", "12", "½", "漢", " ", "  ", "\n", "$"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(["alpha", "Beta", "gámma", "delta"]) + str(i) * (i % 7 == 0) for i in range(700))]
+    for together in (200, 3):
+        monkeypatch.setattr(tokens, "TOGETHER", together)
+        e.known.clear()
+        want = [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch_fast(texts, add_special_tokens=False)]
+        assert e.encode_all(texts) == want
+
+
 def test_language_backs_off():
     counts = lambda *rows: language.Counts([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float), 2)
     model = language.Model(["a", "b"], [1, 1], counts(("known", 0, 5)), {4: counts(("<unk", 1, 3), ("abcd", 0, 3)), 1: counts(("z", 0, 1), ("q", 1, 1))})
