@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ ORDERS = (4, 3, 2, 1)
 #: each length.
 TRAIN_DOCS, WORDS, GRAMS = 20_000, 30_000, 10_000
 REMEMBERED = 200_000
+#: Characters of texts that are scored together.
+GROUP_CHARS = 200_000
 #: Words of the model are written out for each language up to so many numbers, and beyond it stored where they were seen.
 TABLE_CELLS = 8_000_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -65,6 +68,17 @@ class Counts:
         at = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
         return self.base * weights.sum() + np.bincount(self.language[at], weights=self.above[at] * np.repeat(weights, size), minlength=self.width)
 
+    def means(self, lists: list[list[int]]) -> np.ndarray:
+        """For each list of rows and each language the mean of the rows' log frequencies."""
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        rows = np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum()))
+        first, size = self.start[rows], self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(size)
+        at = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        place = np.repeat(np.repeat(np.arange(len(lists)), lengths), size) * self.width + self.language[at]
+        above = np.bincount(place, weights=self.above[at], minlength=len(lists) * self.width)
+        return self.base + above.reshape(len(lists), self.width) / lengths[:, None]
+
 
 class Model:
     """Log frequencies of words, and of grams of each length."""
@@ -96,18 +110,22 @@ class _Places(dict):
     def full(self) -> bool:
         return self.end - self.none > self.most
 
-    def __missing__(self, word: str) -> int:
+    def add(self, words: list[str]) -> None:
+        """Back off words that are not here, all together; those without any known gram stay out."""
         for order in ORDERS:
             counts = self.model.grams.get(order)
-            known = [counts.rows[g] for g in grams_of(word, order) if g in counts.rows] if counts else []
-            if known:
-                if self.end >= len(self.table):
-                    self.table = np.concatenate([self.table, np.zeros((self.most, self.table.shape[1]), np.float32)])
-                self.table[self.end] = counts.sums(np.array(known), np.full(len(known), 1.0 / len(known)))
-                self[word] = self.end
-                self.end += 1
-                return self.end - 1
-        return self.none
+            if not counts or not words:
+                continue
+            rows = counts.rows
+            known = [[rows[g] for g in grams_of(w, order) if g in rows] for w in words]
+            found, words = [w for w, k in zip(words, known) if k], [w for w, k in zip(words, known) if not k]
+            if found:
+                end = self.end + len(found)
+                if end > len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros((max(self.most, end - len(self.table)), self.table.shape[1]), np.float32)])
+                self.table[self.end : end] = counts.means([k for k in known if k])
+                self.update(zip(found, range(self.end, end)))
+                self.end = end
 
 
 class Scorer:
@@ -115,23 +133,49 @@ class Scorer:
         self.model, self.places = model, _Places(model) if model.languages else None
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        counts = words_of(text)
-        if not any(map(str.isalpha, counts)) and not any(map(str.isalpha, text or "")):
-            return UNKNOWN, 0.0
-        if not self.model.languages:
-            return UNKNOWN, 0.0
+        return self.score_all([text])[0]
+
+    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text, in groups of about GROUP_CHARS characters: a group's new words are backed off
+        together, and its words are looked up once."""
+        found, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                found += self._score_group(group)
+                group, size = [], 0
+        return found + self._score_group(group)
+
+    def _score_group(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        words = [WORD.findall(t.lower()) if t else [] for t in texts]
+        spoken = [any(map(str.isalpha, w)) or any(map(str.isalpha, t or "")) for w, t in zip(words, texts)]
+        if not self.model.languages or not any(spoken):
+            return [(UNKNOWN, 0.0)] * len(texts)
         if self.places.full:
             self.places = _Places(self.model)
-        at = np.fromiter(map(self.places.__getitem__, counts), np.int64, len(counts))
-        weight = np.fromiter(counts.values(), np.float64, len(counts))
-        logs = self.model.prior
-        if (at < 0).any():
-            apart = at < 0
-            logs = logs + self.model.words.sums(-1 - at[apart], weight[apart])
-            at, weight = at[~apart], weight[~apart]
-        logs = logs + weight @ self.places.table[at].astype(np.float64)
-        best = int(np.argmax(logs))
-        return self.model.languages[best], 1.0 / float(np.exp(logs - logs[best]).sum())
+        places = self.places
+        met = set(chain.from_iterable(words))
+        place = dict(zip(met, map(places.get, met)))
+        new = [w for w, at in place.items() if at is None]
+        places.add(new)
+        place.update((w, places.get(w, places.none)) for w in new)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
+        ends = np.cumsum(lengths)
+        logs = np.repeat(self.model.prior[None, :], len(texts), axis=0)
+        with_words = np.flatnonzero(lengths)
+        if len(with_words):
+            rows = places.table[np.where(at < 0, places.none, at)].astype(np.float64)  # words in ``Counts`` follow below
+            logs[with_words] += np.add.reduceat(rows, (ends - lengths)[with_words])
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(at < 0), "right")).tolist():
+            own = at[ends[i] - lengths[i] : ends[i]]
+            rows, n = np.unique(-1 - own[own < 0], return_counts=True)
+            logs[i] += self.model.words.sums(rows, n.astype(float))
+        best = np.argmax(logs, axis=1)
+        score = 1.0 / np.exp(logs - logs[np.arange(len(texts)), best][:, None]).sum(axis=1)
+        names = self.model.languages
+        return [(names[b], s) if ok else (UNKNOWN, 0.0) for b, s, ok in zip(best.tolist(), score.tolist(), spoken)]
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", most: int = TRAIN_DOCS) -> Model:
@@ -167,12 +211,13 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
 
     def split(batches):
         for batch in batches:
-            found: Counter = Counter()
-            for r in batch.to_pylist():
+            found: dict[tuple[int, int], dict[str, int]] = defaultdict(lambda: defaultdict(int))
+            for k, w, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for order in ORDERS:
-                    for g in grams_of(r["w"], order):
-                        found[r["k"], order, g] += r["n"]
-            flat = [(*key, c) for key, c in found.items()]
+                    by = found[k, order]
+                    for g in grams_of(w, order):
+                        by[g] += n
+            flat = [(*key, g, c) for key, by in found.items() for g, c in by.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat)) or [()] * 4, (pa.int32(), pa.int32(), pa.string(), pa.int64()))], names=["k", "o", "w", "n"])
 
     grams = words.mapInArrow(split, "k int, o int, w string, n long").groupBy("k", "o", "w").agg(F.sum("n").alias("n"))
@@ -207,7 +252,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep_text: bool
 
     def make():
         scorer = Scorer(held.value)
-        return lambda texts: list(zip(*map(scorer, texts))) or ([], [])
+        return lambda texts: list(zip(*scorer.score_all(texts))) or ([], [])
 
     return add_columns(docs, text, FIELDS, make, keep_text)
 
@@ -218,7 +263,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text: str
 
     def make():
         scorer = Scorer(held.value)
-        return lambda texts: [x != UNKNOWN and s >= least for x, s in map(scorer, texts)]
+        return lambda texts: [x != UNKNOWN and s >= least for x, s in scorer.score_all(texts)]
 
     return keep_rows(docs, text, make)
 

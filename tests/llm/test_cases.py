@@ -248,6 +248,21 @@ def test_language_backs_off():
     assert score("known")[0] == "a" and score("unkxx")[0] == "b" and score("zz")[0] == "a"
 
 
+def test_language_scores_in_groups(monkeypatch):
+    """New words of a group are backed off in one call, a list of texts scores like its texts alone, odd ones among them."""
+    counts = lambda *rows: language.Counts([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float), 2)
+    model = language.Model(["a", "b"], [1, 1], counts(("known", 0, 5)), {4: counts(("<unk", 1, 3), ("nkxx", 0, 3)), 1: counts(("z", 0, 1), ("q", 1, 1))})
+    texts = ["known unkxx", None, "", "zz zzz unkxx unky", "\u00bd 12", "\u03a9", "unkxy qq"]
+    alone = [language.Scorer(model)(t) for t in texts]
+    calls, means = [], language.Counts.means
+    monkeypatch.setattr(language.Counts, "means", lambda self, lists: calls.append(len(lists)) or means(self, lists))
+    assert language.Scorer(model).score_all(texts) == alone and calls == [3, 3]
+    assert [x for x, _ in alone] == ["a", "und", "und", "a", "und", "a", "b"]
+    monkeypatch.setattr(language, "GROUP_CHARS", 3)
+    monkeypatch.setattr(language, "REMEMBERED", 1)
+    assert language.Scorer(model).score_all(texts * 2) == alone * 2
+
+
 @pytest.mark.parametrize("cells", [8_000_000, 10])
 def test_every_language_is_learned(spark, monkeypatch, cells):
     monkeypatch.setattr(language, "TABLE_CELLS", cells)
