@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourline.llm.common import add_columns
-from hourline.llm.tokens import KNOWN_CHUNKS, ChunkEncoder
+from hourline.llm.tokens import ChunkEncoder
 
 SHORT = 96
+KNOWN = 1_200_000
 NONE = 1 << 60
 #: Unicode white space and the public byte-level pattern.
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -42,7 +43,7 @@ class RankTable(ChunkEncoder):
     """Ranks of pairs and ids of parts from a tokenizer file with a byte-level BPE model."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(KNOWN)
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         letters = byte_letters()
@@ -115,7 +116,7 @@ class RankTable(ChunkEncoder):
             parts = self.merge_short(raw) if len(raw) <= SHORT else self.merge_long(raw)
             known = array("I", [self.ids[p] for p in parts]).tobytes()
             if len(raw) <= SHORT:
-                if len(self.words) > KNOWN_CHUNKS:
+                if len(self.words) > KNOWN:
                     self.words.clear()
                 self.words[word] = known
         return known

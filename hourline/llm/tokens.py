@@ -22,7 +22,8 @@ LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿŒœ]", "[.,;:!?]"
 WORD_CHUNK = re.compile(rf"[ \t\n\r]*{LETTERS}++(?={MARKS})|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 PLAIN = re.compile(rf" {LETTERS}+")
 TOGETHER = 200
-KNOWN_CHUNKS = 1_200_000
+#: Chunks that a worker remembers, some 120 bytes each. Those met first are the frequent ones, so more save little time.
+KNOWN_CHUNKS = 500_000
 LONG_CHUNK = 200
 GROUP_CHARS = 600_000
 
@@ -32,16 +33,17 @@ _encoders: dict[str, LibraryEncoder] = {}
 class ChunkEncoder:
     """``encode`` gives a text's ids as little-endian unsigned 32-bit integers. Chunks are remembered up to a bound."""
 
-    def __init__(self):
+    def __init__(self, most: int | None = None):
         self.known: dict[str, bytes] = {}
+        self.most = most or KNOWN_CHUNKS
 
     def chunks(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
 
     def forget(self) -> None:
         """Where too many are remembered: the chunks met first are the frequent ones; half of the bound, met last, go."""
-        if len(self.known) > KNOWN_CHUNKS:
-            for c in list(islice(reversed(self.known), KNOWN_CHUNKS // 2)):
+        if len(self.known) > self.most:
+            for c in list(islice(reversed(self.known), self.most // 2)):
                 del self.known[c]
 
     def encode(self, text: str | None) -> bytes:
@@ -52,7 +54,7 @@ class ChunkEncoder:
         parts = CHUNK.findall(text)
         known = self.known
         new = list(set(filterfalse(known.__contains__, parts)))
-        if new and len(known) > KNOWN_CHUNKS:
+        if new and len(known) > self.most:
             self.forget()
             new = list(set(filterfalse(known.__contains__, parts)))
         if new:

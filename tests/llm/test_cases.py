@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -89,6 +90,14 @@ def test_chunks_are_forgotten_without_harm(monkeypatch):
         assert len(e.known) <= 20 + 12 + 1
 
 
+def test_remembered_chunks_are_bounded_in_memory():
+    """What a worker remembers when full stays under 100 MB: two workers and the JVM share an executor's memory."""
+    rng, e = random.Random(23), tokens.LibraryEncoder(BYTE)
+    e.encode_all([" ".join("".join(rng.choice("etaonirsh") for _ in range(rng.randrange(4, 14))) for _ in range(20_000))])
+    held = sys.getsizeof(e.known) + sum(sys.getsizeof(c) + sys.getsizeof(x) for c, x in e.known.items())
+    assert held / len(e.known) * e.most < 100e6
+
+
 def test_texts_encoded_together(monkeypatch):
     monkeypatch.setattr(tokens, "GROUP_CHARS", 60)
     monkeypatch.setattr(tokens, "KNOWN_CHUNKS", 30)
