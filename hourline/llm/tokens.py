@@ -4,22 +4,25 @@ The pre-tokenisers of the tables in use never join a character to white space th
 any white space into chunks that are encoded alone. Chunks are cut at blank, tab, line feed and carriage return; a text
 with any other white space goes to the library whole, since a run of mixed white space must stay together. They also end a
 run of letters at the mark that follows it, so a word is one chunk whatever mark it has behind it.
+
+Texts that are encoded together are one Arrow buffer: NumPy finds the cuts in it, Arrow tells the distinct chunks and puts
+their ids in the order of the texts, and only distinct chunks become Python strings.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain, compress, filterfalse, islice
+from itertools import compress, filterfalse, islice
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: The other characters that some Unicode version counts as white space.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
 #: Letters that stay one letter in lower case and in composed form, and marks that never combine with one.
 LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿŒœ]", "[.,;:!?]"
-WORD_CHUNK = re.compile(rf"[ \t\n\r]*{LETTERS}++(?={MARKS})|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 PLAIN = re.compile(rf" {LETTERS}+")
 TOGETHER = 200
 #: Chunks that a worker remembers, some 120 bytes each. Those met first are the frequent ones, so more save little time.
@@ -30,6 +33,39 @@ GROUP_CHARS = 600_000
 _encoders: dict[str, LibraryEncoder] = {}
 
 
+def _bytes(letters: str) -> np.ndarray:
+    return np.isin(np.arange(256), list(letters.encode("latin-1")))
+
+
+_SPACE, _MARK, _ASCII_LETTER = _bytes(" \t\n\r"), _bytes(".,;:!?"), _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: Second bytes of LETTERS beyond ASCII after C3 (without those of the signs × and ÷) and after C5.
+_AFTER_C3, _AFTER_C5 = ~_bytes("\x97\xb7"), _bytes("\x92\x93")
+
+
+def chunk_starts(data: np.ndarray, starts: np.ndarray, marks: bool) -> np.ndarray:
+    """Where chunks begin in the UTF-8 bytes of texts that follow each other; ``starts``: where the texts do, none empty.
+
+    A chunk begins with a text and with white space behind other characters; with ``marks`` also at the mark that ends a
+    run of LETTERS which begins a text or follows white space.
+    """
+    space = _SPACE[data]
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[starts] = True
+    if marks:
+        letter = _ASCII_LETTER[data]
+        for lead, second in ((0xC3, _AFTER_C3), (0xC5, _AFTER_C5)):
+            at = np.flatnonzero(data == lead)
+            at = at[second[data[at + 1]]]
+            letter[at] = letter[at + 1] = True
+        edge = ~letter
+        edge[starts] = True
+        at = np.flatnonzero(edge)  # what is no letter, and the first of each text
+        before, at = at[:-1], at[1:]
+        begins[at[_MARK[data[at]] & (letter[before] | (space[before] & (at > before + 1)))]] = True
+    return np.flatnonzero(begins)
+
+
 class ChunkEncoder:
     """``encode`` gives a text's ids as little-endian unsigned 32-bit integers. Chunks are remembered up to a bound."""
 
@@ -79,7 +115,7 @@ class LibraryEncoder(ChunkEncoder):
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.between = special[-1] if special else None
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cut = CHUNK if any(re.search(LETTERS + MARKS, t) for t in added) else WORD_CHUNK
+        self.marks = not any(re.search(LETTERS + MARKS, t) for t in added)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """``encode`` of each text, in groups of about GROUP_CHARS characters: a group's new chunks go to the library together."""
@@ -93,19 +129,33 @@ class LibraryEncoder(ChunkEncoder):
         return found + self._encode_group(group)
 
     def _encode_group(self, texts: list[str | None]) -> list[bytes]:
-        whole = {i: t for i, t in enumerate(texts) if t and OTHER_SPACE.search(t)}
-        alone = dict(zip(whole, self.chunks(list(whole.values())))) if whole else {}
-        parts = [self.cut.findall(t) if t and i not in whole else [] for i, t in enumerate(texts)]
+        whole = [i for i, t in enumerate(texts) if t and OTHER_SPACE.search(t)]
+        found = dict(zip(whole, self.chunks([texts[i] for i in whole]))) if whole else {}
+        places = [i for i, t in enumerate(texts) if t and i not in found]
+        if places:
+            found.update(zip(places, self._encode_buffer(pa.array([texts[i] for i in places], pa.large_string()))))
+        return [found.get(i, b"") for i in range(len(texts))]
+
+    def _encode_buffer(self, texts: pa.Array) -> list[bytes]:
+        _, at, data = texts.buffers()
+        at = np.frombuffer(at, np.int64)[: len(texts) + 1]
+        begins = chunk_starts(np.frombuffer(data, np.uint8)[: at[-1]], at[:-1], self.marks)
+        ends = np.append(begins, at[-1])
+        chunks = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(ends), data).dictionary_encode()
         self.forget()
-        known = self.known
-        # Looked up once for a group, in a table that is small enough for the processor's caches.
-        met = set(chain.from_iterable(parts))
-        ids = dict(zip(met, map(known.get, met)))
-        new = [c for c, x in ids.items() if x is None]
+        known, met = self.known, chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, met))
+        new = [i for i, x in enumerate(ids) if x is None]
         if new:
-            ids.update(zip(new, self.chunks(new)))
-            known.update((c, ids[c]) for c in new if len(c) <= LONG_CHUNK)
-        return [alone[i] if i in alone else b"".join(map(ids.__getitem__, p)) for i, p in enumerate(parts)]
+            words = [met[i] for i in new]
+            for i, c, x in zip(new, words, self.chunks(words)):
+                ids[i] = x
+                if len(c) <= LONG_CHUNK:
+                    known[c] = x
+        _, ends, data = pa.array(ids, pa.large_binary()).take(chunks.indices).buffers()
+        ends = np.frombuffer(ends, np.int64)[np.append(np.searchsorted(begins, at[:-1]), len(begins))].tolist()
+        data = memoryview(data)
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -250,6 +252,41 @@ def test_a_word_is_one_chunk_whatever_mark_follows(path, monkeypatch):
         assert e.encode_all(texts) == want
 
 
+WORD_CHUNK = re.compile(rf"[ \t\n\r]*{tokens.LETTERS}++(?={tokens.MARKS})|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+
+
+@pytest.mark.parametrize(("pattern", "marks"), [(WORD_CHUNK, True), (tokens.CHUNK, False)])
+def test_cuts_in_bytes_equal_the_pattern(pattern, marks):
+    rng = random.Random(21)
+    pieces = ["a", "word", "É", "œ", "Ÿ", "ÿ", "×", "÷", "Å", "ő", "漢", "😀", "\u0301", ".", ",", "!?", ":;", "-", "7", " ", "  ", "\t", "\r\n", "\n"]
+    for _ in range(400):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(rng.randrange(1, 9))]
+        raw = [t.encode() for t in texts]
+        starts = np.cumsum([0, *map(len, raw[:-1])])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        begins = tokens.chunk_starts(data, starts, marks).tolist()
+        found = [data[a:b].tobytes().decode() for a, b in zip(begins, [*begins[1:], len(data)])]
+        assert found == [c for t in texts for c in pattern.findall(t)]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_known_words_cost_less_than_one_string_each(path):
+    """Texts of words met before: no more time than it takes to cut them into Python strings once."""
+    rng, e = random.Random(22), tokens.LibraryEncoder(path)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma,", "Delta."]) + "abcdefghij"[rng.randrange(10)] for _ in range(400)) for _ in range(500)]
+    e.encode_all(texts)
+
+    def least(work):
+        times = []
+        for _ in range(5):
+            began = time.process_time()
+            work()
+            times.append(time.process_time() - began)
+        return min(times)
+
+    assert least(lambda: e.encode_all(texts)) < least(lambda: [WORD_CHUNK.findall(t) for t in texts])
+
+
 def test_language_backs_off():
     counts = lambda *rows: language.Counts([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float), 2)
     model = language.Model(["a", "b"], [1, 1], counts(("known", 0, 5)), {4: counts(("<unk", 1, 3), ("abcd", 0, 3)), 1: counts(("z", 0, 1), ("q", 1, 1))})
